@@ -25,7 +25,7 @@ def claimed_text(text: Column, pattern) -> tuple[Column, Column]:
     Both are needed: an empty match is found, yet is no number.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    return F.rlike(text, pattern), F.regexp_extract(text, pattern, 0)
+    return F.rlike(text, pattern), F.call_function("regexp_extract", text, pattern, F.lit(0))
 
 
 def claim_status(text: Column, pattern) -> tuple[Column, Column]:

@@ -100,19 +100,26 @@ class Checker:
     def _bad_name(self, i: int, f: FeedField) -> str:
         return "date" + self.value_name(i, f).rsplit("_", 1)[1] if f.is_date else f"bad_{f.type}"
 
-    def _constant(self, k: int, pick, group: str | None) -> Column:
-        """Bit mask of the positions a schema picks, by the row's schema."""
-        masks = []
+    def _constants(self, k: int, pick) -> list[int]:
+        """Bit mask, per schema, of the positions it picks."""
+        out = []
         for s in self.schemas:
             part = list(enumerate(s.fields))[k * MASK_BITS : (k + 1) * MASK_BITS]
-            masks.append(sum(1 << (i - k * MASK_BITS) for i, f in part if pick(i, f)))
-        if group is None or len(set(masks)) == 1:
-            return F.lit(masks[0] if masks else 0).cast("bigint")
+            out.append(sum(1 << (i - k * MASK_BITS) for i, f in part if pick(i, f)))
+        return out
+
+    def _select(self, mask: Column, k: int, pick, group: str | None) -> Column | None:
+        """The bits of ``mask`` that the row's schema picks; none if no schema picks any."""
+        constants = self._constants(k, pick)
+        if not any(constants):
+            return None
+        if group is None or len(set(constants)) == 1:
+            return mask.bitwiseAND(F.lit(constants[0]).cast("bigint"))
         out = None
-        for g, m in zip(self.group_ids, masks):
+        for g, m in zip(self.group_ids, constants):
             hit, v = F.col(group) == g, F.lit(m).cast("bigint")
             out = F.when(hit, v) if out is None else out.when(hit, v)
-        return out.otherwise(F.lit(0).cast("bigint"))
+        return mask.bitwiseAND(out.otherwise(F.lit(0).cast("bigint")))
 
     group_ids: list[int] = ()
 
@@ -124,70 +131,87 @@ class Checker:
         """
         raw = self._raw()
         zero = F.lit(0).cast("bigint")
+
+        def union(masks):
+            masks = [m for m in masks if m is not None]
+            return reduce(lambda a, b: a.bitwiseOR(b), masks) if masks else None
+
         columns = {}
         for name, bits in raw.items():
             for k in range(self.n_masks):
                 part = {i: c for i, c in bits.items() if i // MASK_BITS == k}
-                each = [F.when(c, F.lit(1 << (i % MASK_BITS)).cast("bigint")).otherwise(zero) for i, c in part.items()]
-                columns[f"__{name}_{k}"] = reduce(lambda a, b: a.bitwiseOR(b), each, zero)
-        df = df.withColumns(columns)
-        out, stops = {}, []
+                columns[f"__{name}_{k}"] = union(
+                    F.when(c, F.lit(1 << (i % MASK_BITS)).cast("bigint")).otherwise(zero) for i, c in part.items()
+                )
+        df = df.withColumns({n: c if c is not None else zero for n, c in columns.items()})
+        out, held, stops = {}, {}, {}
         for k in range(self.n_masks):
 
             def use(name, pick, k=k):
-                return F.col(f"__{name}_{k}").bitwiseAND(self._constant(k, pick, group))
+                return self._select(F.col(f"__{name}_{k}"), k, pick, group)
 
-            out[f"missing_{k}"] = use("empty", lambda i, f: not f.nullable)
-            wrong = [
-                use(name, lambda i, f, t=name[4:]: f.type == t and not f.is_date) for name in raw if name.startswith("bad_")
-            ]
-            if "word" in raw:  # the word null is left alone, and then is no number
-                wrong.append(use("word", lambda i, f: f.is_date and f.type != "string"))
-            out[f"invalid_{k}"] = reduce(lambda a, b: a.bitwiseOR(b), wrong, zero)
+            missing = use("empty", lambda i, f: not f.nullable)
+            wrong = [use(n, lambda i, f, t=n[4:]: f.type == t and not f.is_date) for n in raw if n.startswith("bad_")]
             if "word" in raw:
-                failed = [
-                    use(name, lambda i, f, n=name: f.is_date and self.value_name(i, f) and self._bad_name(i, f) == n)
-                    for name in raw
-                    if name.startswith("date")
-                ]
-                # Word null in a date field is no failed parse.
+                # The word null in a date field is left alone, and then is no number.
+                wrong.append(use("word", lambda i, f: f.is_date and f.type != "string"))
                 word = F.bitwise_not(F.col(f"__word_{k}"))
-                date = reduce(lambda a, b: a.bitwiseOR(b), failed, zero).bitwiseAND(word)
                 dated = F.bitwise_not(F.col(f"__empty_{k}")).bitwiseAND(word)
-                no_doc = dated.bitwiseAND(self._constant(k, lambda i, f: f.is_date and f.doc is None, group))
-                bad_doc = dated.bitwiseAND(
-                    self._constant(k, lambda i, f: f.is_date and f.doc is not None and _pattern_fails(f.doc), group)
+                failed = union(
+                    use(n, lambda i, f, n=n: f.is_date and self.value_name(i, f) and self._bad_name(i, f) == n)
+                    for n in raw
+                    if n.startswith("date")
                 )
-                stops.append(_first_stop({"null_pointer": no_doc, "illegal_argument": bad_doc, "date": date}))
-        out["stop"] = F.coalesce(*stops) if stops else F.lit(None).cast("int")
+                causes = {
+                    "null_pointer": self._select(dated, k, lambda i, f: f.is_date and f.doc is None, group),
+                    "illegal_argument": self._select(
+                        dated, k, lambda i, f: f.is_date and f.doc is not None and _pattern_fails(f.doc), group
+                    ),
+                    "date": None if failed is None else failed.bitwiseAND(word),
+                }
+                for cause, mask in causes.items():
+                    if mask is not None:
+                        held[f"__stop_{cause}_{k}"] = mask
+                        stops.setdefault(k, []).append(cause)
+            invalid = union(wrong)
+            out[f"missing_{k}"] = zero if missing is None else missing
+            out[f"invalid_{k}"] = zero if invalid is None else invalid
+        df = df.withColumns(held)
+        first = [_first_stop({c: F.col(f"__stop_{c}_{k}") for c in causes}) for k, causes in stops.items()]
+        out["stop"] = F.coalesce(*first) if first else F.lit(None).cast("int")
         return df.withColumns(out)
 
     def errors(self, allow_extra: bool = False, group: str | None = None) -> Column:
-        """``ARRAY<STRUCT<type,field>>`` of one record from its masks, in schema order,
-        extras last."""
+        """``ARRAY<STRUCT<type,field>>`` of one record from its masks: missing fields,
+        then invalid ones, then extras."""
         names = name_array(self.schemas[0])
         if group is not None and len(self.schemas) > 1:
             names = F.when(F.col(group) == self.group_ids[0], names)
             for g, s in list(zip(self.group_ids, self.schemas))[1:]:
                 names = names.when(F.col(group) == g, name_array(s))
-        found = []
-        for i in range(self.width):
-            bit = F.lit(1 << (i % MASK_BITS)).cast("bigint")
 
-            def hit(prefix, i=i, bit=bit):
-                return F.col(f"{prefix}_{i // MASK_BITS}").bitwiseAND(bit) != 0
+        def as_errors(kind, found):
+            return F.transform(found, lambda n: F.struct(F.lit(kind).alias("type"), n.alias("field")))
+
+        parts = [
+            as_errors(MISSING, mask_names(names, "missing", self.n_masks)),
+            as_errors(INVALID, mask_names(names, "invalid", self.n_masks)),
+        ]
+        if not allow_extra:
+            parts.append(as_errors(EXTRA, extra_names(F.size(names), F.size("fields"))))
+        return F.when(self.has_error(allow_extra, group), F.concat(*parts))
 
-            kind = F.when(hit("missing"), F.lit(MISSING)).when(hit("invalid"), F.lit(INVALID))
-            found.append(F.when(kind.isNotNull(), F.struct(kind.alias("type"), F.get(names, F.lit(i)).alias("field"))))
-        errors = F.array_compact(F.array(*found))
+    def has_error(self, allow_extra: bool = False, group: str | None = None) -> Column:
+        """Whether a record has any error, without naming it."""
+        out = F.lit(False)
+        for k in range(self.n_masks):
+            out = out | (F.col(f"missing_{k}").bitwiseOR(F.col(f"invalid_{k}")) != 0)
         if allow_extra:
-            return errors
-        n, size = F.size(names), F.size(F.col("fields"))
-        extras = F.transform(
-            F.sequence(n, size - 1),
-            lambda i: F.struct(F.lit(EXTRA).alias("type"), F.concat(F.lit("unknown_field_index_"), i.cast("string")).alias("field")),
-        )
-        return F.when(size > n, F.concat(errors, extras)).otherwise(errors)
+            return out
+        width = F.lit(len(self.schemas[0].fields))
+        for g, s in zip(self.group_ids, self.schemas):
+            width = F.when(F.col(group) == g, F.lit(len(s.fields))).otherwise(width) if group else width
+        return out | (F.size("fields") > width)
 
 
 def _pattern_fails(pattern: str) -> bool:
@@ -200,6 +224,9 @@ def _pattern_fails(pattern: str) -> bool:
 
 def _first_stop(masks: dict[str, Column]) -> Column:
     """Stop whose mask has the lowest bit set: the earliest field decides."""
+    if len(masks) == 1:
+        ((name, mask),) = masks.items()
+        return F.when(mask != 0, F.lit(STOPS.index(name)))
     top = F.lit(1 << MASK_BITS).cast("bigint")
     low = {n: F.when(m != 0, m.bitwiseAND(F.negate(m))).otherwise(top) for n, m in masks.items()}
     least = F.least(*low.values())
@@ -227,7 +254,8 @@ def validate_records(
     names = F.array(*[F.lit(n) for n in STOPS])
     stop = F.when(F.col("fields").isNull(), F.lit(STOPS[0])).otherwise(F.get(names, F.col("stop")))
     out = checker.with_masks(checker.prepare(df))
-    return out.select(*df.columns, stop.alias("stop"), checker.errors(allow_extra).alias("errors"))
+    errors = F.coalesce(checker.errors(allow_extra), F.array().cast("array<struct<type:string,field:string>>"))
+    return out.select(*df.columns, stop.alias("stop"), errors.alias("errors"))
 
 
 def dates_to_epoch(df: DataFrame, schema: FeedSchema, lenient: bool = False) -> DataFrame:
@@ -244,10 +272,13 @@ def dates_to_epoch(df: DataFrame, schema: FeedSchema, lenient: bool = False) ->
 
 
 def record_errors(validated: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per error of each data record."""
-    return validated.select(*keys, F.explode("errors").alias("e")).select(
-        *keys, F.col("e.type").alias("error_type"), F.col("e.field").alias("field")
-    )
+    """One row per error of each data record.
+
+    The outer explode keeps the optimizer from copying the whole check of a record into
+    a filter below it; records without errors leave in the filter above it.
+    """
+    exploded = validated.select(*keys, F.explode_outer("errors").alias("e")).filter(F.col("e").isNotNull())
+    return exploded.select(*keys, F.col("e.type").alias("error_type"), F.col("e.field").alias("field"))
 
 
 # ---- file rollup -------------------------------------------------------------
@@ -268,9 +299,9 @@ def mask_names(names: Column, prefix: str, n_masks: int) -> Column:
     return F.sort_array(F.filter(names, is_set))
 
 
-def extra_names(n_names: Column, max_fields: str = "max_fields") -> Column:
+def extra_names(n_names: Column, n_fields: Column) -> Column:
     """Names of the values beyond the last schema field, by position from 0."""
-    many = F.coalesce(F.col(max_fields), F.lit(0))
+    many = F.coalesce(n_fields, F.lit(0))
     names = F.transform(F.sequence(n_names, many - 1), lambda i: F.concat(F.lit("unknown_field_index_"), i.cast("string")))
     return F.when(many > n_names, F.sort_array(names)).otherwise(F.array().cast("array<string>"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import codes
-from ..functions.delimited import field_at, quote_field, render_line, split_line
+from ..functions.delimited import field_at, quote_field, split_line
 from ..functions.dialect import Dialect, dialect
 from ..functions.schema import FeedSchema, SchemaMissing, SchemaUnparsable, schema_from_avro_json
 from ..functions.text import regex_compiles
@@ -200,6 +200,16 @@ class Validation:
         errors = self._checker.errors(self.allow_extra, "schema_group")
         return va.record_errors(rows.withColumn("errors", errors), ["file_key", "line_no", "record_id"])
 
+    def _metadata_stop(self) -> Column:
+        """Stop of a valid manifest record whose known fields cannot be taken over."""
+
+        def stop(g: Group) -> Column:
+            _, number, date = md.metadata_values(g.read, lambda i: F.col(f"__t{i}"), self.lenient_dates)
+            return F.when(number, F.lit(va.STOPS.index("illegal_argument"))).when(date, F.lit(va.STOPS.index("date")))
+
+        bad = self._checker.has_error(self.allow_extra, "schema_group")
+        return F.when(~bad, self._by_group(stop, "int"))
+
     @cached_property
     def summary(self) -> DataFrame:
         """One row per file: lines, first hard stop, error masks, header and footer rows."""
@@ -207,6 +217,8 @@ class Validation:
         data = F.col("section") == "data"
         at = (F.col("line_no") + F.col("footer_n")) * _STEP + _PROCESSING
         rank = F.when(F.col("fields").isNull(), F.col("line_no") * _STEP).when(data, at + F.col("stop"))
+        if self.profile == "manifest":
+            rank = F.coalesce(rank, F.when(data, at + self._metadata_stop()))
         columns = {"stop_rank": rank, "n_fields": F.when(data, F.size("fields"))}
         names = [f"{k}_{i}" for i in range(self._checker.n_masks) for k in ("missing", "invalid")]
         columns.update({n: F.when(data & F.col("fields").isNotNull(), F.col(n)) for n in names})
@@ -274,7 +286,7 @@ class Validation:
             {
                 "missing_fields": va.mask_names(F.col("__names"), "missing", n_masks),
                 "invalid_fields": va.mask_names(F.col("__names"), "invalid", n_masks),
-                "extra_fields": no_names if self.allow_extra else va.extra_names(F.size("__names")),
+                "extra_fields": no_names if self.allow_extra else va.extra_names(F.size("__names"), F.col("max_fields")),
             }
         )
         wrong = (F.size("missing_fields") + F.size("invalid_fields") + F.size("extra_fields")) > 0
@@ -417,24 +429,36 @@ class Validation:
         """Data records of passing files as they are written: write-schema fields by name,
         an absent one empty, then every field the write schema does not name."""
         w = self.writer or self.dialect
+        rows = self._passing()
+        # Each value is rendered once, whatever number of schemas place it in a line.
+        shown: dict[str, Column] = {
+            "__id": quote_field(F.col("chosen_id"), w),
+            "__record_id": quote_field(F.col("record_id").cast("string"), w, numeric=True),
+            "__null": quote_field(F.lit(None).cast("string"), w),
+        }
+        place: dict[int, dict[str, str]] = {}
+        for g in self._usable_groups:
+            for i, f in enumerate(g.read.fields):
+                name = f"__q{self._checker.value_name(i, f) or f'__t{i}'}_{f.type}"
+                shown[name] = quote_field(self._checker.value(i, f).cast("string"), w, numeric=f.type != "string")
+                place.setdefault(g.id, {})[f.name] = name
+        rows = rows.withColumns(shown)
 
         def line_of(g: Group) -> Column:
-            value = {f.name: (self._checker.value(i, f).cast("string"), f.type != "string") for i, f in enumerate(g.read.fields)}
-            ids = {"file_id": (F.col("chosen_id"), False), "record_id": (F.col("record_id").cast("string"), True)}
-
-            def line(values):
-                named = [values.get(n, (F.lit(None).cast("string"), False)) for n in g.write.names]
-                rest = [values[n] for n in values if n not in g.write.names]
-                text = render_line([c for c, _ in named + rest], w, [num for _, num in named + rest])
-                if not self.allow_extra:
-                    return text
-                more = F.slice(F.col("fields"), len(g.read.fields) + 1, F.greatest(F.size("fields"), F.lit(1)))
-                shown = F.transform(more, lambda x: F.concat(F.lit(w.sep), quote_field(F.trim(x) if self.dialect.trim else x, w)))
-                return F.concat(text, F.array_join(shown, ""))
-
-            return F.when(F.col("adds_ids"), line({**ids, **value})).otherwise(line(value))
-
-        return self._passing().select("file_key", "record_id", self._by_group(line_of, "string").alias("line"))
+            def line(values: dict[str, str]) -> Column:
+                names = [values.get(n, "__null") for n in g.write.names]
+                names += [values[n] for n in values if n not in g.write.names]
+                text = F.concat_ws(w.sep, *[F.col(n) for n in names])
+                if self.allow_extra:
+                    more = F.slice(F.col("fields"), len(g.read.fields) + 1, F.greatest(F.size("fields"), F.lit(1)))
+                    tail = F.transform(more, lambda x: F.concat(F.lit(w.sep), quote_field(F.trim(x) if self.dialect.trim else x, w)))
+                    text = F.concat(text, F.array_join(tail, ""))
+                return F.concat(text, F.lit(w.sep)) if w.trailing_delimiter else text
+
+            ids = {"file_id": "__id", "record_id": "__record_id"}
+            return F.when(F.col("adds_ids"), line({**ids, **place[g.id]})).otherwise(line(place[g.id]))
+
+        return rows.select("file_key", "record_id", self._by_group(line_of, "string").alias("line"))
 
     def manifest_rows(self) -> DataFrame:
         """One row per record of each passing manifest, with the manifest's attributes."""

@@ -42,6 +42,7 @@ SCHEMAS = {
     ),
     "offering": avro("offer_subs_inst_id:long", "owner_reg_cust_id:long", "offer_id:long", "purchase_seq_number:string?", *[f"rest_{i}:long" for i in range(28)]),
     "charges21": avro("Account_Number:string", *[f"c{i}:string?" for i in range(20)]),
+    "charges21+ids": avro(*_IDS, "Account_Number:string", *[f"c{i}:string?" for i in range(20)]),
     "header6": avro(
         "file_name:string", "sequence_number:long", "file_size:long", "record_count:long", "num_of_fields:long",
         "data_end_date:string@[dd-MMM-yy],[HH:mm:ss]",
