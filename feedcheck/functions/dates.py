@@ -113,7 +113,12 @@ def parse_date(col: Column, pattern: str, lenient: bool = False) -> Column:
 
 def has_date_text(col: Column) -> Column:
     """False for a missing value and for the word null in any case: those are left alone."""
-    return F.coalesce((F.lower(col) != F.lit("null")) & (col != F.lit("")), F.lit(False))
+    return F.coalesce(~is_null_word(col) & (col != F.lit("")), F.lit(False))
+
+
+def is_null_word(col: Column) -> Column:
+    """The length test spares almost every value the change of case."""
+    return (F.octet_length(col) == 4) & (F.lower(col) == "null")
 
 
 def to_epoch_millis(col: Column, pattern: str, lenient: bool = False) -> Column:

@@ -85,11 +85,15 @@ def split_line(line: Column, d: Dialect) -> Column:
     return F.when(~_special(line, d), plain).when(line.rlike(whole), cleaned)
 
 
-def field_at(fields: Column, i: int, d: Dialect) -> Column:
-    """Field ``i`` (from 0): trimmed if the dialect trims; null if absent or the null token."""
+def field_at(fields: Column, i: int, d: Dialect, control: Column | None = None) -> Column:
+    """Field ``i`` (from 0): trimmed if the dialect trims; null if absent or the null token.
+
+    ``control`` tells whether the line holds control characters. Without any, the far
+    cheaper trim of blanks does the same.
+    """
     v = F.get(fields, F.lit(i))
     if d.trim:
-        v = trim_text(v)
+        v = trim_text(v) if control is None else F.when(control, trim_text(v)).otherwise(F.trim(v))
     if d.null_string is not None:
         v = F.when(v != F.lit(d.null_string), v)
     return v
@@ -99,6 +103,8 @@ def quote_field(text: Column, d: Dialect, numeric: bool = False) -> Column:
     """One value as it stands in a line under the dialect's quote mode."""
     value = F.coalesce(text, F.lit(d.null_string or ""))
     mode = d.quote_mode.upper()
+    if numeric and mode in ("MINIMAL", "NON_NUMERIC"):
+        return value  # digits, sign, point: nothing to quote
     if mode == "NONE" or not d.quote:
         if not d.escape:
             return value
@@ -119,7 +125,7 @@ def quote_field(text: Column, d: Dialect, numeric: bool = False) -> Column:
     if mode == "ALL":
         return wrapped
     if mode == "NON_NUMERIC":
-        return F.when(text.isNull(), value).otherwise(value if numeric else wrapped)
+        return F.when(text.isNull(), value).otherwise(wrapped)
     if mode != "MINIMAL":
         raise ValueError(f"unknown quote mode {d.quote_mode}")
     needs = F.lit(False)

@@ -14,6 +14,11 @@ def trim_text(col: Column) -> Column:
     return F.btrim(col, F.lit(BLANKS))
 
 
+def has_control(line: Column) -> Column:
+    """Whether a line holds a control character, so that trimming blanks is not enough."""
+    return line.rlike("[\\x00-\\x1f\\x7f]")
+
+
 def as_long(text: Column, trimmed: bool = False) -> Column:
     """The text as a 64-bit integer, or null: a sign and digits, no points or exponents.
     The cast alone would also skip blanks around the digits."""

@@ -12,7 +12,7 @@ from ..functions import dates
 from ..functions.delimited import field_at, split_line
 from ..functions.dialect import Dialect
 from ..functions.schema import FeedField, FeedSchema
-from ..functions.text import as_int, as_long
+from ..functions.text import as_int, as_long, has_control
 
 MISSING, INVALID, EXTRA, OTHER = "MISSING_FIELD", "INVALID_FIELD", "EXTRA_FIELD", "OTHER"
 MASK_BITS = 62  # fields per error mask, within a signed 64-bit number
@@ -59,7 +59,8 @@ class Checker:
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Add the text ``__t<i>`` of every position and the typed columns."""
-        texts = {f"__t{i}": field_at(F.col("fields"), i, self.d) for i in range(self.width)}
+        control = F.col("__control") if "__control" in df.columns else None
+        texts = {f"__t{i}": field_at(F.col("fields"), i, self.d, control) for i in range(self.width)}
         typed = {}
         for s in self.schemas:
             for i, f in enumerate(s.fields):
@@ -91,7 +92,7 @@ class Checker:
             for i, f in enumerate(s.fields):
                 text, name = F.col(f"__t{i}"), self.value_name(i, f)
                 if f.is_date:
-                    out.setdefault("word", {})[i] = F.lower(text) == "null"
+                    out.setdefault("word", {})[i] = dates.is_null_word(text)
                 if name:
                     bad = F.col(name).isNull() & (text != "")
                     out.setdefault(self._bad_name(i, f), {})[i] = bad
@@ -237,13 +238,13 @@ def _first_stop(masks: dict[str, Column]) -> Column:
 
 
 def with_fields(lines: DataFrame, d: Dialect, line: str = "line") -> DataFrame:
-    """Add ``fields``; null marks a malformed line."""
-    return lines.withColumn("fields", split_line(F.col(line), d))
+    """Add ``fields`` (null marks a malformed line) and, for trimming, ``__control``."""
+    return lines.withColumns({"fields": split_line(F.col(line), d), **({"__control": has_control(F.col(line))} if d.trim else {})})
 
 
 def malformed(lines: DataFrame, d: Dialect) -> DataFrame:
     """Lines that cannot be split, with the ordinal to report."""
-    return with_fields(lines, d).filter(F.col("fields").isNull()).drop("fields")
+    return with_fields(lines, d).filter(F.col("fields").isNull()).drop("fields", "__control")
 
 
 def validate_records(

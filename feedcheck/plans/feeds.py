@@ -62,14 +62,17 @@ def event_fields(spark: SparkSession, sf_dir: str, damage: bool = True) -> DataF
     dom = F.dayofmonth("ts")
 
     def spoiled(remainder, modulus):
-        return _when(dom, remainder, modulus) if damage else F.lit(False)
+        return _when(F.col("dom"), remainder, modulus) if damage else F.lit(False)
 
-    month = F.when(spoiled(4, 79), F.lit("13")).otherwise(F.date_format("ts", "MM"))
-    stamp = F.concat(F.date_format("ts", "yyyy"), month, F.date_format("ts", "ddHHmmss"))
+    # The time is printed once and cut into pieces.
+    ev = ev.withColumns({"dom": dom, "printed": F.date_format("ts", "yyyyMMddHHmmss")})
+    dom, printed = F.col("dom"), F.col("printed")
+    month = F.when(spoiled(4, 79), F.lit("13")).otherwise(F.substring(printed, 5, 2))
+    stamp = F.concat(F.substring(printed, 1, 4), month, F.substring(printed, 7, 8))
     return ev.select(
         "event_id",
-        F.concat(F.lit("events_"), F.date_format("ts", "yyyyMMdd"), F.lit(".unl")).alias("file_key"),
-        dom.alias("dom"),
+        F.concat(F.lit("events_"), F.substring(printed, 1, 8), F.lit(".unl")).alias("file_key"),
+        dom,
         F.concat(F.col("user_id").cast("string"), F.when(spoiled(1, 97), F.lit("a")).otherwise(F.lit(""))).alias("f2"),
         F.col("event_type").alias("f3"),
         F.round(F.col("value") * 100).cast("bigint").cast("string").alias("f4"),

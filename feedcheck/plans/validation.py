@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import codes
-from ..functions.delimited import field_at, quote_field, split_line
+from ..functions.delimited import field_at, quote_field
 from ..functions.dialect import Dialect, dialect
 from ..functions.schema import FeedSchema, SchemaMissing, SchemaUnparsable, schema_from_avro_json
 from ..functions.text import regex_compiles
@@ -189,7 +189,7 @@ class Validation:
         return checker
 
     def _prepared(self, rows: DataFrame) -> DataFrame:
-        return self._checker.prepare(rows.withColumn("fields", split_line(F.col("line"), self.dialect)))
+        return self._checker.prepare(va.with_fields(rows, self.dialect))
 
     def _masked(self, rows: DataFrame) -> DataFrame:
         return self._checker.with_masks(self._prepared(rows), "schema_group")
@@ -466,7 +466,7 @@ class Validation:
         carried = ["file_key", "file_name", "file_uuid", "conf_id", "datafile_extension"]
         files = attrs.select(*carried, "schema_group", "header_n", "footer_n")
         rows = self._framed(files).filter(F.col("section") == "data")
-        rows = rows.withColumn("fields", split_line(F.col("line"), self.dialect))
+        rows = va.with_fields(rows, self.dialect)
         kind = ", ".join(f"{f}:{'bigint' if f in md.LONG_FIELDS else 'string'}" for f in md.FIELDS)
 
         def meta(g: Group) -> Column:

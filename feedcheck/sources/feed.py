@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.delimited import split_line
 from ..functions.dialect import Dialect
 from ..functions.schema import FeedSchema, schema_from_header
-from ..operators.validate import Checker
+from ..operators.validate import Checker, with_fields
 
 
 def read_feed(spark: SparkSession, paths, d: Dialect, schema: FeedSchema | None = None, infer: bool = False, **formats) -> DataFrame:
@@ -35,9 +34,5 @@ def header_schema(spark: SparkSession, path: str, d: Dialect) -> FeedSchema:
 def typed_records(lines: DataFrame, schema: FeedSchema, d: Dialect, keep: list[str], line: str = "line", strict: bool = True) -> DataFrame:
     """Typed columns of delimited lines; text that does not fit a type is null."""
     checker = Checker([schema], d, strict)
-    rows = checker.prepare(lines.withColumn("fields", split_line(F.col(line), d)))
+    rows = checker.prepare(with_fields(lines, d, line))
     return rows.select(*keep, *[checker.value(i, f).alias(f.name) for i, f in enumerate(schema.fields)])
-
-
-def is_text(dtype: T.DataType) -> bool:
-    return isinstance(dtype, T.StringType)
