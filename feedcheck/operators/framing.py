@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, materialise
 from ..sources.lines import CHUNK, LineSource
 
 
@@ -32,6 +33,10 @@ def number_lines(src: LineSource, files: DataFrame | None = None, keep_unlisted:
         offsets = offsets.join(files.withColumn("__listed", F.lit(True)), "file_key", "left")
         if not keep_unlisted:
             offsets = offsets.withColumn("__listed", F.coalesce("__listed", F.lit(False)))
+    if not src.partitioned:
+        # Written out, the frame has a known size: one row per input split. Up to the
+        # limit it goes to the lines; beyond it the lines are shuffled by split.
+        offsets = broadcast_if_small(materialise(offsets, "offsets"), max_rows=4_000_000, max_bytes=512 << 20)
     joined = src.rows.join(offsets, CHUNK, "left")
     if files is not None and not keep_unlisted:
         # Null means that the chunk has no count at all, which the next step reports.

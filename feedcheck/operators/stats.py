@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 # Limits and defaults.
 MAX_ENTRIES = 100_000
 MAX_AGE_MS = 15 * 60 * 1000
@@ -29,10 +31,11 @@ def operation_stats(timings: DataFrame) -> DataFrame:
 def operation_outliers(timings: DataFrame) -> DataFrame:
     """Entries above 2 ms and above the mean plus two deviations of their operation.
 
-    One row of statistics per kind of operation comes back to the timings, which stay
-    where they are.
+    The statistics, one row per kind of operation, are written out, so that Spark knows
+    their size and the timings stay where they are.
     """
     cut = operation_stats(timings).select("operation", (F.col("mean_ms") + 2 * F.col("std_ms")).alias("cutoff"))
+    cut = materialise(cut, "cutoffs")
     directory = F.col("directory")
     full_path = F.concat(directory, F.when(directory.endswith("/"), F.lit("")).otherwise(F.lit("/")), F.col("filename"))
     found = timings.join(cut, "operation").filter((F.col("duration_ms") > 2) & (F.col("duration_ms") > F.col("cutoff")))

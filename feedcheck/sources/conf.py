@@ -15,6 +15,11 @@ def read_conf(spark: SparkSession, source: str | dict, project: str | None = Non
     return df.select(*columns) if columns else df
 
 
+def first_of_set(column: str, k: int):
+    """The first ``k`` distinct values of a group, in order, as a comma list."""
+    return F.array_join(F.slice(F.sort_array(F.collect_set(column)), 1, k), ",")
+
+
 def feed_directories(conf: DataFrame, project: str | None = None) -> DataFrame:
     """Distinct directory, host list and port of a project."""
     if project is not None:
@@ -34,7 +39,7 @@ def directory_rollup(conf: DataFrame, project: str | None = None) -> DataFrame:
     conf = conf.dropna(subset=keys)
 
     def first(c):
-        return F.coalesce(F.min(c), F.lit("")).alias(c)
+        return first_of_set(c, 1).alias(c)
 
     addresses = F.array_distinct(F.flatten(F.collect_set(F.split("support_email_list", ","))))
     return conf.groupBy(*keys).agg(

@@ -11,14 +11,15 @@ from ..functions.schema import FeedSchema, schema_from_header
 from ..operators.validate import Checker, with_fields
 
 
-def read_feed(spark: SparkSession, paths, d: Dialect, schema: FeedSchema | None = None, infer: bool = False, **formats) -> DataFrame:
+def read_feed(spark: SparkSession, paths, d: Dialect, schema: FeedSchema | None = None, infer: bool = False, multiline: bool = False, **formats) -> DataFrame:
     """Read delimited files with Spark's csv reader.
 
     With ``schema`` the fields are typed by position; without one the first line names
     the columns, all text, or with ``infer`` typed from the data (``dateFormat`` and
-    ``timestampFormat`` may be given).
+    ``timestampFormat`` may be given). Only with ``multiline`` may a quoted value hold a
+    line break; Spark then cannot split a file, so each is read by one task.
     """
-    reader = spark.read.options(**d.read_options())
+    reader = spark.read.options(**d.read_options(), multiLine=multiline)
     if schema is not None and not infer:
         return reader.schema(schema.to_struct()).csv(paths)
     reader = reader.option("header", True).option("enforceSchema", False).options(**formats)

@@ -24,6 +24,7 @@ CHUNK = ["file_key", "chunk", "chunk_len"]
 class LineSource:
     rows: DataFrame
     chunks: DataFrame
+    partitioned: bool = False  # rows already lie together by chunk
 
 
 def _is_record(d: Dialect | None):
@@ -81,4 +82,4 @@ def ordered_lines(
     chunks = base.groupBy(*CHUNK).agg(F.lit(1).cast("bigint").alias("base"), F.count(F.lit(1)).alias("n_lines"))
     w = Window.partitionBy(*CHUNK).orderBy("__order")
     rows = base.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("__order")
-    return LineSource(rows, chunks)
+    return LineSource(rows, chunks, partitioned=True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,13 +21,18 @@ def list_paths(spark: SparkSession, directory: str, recursive: bool = False) ->
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     df = reader.load(directory if recursive else f"{directory.rstrip('/')}/*")
-    return df.select(
+    files = df.select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.regexp_extract("path", "\\A(.*)/[^/]*\\z", 1).alias("folder"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("modified"),
     )
+    if recursive:
+        return files
+    # The glob also looks into sub-folders; paths may show the file system's scheme.
+    bare = re.sub(r"\A[a-z0-9]+:(//[^/]*)?(?=/)", "", directory).rstrip("/")
+    return files.filter(F.col("folder").rlike(f"\\A(?:[a-z0-9]+:(?://[^/]*)?)?{re.escape(bare)}\\z"))
 
 
 def listing_rows(listing: DataFrame, regex: str, conf_id: str, directory: str, host: str, node: str = "0") -> DataFrame:
