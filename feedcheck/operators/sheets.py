@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
+from ..session import materialise
 
 
 def cell_text(date_format: str = "yyyyMMddHHmmss") -> Column:
@@ -49,6 +50,7 @@ def sheet_status(cells: DataFrame) -> DataFrame:
 
 
 def convert_sheets(cells: DataFrame, sep: str = "|", date_format: str = "yyyyMMddHHmmss") -> DataFrame:
-    """Lines of the files that convert."""
-    good = sheet_status(cells).filter(F.col("code") == codes.SHEET_CONVERTED).select("file")
-    return cells_to_lines(cells, sep, date_format).join(good, "file", "left_semi")
+    """Lines of the files that convert. The few that do not are written out first, so
+    that Spark knows how small the list is."""
+    failed = sheet_status(cells).filter(F.col("code") == codes.SHEET_FAILED).select("file")
+    return cells_to_lines(cells, sep, date_format).join(materialise(failed, "failed-sheets"), "file", "left_anti")

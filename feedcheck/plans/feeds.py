@@ -103,7 +103,7 @@ def event_feed(spark: SparkSession, sf_dir: str, damage: bool = True) -> LineSou
     """Daily files with a header ``HDR|<n>`` and a footer ``<n>``."""
     claim = F.col("claim").cast("string")
     lines = _bookends(event_data_lines(spark, sf_dir, damage), F.concat(F.lit("HDR|"), claim), claim)
-    return ordered_lines(lines, "file_key", "ord", "line")
+    return ordered_lines(lines, "file_key", "ord", "line", blanks=False)
 
 
 def event_metadata_feed(spark: SparkSession, sf_dir: str) -> LineSource:
@@ -118,7 +118,7 @@ def event_metadata_feed(spark: SparkSession, sf_dir: str) -> LineSource:
     date = F.regexp_replace("file_key", "\\Aevents_(....)(..)(..).unl\\z", "$3/$2/$1")
     header = F.concat_ws("|", "file_key", F.col("dom").cast("string"), size, meta_claim, F.lit("5"), date, note, more)
     lines = _bookends(event_data_lines(spark, sf_dir, damage=False), header, claim)
-    return ordered_lines(lines, "file_key", "ord", "line")
+    return ordered_lines(lines, "file_key", "ord", "line", blanks=False)
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +159,7 @@ def manifest_feed(spark: SparkSession, sf_dir: str) -> LineSource:
     n = data.groupBy("file_key", "month").agg(F.count(F.lit(1)).alias("n"))
     claim = (F.col("n") + F.when(F.col("month") == 5, 1).otherwise(0)).cast("string")
     head = n.select("file_key", F.lit(-1).cast("bigint").alias("ord"), claim.alias("line"))
-    return ordered_lines(data.select("file_key", "ord", "line").unionByName(head), "file_key", "ord", "line")
+    return ordered_lines(data.select("file_key", "ord", "line").unionByName(head), "file_key", "ord", "line", blanks=False)
 
 
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:

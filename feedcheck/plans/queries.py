@@ -498,7 +498,7 @@ def malformed_lines(spark, sf):
     broken = F.col("doc_id") % 50 == 0
     body = F.regexp_replace("text", '[\\\\"|]', " ")
     line = F.concat(F.col("doc_id").cast("string"), F.lit('|"'), body, F.when(broken, F.lit("")).otherwise(F.lit('"')))
-    src = ordered_lines(d.select("source", "doc_id", line.alias("line")), "source", "doc_id", "line", keep=["doc_id"])
+    src = ordered_lines(d.select("source", "doc_id", line.alias("line")), "source", "doc_id", "line", keep=["doc_id"], blanks=False)
     return validate.malformed(framing.number_lines(src), form).select("file_key", "doc_id", "line_no")
 
 

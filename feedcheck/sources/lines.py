@@ -64,7 +64,7 @@ def scan_lines(spark: SparkSession, paths, d: Dialect | None = None) -> LineSour
 
 
 def ordered_lines(
-    df: DataFrame, file_key: str, order: str, line: str, width: int = 1_000_000, keep: list[str] = (), d: Dialect | None = None
+    df: DataFrame, file_key: str, order: str, line: str, width: int = 1_000_000, keep: list[str] = (), d: Dialect | None = None, blanks: bool = True
 ) -> LineSource:
     """Line source of a table that has a whole-number order column, unique per file.
 
@@ -78,7 +78,9 @@ def ordered_lines(
         F.col(order).cast("bigint").alias("__order"),
         F.col(line).alias("line"),
         *keep,
-    ).filter(_is_record(d))
+    )
+    if blanks or (d is not None and d.comment):
+        base = base.filter(_is_record(d))
     chunks = base.groupBy(*CHUNK).agg(F.lit(1).cast("bigint").alias("base"), F.count(F.lit(1)).alias("n_lines"))
     w = Window.partitionBy(*CHUNK).orderBy("__order")
     rows = base.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("__order")

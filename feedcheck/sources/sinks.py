@@ -59,13 +59,22 @@ def write_feed(df: DataFrame, path: str, d: Dialect, mode: str = "errorifexists"
     ).csv(path)
 
 
-def write_lines(lines: DataFrame, path: str, key: str = "file_key", mode: str = "errorifexists") -> None:
-    """Write rendered lines into one folder per file. Rows stay where they are: a large
-    file becomes several parts, so no task writes it alone."""
+def write_lines(lines: DataFrame, path: str, key: str = "file_key", order: str | None = None, mode: str = "errorifexists") -> None:
+    """Write rendered lines into one folder per file.
+
+    With an order column the parts of a file, taken by name, hold its lines in order.
+    Ranges are cut inside large files too, so no task writes one alone.
+    """
+    if order is not None:
+        lines = lines.repartitionByRange(key, order).sortWithinPartitions(key, order)
     lines.select(key, F.col("line").alias("value")).write.mode(mode).partitionBy(key).text(path)
 
 
 def write_partitioned(df: DataFrame, columns: list[str], path: str, mode: str = "append", rows_per_file: int = 10_000_000) -> None:
-    """Write a table partitioned by ``columns``. A partition with many rows is spread
-    over several tasks and files; nothing is gathered by partition value alone."""
-    df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(*columns).parquet(path)
+    """Write a table partitioned by ``columns``.
+
+    The rebalance hint brings rows of a partition together, so that not every task
+    writes a file in every partition, and splits a partition that holds too much.
+    """
+    out = df.hint("rebalance", *[F.col(c) for c in columns])
+    out.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy(*columns).parquet(path)

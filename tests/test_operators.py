@@ -73,6 +73,20 @@ def test_partitioned_write(spark, folder):
     assert "part_0=01" in os.listdir(f"{folder}/out")
 
 
+def test_written_lines_keep_their_order(spark, folder):
+    df = spark.range(5000).select(F.when(F.col("id") % 10 == 0, "s").otherwise("big").alias("file_key"), F.col("id").alias("record_id"))
+    df = df.withColumn("line", F.col("record_id").cast("string")).repartition(7)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_lines(df, f"{folder}/out", order="record_id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(f for f in os.listdir(f"{folder}/out/file_key=big") if f.endswith(".txt"))
+    assert len(parts) > 1
+    got = [int(x) for p in parts for x in open(f"{folder}/out/file_key=big/{p}").read().split()]
+    assert got == [i for i in range(5000) if i % 10]
+
+
 def listing(spark, names, directory="/in", host="h1"):
     return spark.createDataFrame([(directory, host, n) for n in names], "directory string, localhost string, file_name string")
 

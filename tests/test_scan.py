@@ -6,6 +6,7 @@ from feedcheck.functions.delimited import split_line
 from feedcheck.functions.dialect import Dialect, dialect, resolve_dialects
 from feedcheck.functions.schema import schema_from_avro_json
 from feedcheck.operators.framing import frame, number_lines
+from feedcheck.plans.validation import validate_files
 from feedcheck.sources import feed, sinks
 from feedcheck.sources.lines import ordered_lines, scan_lines
 from pyspark.sql import functions as F
@@ -48,6 +49,32 @@ def test_numbers_are_exact_over_many_splits(spark, folder):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_large_file_in_splits_is_validated_like_a_small_one(spark, folder):
+    n = 6000
+    body = [f"{i}|{i * 3}|{'x' if i % 2 else 'a,b'}" for i in range(n)]
+    for name, lines in (("good", body), ("bad", [*body[:4321], "q|1|x", *body[4322:]])):
+        with open(f"{folder}/{name}.unl", "w") as f:
+            f.write("\n".join([str(n), *lines, "end"]))
+    settings = {
+        "header_record_count": "1", "footer_record_count": "1", "record_count_location": "header", "record_count_filter": "[0-9]+",
+        "add_file_and_record_id": "1", "file_uuid_or_id": "file_uuid", "file_uuid": "u", "field_separator": "|",
+        "table_schema": avro("a:long", "b:long", "c:string"), "insert_table_schema": avro("file_id:string", "record_id:long", "a:long", "b:long", "c:string"),
+    }
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        src = scan_lines(spark, folder, dialect(sep="|"))
+        files = src.chunks.select("file_key").distinct()
+        run = validate_files(src, files, "data_only", settings=settings, dialect=dialect(sep="|"))
+        assert {r.file_key[-8:]: (r.code, r.actual_record_count) for r in run.decided.collect()} == {"good.unl": ("225304", n), "/bad.unl": ("325308", n)}
+        got = [r.line for r in run.success_lines().orderBy("record_id").collect()]
+        assert got == [f"u|{i + 1}|{b}" for i, b in enumerate(body)]
+        errors = [(r.line_no, r.record_id, r.field) for r in run.record_errors().collect()]
+        assert errors == [(4323, 4322, "a")]
+        assert run.original_lines("failure").count() == n + 2
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_ordered_lines_use_bounded_buckets(spark):
     df = spark.range(0, 1000).select(F.when(F.col("id") % 3 == 0, "small").otherwise("big").alias("f"), (F.col("id") * 7 - 500).alias("o"))
     src = ordered_lines(df.withColumn("l", F.col("o").cast("string")), "f", "o", "l", width=50)
