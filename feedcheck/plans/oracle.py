@@ -313,4 +313,30 @@ ORACLE: dict[str, str] = {
     "project_to_target": """SELECT 'c_mktsegment,region,c_custkey,c_name,c_nationkey' AS column_order, c_mktsegment, CAST(NULL AS VARCHAR) AS region,
       c_custkey, c_name, c_nationkey FROM customer""",
     "content_roundtrip": "SELECT doc_id, 'pass-' || source AS passphrase, md5(text) AS text_md5 FROM documents",
+    "relaxed_verdicts": f"""WITH {_EV}
+      SELECT file_key, CASE WHEN claim <> n THEN '325306' WHEN bad_user OR no_time THEN '325308' ELSE '225304' END AS code,
+             CASE WHEN no_time THEN 'event_time' ELSE '' END AS missing_fields, '' AS extra_fields,
+             CASE WHEN bad_user THEN 'user_id' ELSE '' END AS invalid_fields FROM per""",
+    "coerced_values": """SELECT event_id, CAST(NULL AS BIGINT) AS strict_value, CAST(trunc(value) AS BIGINT) AS coerced_value FROM events""",
+    "dialect_feeds": """WITH c AS (SELECT *, CASE c_nationkey % 3 WHEN 0 THEN 124 WHEN 1 THEN 9 ELSE 44 END AS separator FROM customer)
+      SELECT 'nation_' || c_nationkey AS file_key, c_custkey, c_name || chr(separator) || c_mktsegment AS label, separator FROM c""",
+    "named_feed": "SELECT c_custkey, c_name, c_acctbal, 'int,string,double' AS types FROM customer",
+    "landed_files": """SELECT 'nation_' || c_nationkey AS file_key, CAST(sum(length(CAST(c_custkey AS VARCHAR)) + length(c_name) + 2) AS BIGINT) AS bytes
+      FROM customer GROUP BY 1""",
+    "conf_rows": f"""WITH {_PAGES}, {_CONF}
+      SELECT directory, file_regex, username, 'ops@x.org,' || team AS support_email_list FROM conf WHERE project = 'odd'""",
+    "extracted_metadata": """SELECT o_orderkey, 'f' || o_orderkey AS file_name, CAST(NULL AS BIGINT) AS sequence_number, CAST(NULL AS BIGINT) AS file_size,
+      o_custkey AS record_count, CAST(NULL AS BIGINT) AS num_of_fields, CAST(NULL AS VARCHAR) AS data_start_date,
+      strftime(o_orderdate, '%Y%m%d') || '000000' AS data_end_date, CAST(NULL AS VARCHAR) AS date_of_file_generation FROM orders""",
+    "metadata_settings": """SELECT c_custkey,
+      CASE c_custkey % 6 WHEN 0 THEN ' ' WHEN 1 THEN '2' WHEN 2 THEN 'Header_Metadata' WHEN 3 THEN 'header_metadata_and_footer' WHEN 4 THEN 'first' END AS metadata_header_record,
+      CASE c_custkey % 6 WHEN 0 THEN 0 WHEN 1 THEN 2 WHEN 5 THEN 0 END AS metadata_line,
+      CASE c_custkey % 6 WHEN 2 THEN '325323' WHEN 3 THEN '325323' WHEN 4 THEN '325334' END AS metadata_setting_code FROM customer""",
+    "audit_events": f"""WITH {_EV}
+      SELECT CAST(dom % 3 AS VARCHAR) AS conf_id, 'node-' || substr(file_key, 8, 8) AS file_uuid, file_key AS file_name, code AS log_type_id FROM verdict""",
+    "streamed_files": f"""WITH {_EV}
+      SELECT substr(file_key, 8, 8) AS day, count(*) AS n_records, count(*) AS n_routed FROM dat GROUP BY 1""",
+    "windowed_timings": f"""WITH {_TIMINGS}
+      SELECT strftime(time_bucket(INTERVAL 15 MINUTE, created_at), '%Y-%m-%d %H:%M:%S') AS window_start, operation, count(*) AS n, min(duration_ms) AS min_ms,
+             max(duration_ms) AS max_ms, round(avg(duration_ms), 6) AS mean_ms FROM tm GROUP BY 1, 2""",
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.delimited import field_at, split_line
-from ..functions.dialect import dialect
+from ..functions.dialect import dialect, resolve_dialects
 from ..functions.schema import schema_from_avro_json
 from ..operators import audit as au
 from ..operators import config as cf
@@ -20,6 +20,7 @@ from ..sources import feed as fd
 from ..sources import listing as ls
 from ..sources import sinks
 from ..sources.lines import ordered_lines, scan_lines
+from ..streaming.ingest import stream_lines, stream_operation_stats, validate_stream
 from . import feeds
 from .validation import Validation, validate_files
 
@@ -536,3 +537,153 @@ def content_roundtrip(spark, sf):
     sealed_text = crypt.encrypt_content(keyed.withColumn("content", F.col("text").cast("binary")), "content", "passphrase", armor=True)
     opened = crypt.decrypt_content(sealed_text, "encrypted", "passphrase", armor=True)
     return opened.select("doc_id", "passphrase", F.md5("decrypted").alias("text_md5"))
+
+
+# ---- modes, dialects, sources ----------------------------------------------------
+
+
+@query
+def relaxed_verdicts(spark, sf):
+    """Verdicts with extra fields allowed, types coerced and dates rolled over."""
+    run = validate_files(
+        feeds.event_feed(spark, sf), feeds.event_files(spark, sf), "data_only", settings=feeds.event_settings(), dialect=feeds.DIALECT,
+        allow_extra=True, strict=False, lenient_dates=True,
+    )
+    return run.verdicts.select("file_key", "code", *_joined("missing_fields", "extra_fields", "invalid_fields"))
+
+
+@query
+def coerced_values(spark, sf):
+    """Amounts with decimals under a whole-number field, strict and coerced."""
+    ev = feeds.table(spark, sf, "events").select("event_id", F.col("value").cast("string").alias("line"))
+    schema = schema_from_avro_json(feeds.avro_schema("v", ("amount", "long")))
+    strict = fd.typed_records(ev, schema, feeds.DIALECT, ["event_id", "line"]).withColumnRenamed("amount", "strict_value")
+    return fd.typed_records(strict, schema, feeds.DIALECT, ["event_id", "strict_value"], strict=False).withColumnRenamed("amount", "coerced_value")
+
+
+@query
+def dialect_feeds(spark, sf):
+    """Customers in one file per nation, each file with its own separator; a separator of
+    more than one character falls back to the default."""
+    c = feeds.table(spark, sf, "customer")
+    key = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
+    files = c.select(key.alias("file_key"), "c_nationkey").distinct()
+    named = F.when(F.col("c_nationkey") % 3 == 0, F.lit("|")).when(F.col("c_nationkey") % 3 == 1, F.lit("\\t")).otherwise(F.lit("~~"))
+    files = files.withColumn("field_separator", named).drop("c_nationkey")
+    used = F.when(F.col("c_nationkey") % 3 == 0, F.lit("|")).when(F.col("c_nationkey") % 3 == 1, F.lit("\t")).otherwise(F.lit(","))
+    line = F.concat(F.col("c_custkey").cast("string"), used, F.lit('"'), F.col("c_name"), used, F.col("c_mktsegment"), F.lit('"'))
+    lines = c.select(key.alias("file_key"), line.alias("line"))
+    schema = schema_from_avro_json(feeds.avro_schema("c", ("c_custkey", "long"), ("label", "string")))
+    out = None
+    for d, part in resolve_dialects(files):
+        mine = lines.join(broadcast_if_small(part.select("file_key")), "file_key", "left_semi")
+        rows = fd.typed_records(mine, schema, d, ["file_key"]).withColumn("separator", F.ascii(F.lit(d.sep)))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query
+def named_feed(spark, sf):
+    """Customers written with a header line and read back by it, types inferred."""
+    form = dialect("rfc-4180", header=True, record_separator="\n")
+    folder = new_folder(spark, "named")
+    c = feeds.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    sinks.write_feed(c, folder, form)
+    back = fd.read_feed(spark, folder, form, infer=True)
+    kinds = ",".join(f.dataType.simpleString() for f in back.schema.fields)
+    return back.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_acctbal", F.lit(kinds).alias("types"))
+
+
+@query
+def landed_files(spark, sf):
+    """Customers written as one folder of text files per nation and listed again: bytes
+    per folder of the files whose name matches."""
+    folder = new_folder(spark, "landed")
+    c = feeds.table(spark, sf, "customer")
+    key = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
+    sinks.write_lines(c.select(key.alias("file_key"), F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name").alias("line")), folder)
+    found = ls.list_paths(spark, folder, recursive=True).filter(F.col("file_name").rlike("\\A(?:part-.*\\.txt)\\z"))
+    return found.groupBy(F.regexp_extract("folder", "file_key=(.*)\\z", 1).alias("file_key")).agg(F.sum("size").alias("bytes"))
+
+
+@query
+def conf_rows(spark, sf):
+    """The configuration table read with its project predicate pushed down."""
+    folder = new_folder(spark, "conf")
+    feeds.page_conf(spark, sf).write.parquet(folder)
+    return cn.read_conf(spark, folder, "odd", ["directory", "file_regex", "username", "support_email_list"])
+
+
+@query
+def extracted_metadata(spark, sf):
+    """Known metadata fields of order records, whatever the case of their names."""
+    o = feeds.table(spark, sf, "orders")
+    rows = o.select(
+        "o_orderkey", F.concat(F.lit("f"), F.col("o_orderkey").cast("string")).alias("File_Name"), F.col("o_custkey").cast("string").alias("RECORD_COUNT"),
+        F.col("o_orderstatus").alias("num_of_fields"), F.date_format("o_orderdate", "dd/MM/yyyy").alias("Data_End_Date"), F.col("o_orderpriority").alias("priority"),
+    )
+    schema = schema_from_avro_json(
+        feeds.avro_schema(
+            "m", ("File_Name", "string"), ("RECORD_COUNT", "long"), ("num_of_fields", "long"), ("Data_End_Date", "string", "dd/MM/yyyy"), ("priority", "string")
+        )
+    )
+    return metadata.extract_metadata(rows, schema).select("o_orderkey", "metadata.*")
+
+
+@query
+def metadata_settings(spark, sf):
+    """Metadata line settings: blank, a number, a word, other text."""
+    c = feeds.table(spark, sf, "customer").select("c_custkey")
+    n = F.col("c_custkey") % 6
+    text = (
+        F.when(n == 0, F.lit(" ")).when(n == 1, F.lit("2")).when(n == 2, F.lit("Header_Metadata")).when(n == 3, F.lit("header_metadata_and_footer")).when(n == 4, F.lit("first"))
+    )
+    return cf.metadata_line_setting(c.withColumn("metadata_header_record", text))
+
+
+@query
+def audit_events(spark, sf):
+    """Audit rows at info level and above, without their random id and time."""
+    return _feed(spark, sf).audit("INFO").select("conf_id", "file_uuid", "file_name", "log_type_id")
+
+
+# ---- streams -----------------------------------------------------------------------
+
+
+@query
+def streamed_files(spark, sf):
+    """The events as text files validated by a stream, several files to a batch: records
+    per day as counted, and lines routed to either side."""
+    landing, out = new_folder(spark, "landing"), new_folder(spark, "streamed")
+    sinks.write_lines(feeds.event_data_lines(spark, sf).select("file_key", "line"), landing)
+    settings = feeds.event_settings(
+        header_record_count="0", footer_record_count="0", record_count_location="none", record_count_filter="", file_uuid_or_id="file_uuid"
+    )
+    lines = stream_lines(spark, f"{landing}/*", max_files=1000)
+    validate_stream(lines, settings, "data_only", feeds.DIALECT, out).trigger(availableNow=True).start().awaitTermination()
+    day = F.regexp_extract("file_key", "events_([0-9]{8})", 1).alias("day")
+    counted = spark.read.parquet(f"{out}/verdicts").groupBy(day).agg(F.sum("actual_record_count").alias("n_records"))
+    sides = spark.read.parquet(f"{out}/success").select("file_key").unionByName(spark.read.parquet(f"{out}/failure").select("file_key"))
+    return counted.join(sides.groupBy(day).agg(F.count(F.lit(1)).alias("n_routed")), "day")
+
+
+@query
+def windowed_timings(spark, sf):
+    """Statistics per operation and quarter of an hour, computed by a stream."""
+    feeds.table(spark, sf, "events")
+    schema = "event_id bigint, ts timestamp_ntz, event_type string, value double"
+    ev = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    timings = ev.select(
+        F.upper("event_type").alias("operation"), F.round(F.col("value") * 10).cast("int").alias("duration_ms"), F.col("ts").cast("timestamp").alias("created_at")
+    )
+    folder = new_folder(spark, "windowed")
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{folder}/batch")
+
+    stream = stream_operation_stats(timings).writeStream.outputMode("complete").foreachBatch(write)
+    stream.option("checkpointLocation", f"{folder}/_state").trigger(availableNow=True).start().awaitTermination()
+    back = spark.read.parquet(f"{folder}/batch")
+    return back.select(
+        F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "operation", "n", "min_ms", "max_ms", F.round("mean_ms", 6).alias("mean_ms")
+    )
