@@ -225,7 +225,7 @@ ORACLE: dict[str, str] = {
       e AS (SELECT *, concat_ws(',', CASE WHEN bad_h THEN '325316' END, CASE WHEN bad_f THEN '325316' END, CASE WHEN loc = 'bottom' THEN '325314' END,
               CASE WHEN loc IN ('header', 'footer', 'filename') AND blank THEN '325331' END, CASE WHEN bad_id THEN '325315' END,
               CASE WHEN bad_choice THEN '325314' END) AS failed FROM c)
-      SELECT k AS file_key, CASE WHEN NOT bad_h THEN k % 3 END AS header_n, CASE WHEN NOT bad_f THEN k % 4 - 1 END AS footer_n,
+      SELECT k AS file_key, CASE WHEN NOT bad_h THEN CAST(k % 3 AS INTEGER) END AS header_n, CASE WHEN NOT bad_f THEN CAST(k % 4 - 1 AS INTEGER) END AS footer_n,
              CASE WHEN loc IS NULL THEN '325333' WHEN failed <> '' THEN '325305' END AS config_code, failed AS failed_checks FROM e""",
     "dates_to_epoch": f"""WITH {_EV}
       SELECT event_id, epoch_ms(try_strptime(f5, '%Y%m%d%H%M%S')) AS event_time, bad_date AS event_time_failed FROM dat""",
@@ -269,7 +269,8 @@ ORACLE: dict[str, str] = {
     "new_files": """WITH p AS (SELECT page_id, page_id // 5 * 1000 AS modified_ms FROM pages),
       t AS (SELECT max(modified_ms) AS top FROM p), held AS (SELECT max(modified_ms) AS top FROM p WHERE modified_ms <= 20000)
       SELECT 1 AS cycle, page_id, modified_ms FROM p WHERE modified_ms <= 20000 AND modified_ms < (SELECT top FROM held)
-      UNION ALL SELECT 2, page_id, modified_ms FROM p WHERE modified_ms >= (SELECT top FROM held) AND modified_ms < (SELECT top FROM t)""",
+      UNION ALL SELECT 2, page_id, modified_ms FROM p WHERE modified_ms >= (SELECT top FROM held)
+        AND (modified_ms < (SELECT top FROM t) OR (SELECT top FROM t) = (SELECT top FROM held))""",
     "listing_attributes": f"""WITH {_PAGES}
       SELECT CASE WHEN page_id % 4 = 0 THEN './' ELSE relative || '/' END AS path, file_name AS filename,
              '/landing/' || CASE WHEN page_id % 4 = 0 THEN '' ELSE relative || '/' END AS absolute_path, CAST(size AS VARCHAR) AS file_size,

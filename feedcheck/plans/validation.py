@@ -437,11 +437,14 @@ class Validation:
             "__null": quote_field(F.lit(None).cast("string"), w),
         }
         place: dict[int, dict[str, str]] = {}
+        texts: dict[str, Column] = {}
         for g in self._usable_groups:
             for i, f in enumerate(g.read.fields):
                 name = f"__q{self._checker.value_name(i, f) or f'__t{i}'}_{f.type}"
-                shown[name] = quote_field(self._checker.value(i, f).cast("string"), w, numeric=f.type != "string")
+                texts[f"{name}_text"] = self._checker.value(i, f).cast("string")
+                shown[name] = quote_field(F.col(f"{name}_text"), w, numeric=f.type != "string")
                 place.setdefault(g.id, {})[f.name] = name
+        rows = rows.withColumns(texts)
         rows = rows.withColumns(shown)
 
         def line_of(g: Group) -> Column:
