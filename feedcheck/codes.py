@@ -120,3 +120,14 @@ CHECK_MESSAGES = {
 }
 
 LEVELS = {"1": "DEBUG", "2": "INFO", "3": "ERROR"}
+
+# The message of a file with schema errors. A part is shown as its text, the
+# number of names, and the second text, with the names in brackets.
+SUMMARY_START = "Records in this FlowFile were invalid for the following reasons: "
+SUMMARY_PARTS = {
+    "missing": ("The following ", " fields were missing: "),
+    "extra": ("; The following ", " fields were present in the Record but not in the schema: "),
+    "invalid": ("; The following ", " fields had values whose type did not match the schema: "),
+    "other": ("; The following ", " additional problems were encountered: "),
+}
+SUMMARY_LIMIT = 65535

@@ -67,7 +67,7 @@ def parse_strict(col: Column, pattern: str) -> Column:
     return F.try_to_timestamp(col, F.lit(to_spark_pattern(pattern)))
 
 
-_LARGEST_PART = 10_000_000  # larger days or months leave the range of a timestamp
+_LARGEST_PART = 1_000_000  # larger months or days leave the range of a timestamp
 _NUMERIC = {"y": "year", "M": "month", "d": "day", "H": "hour", "m": "minute", "s": "second", "S": "milli"}
 
 
@@ -96,15 +96,15 @@ def parse_lenient(col: Column, pattern: str) -> Column:
         value = F.when(value < _LARGEST_PART, value)
         part[_NUMERIC[text[0]]] = value + F.lit(2000) if text == "yy" else value
     zero = F.lit(0)
-    start = F.make_timestamp(part["year"], F.lit(1), F.lit(1), zero, zero, zero.cast("decimal(16,6)"))
-    start = F.when(part["year"].between(1, 9999), start)
-    # Calendar parts move the local date; clock parts are added to the local time.
-    day = F.date_add(F.add_months(F.to_date(start), part.get("month", F.lit(1)) - 1), part.get("day", F.lit(1)) - 1)
+    start = F.when(part["year"].between(1, 9999), F.make_date(part["year"], F.lit(1), F.lit(1)))
+    # Calendar parts move the date, clock parts the time of day, both without a zone; the
+    # zone comes last, so a change of clocks in between does not shift the result.
+    day = F.date_add(F.add_months(start, part.get("month", F.lit(1)) - 1), part.get("day", F.lit(1)) - 1)
     clock = F.make_dt_interval(zero, part.get("hour", zero), part.get("minute", zero), part.get("second", zero).cast("decimal(18,6)"))
-    stamp = day.cast("timestamp") + clock
+    stamp = day.cast("timestamp_ntz") + clock
     if "milli" in part:
         stamp = stamp + F.make_dt_interval(zero, zero, zero, (part["milli"] / F.lit(1000)).cast("decimal(18,6)"))
-    return F.when(col.rlike(regex), stamp)
+    return F.when(col.rlike(regex), stamp.cast("timestamp"))
 
 
 def parse_date(col: Column, pattern: str, lenient: bool = False) -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import codes
 from ..functions import dates
 from ..functions.delimited import field_at, split_line
 from ..functions.dialect import Dialect
@@ -311,19 +312,14 @@ def error_message(missing: Column, extra: Column, invalid: Column, other: Column
     """One message per file. Every part after the first set is preceded by ``; ``,
     also when it is the first part shown; the text is cut at 65535 characters."""
 
-    def part(names: Column, before: str, after: str, lead: str) -> Column:
-        text = F.concat(F.lit(lead + before), F.size(names).cast("string"), F.lit(after + "["), F.array_join(names, ", "), F.lit("]"))
-        return F.when(F.size(names) > 0, text).otherwise(F.lit(""))
-
-    parts = [
-        F.lit("Records in this FlowFile were invalid for the following reasons: "),
-        part(missing, "The following ", " fields were missing: ", ""),
-        part(extra, "The following ", " fields were present in the Record but not in the schema: ", "; "),
-        part(invalid, "The following ", " fields had values whose type did not match the schema: ", "; "),
-    ]
-    if other is not None:
-        parts.append(part(other, "The following ", " additional problems were encountered: ", "; "))
-    return F.substring(F.concat(*parts), 1, 65535)
+    given = {"missing": missing, "extra": extra, "invalid": invalid, "other": other}
+    parts = [F.lit(codes.SUMMARY_START)]
+    for kind, (before, after) in codes.SUMMARY_PARTS.items():
+        names = given[kind]
+        if names is not None:
+            text = F.concat(F.lit(before), F.size(names).cast("string"), F.lit(after + "["), F.array_join(names, ", "), F.lit("]"))
+            parts.append(F.when(F.size(names) > 0, text).otherwise(F.lit("")))
+    return F.substring(F.concat(*parts), 1, codes.SUMMARY_LIMIT)
 
 
 def summarise_errors(errors: DataFrame, key: str = "file_key") -> DataFrame:

@@ -48,7 +48,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int =
     """Add a broadcast hint after measuring rows and bytes; larger frames stay as
     they are, so Spark shuffles the join and splits skewed partitions at run time."""
     width = F.length(F.to_json(F.struct(*df.columns)))
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
+    seen = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("b")).first()
     if seen.n <= max_rows and (seen.b or 0) <= max_bytes:
         return F.broadcast(df)
     return df

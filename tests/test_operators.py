@@ -222,6 +222,16 @@ def test_dates(spark):
             dates.to_spark_pattern(bad)
 
 
+def test_lenient_dates_over_a_change_of_clocks(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        df = spark.createDataFrame([("20240331120000",), ("20241027120000",), ("20240330360000",)], "t string")
+        got = [r[0] for r in df.select(F.date_format(dates.parse_lenient(F.col("t"), "yyyyMMddHHmmss"), "yyyyMMddHHmmss")).collect()]
+        assert got == ["20240331120000", "20241027120000", "20240331120000"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_schema_text():
     s = schema_from_avro_json(avro("a:long", "b:string?", "c:long@yyyyMMdd#date"))
     st = s.to_struct()
