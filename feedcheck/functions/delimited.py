@@ -25,8 +25,24 @@ def _token(d: Dialect) -> str:
     if not d.quote:
         return plain
     q = re.escape(d.quote)
-    inside = f"(?:[^{q}{esc}]++|{esc}.|{q}{q})*+" if esc else f"(?:[^{q}]++|{q}{q})*+"
-    return f"(?:{q}{inside}{q}[ \\t]*+|(?!{q}){plain})"
+    return f"(?:{q}{_inside(d)}{q}[ \\t]*+|(?!{q}){plain})"
+
+
+def _inside(d: Dialect) -> str:
+    """Regular expression of the text between two quotes."""
+    q, esc = re.escape(d.quote), re.escape(d.escape) if _own_escape(d) else ""
+    return f"(?:[^{q}{esc}]++|{esc}.|{q}{q})*+" if esc else f"(?:[^{q}]++|{q}{q})*+"
+
+
+def open_quote(line: Column, d: Dialect) -> tuple[Column, Column]:
+    """Whether a physical line ends inside a quoted value: when it starts outside of one,
+    and when it starts inside."""
+    sep, q, tok = re.escape(d.sep), re.escape(d.quote), _token(d)
+    inside = _inside(d)
+    opened = f"(?s)\\A(?:{tok}{sep})*+{q}{inside}\\z"
+    kept = f"(?s)\\A{inside}(?:{q}[ \\t]*+(?:{sep}{tok})*+{sep}{q}{inside})?\\z"
+    has_quote = F.contains(line, F.lit(d.quote))
+    return F.when(has_quote, line.rlike(opened)).otherwise(False), F.when(has_quote, line.rlike(kept)).otherwise(True)
 
 
 def _own_escape(d: Dialect) -> bool:

@@ -308,6 +308,7 @@ ORACLE: dict[str, str] = {
       md5(doc_id || '|' || {_quoted("source")} || '|' || {_quoted("text")}) AS non_numeric,
       md5(doc_id || '|' || {_escaped("source")} || '|' || {_escaped("text")} || '|') AS none FROM documents""",
     "split_lines": "SELECT doc_id, 3 AS n, md5(text) AS text_md5, lang FROM documents",
+    "multiline_records": "SELECT doc_id, 3 AS n, md5(text) AS text_md5, lang FROM documents",
     "malformed_lines": """WITH d AS (SELECT source AS file_key, doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS line_no FROM documents)
       SELECT file_key, doc_id, line_no FROM d WHERE doc_id % 50 = 0""",
     "typed_feed": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",

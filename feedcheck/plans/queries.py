@@ -491,6 +491,23 @@ def split_lines(spark, sf):
     return rows.select("doc_id", F.size(fields).alias("n"), F.md5(field_at(fields, 1, form).cast("binary")).alias("text_md5"), field_at(fields, 2, form).alias("lang"))
 
 
+@query
+def multiline_records(spark, sf):
+    """Documents written as text files, one folder per language, and scanned back in
+    splits: their quoted texts run over many lines."""
+    form = dialect("rfc-4180", sep="|", quote_mode="ALL")
+    folder = new_folder(spark, "multiline")
+    d = feeds.table(spark, sf, "documents").select("doc_id", "text", "lang")
+    sinks.write_lines(d.select(F.col("lang").alias("file_key"), sinks.line_column(d, form).alias("line")), folder)
+    rows = framing.number_lines(scan_lines(spark, folder, form, multiline=True))
+    fields = F.col("fields")
+    rows = rows.withColumn("fields", split_line(F.col("line"), form))
+    return rows.select(
+        field_at(fields, 0, form).cast("bigint").alias("doc_id"), F.size(fields).alias("n"), F.md5(field_at(fields, 1, form).cast("binary")).alias("text_md5"),
+        field_at(fields, 2, form).alias("lang"),
+    )
+
+
 @query
 def malformed_lines(spark, sf):
     """Document lines whose opening quote was left unclosed, by position in their source."""

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.delimited import open_quote
 from ..functions.dialect import Dialect
 from ..session import materialise, pin_splits
 
@@ -48,10 +49,15 @@ def number_splits(raw: DataFrame, d: Dialect | None = None) -> LineSource:
     return LineSource(rows, materialise(_count_chunks(rows), "chunks"))
 
 
-def scan_lines(spark: SparkSession, paths, d: Dialect | None = None) -> LineSource:
-    """Lines of text files. Large plain files are read in splits; ``file_key`` is the path."""
+def scan_lines(spark: SparkSession, paths, d: Dialect | None = None, multiline: bool = False) -> LineSource:
+    """Lines of text files. Large plain files are read in splits; ``file_key`` is the path.
+
+    With ``multiline`` a quoted value may hold line breaks (see ``stitch_lines``).
+    """
     pin_splits(spark)
     reader = spark.read.option("recursiveFileLookup", "true")
+    if multiline:
+        reader = reader.option("lineSep", "\n")
     if d is not None and d.encoding.upper() != "UTF-8":
         reader = reader.option("encoding", d.encoding).option("lineSep", "\n")
     raw = reader.text(paths).select(
@@ -60,7 +66,72 @@ def scan_lines(spark: SparkSession, paths, d: Dialect | None = None) -> LineSour
         F.col("_metadata.file_block_length").alias("chunk_len"),
         F.col("value").alias("line"),
     )
-    return number_splits(raw, d)
+    return stitch_lines(raw, d) if multiline else number_splits(raw, d)
+
+
+def stitch_lines(raw: DataFrame, d: Dialect) -> LineSource:
+    """Line source of logical records, where a quoted value may run over several lines.
+
+    Seen from its start, a line either sets whether a quote is open at its end, flips it,
+    or leaves it. Such steps combine in any grouping, so every split is worked out alone
+    and only one step per split is carried along the file. Lines of a record that is
+    spread over several lines are gathered by record; all others stay where they are. A
+    quote that is never closed does not gather the rest of its file: its first line
+    remains, and is malformed.
+    """
+    own = Window.partitionBy(*CHUNK).orderBy("pos")
+    until = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = own.rowsBetween(Window.unboundedPreceding, -1)
+    from_outside, from_inside = open_quote(F.col("line"), d)
+    rows = raw.withColumn("pos", F.monotonically_increasing_id()).withColumns({"o": from_outside, "i": from_inside})
+    rows = rows.withColumns({"sets": F.col("o") == F.col("i"), "flips": (F.col("o") & ~F.col("i")).cast("int")})
+    rows = rows.withColumn("n_flips", F.sum("flips").over(until))
+    mark = F.when(F.col("sets"), F.struct(F.col("o").cast("int").alias("v"), F.col("n_flips").alias("at")))
+    rows = rows.withColumns({"mark": F.last(mark, ignorenulls=True).over(until), "last_mark": F.last(mark, ignorenulls=True).over(earlier)})
+    rows = rows.withColumn("flips_before", F.col("n_flips") - F.col("flips"))
+
+    # One step per split, then whether a quote is open where the split starts.
+    end = F.max_by(F.struct("mark", "n_flips"), "pos")
+    steps = rows.groupBy(*CHUNK).agg(end.alias("end")).select(*CHUNK, "end.*")
+    steps = materialise(steps, "quote-steps")
+    along = Window.partitionBy("file_key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = steps.withColumn("flips_to", F.sum(F.when(F.col("mark").isNull(), F.col("n_flips")).otherwise(0)).over(along))
+    value = F.pmod(F.col("mark.v") + F.col("n_flips") - F.col("mark.at"), F.lit(2))
+    held = F.last(F.when(F.col("mark").isNotNull(), F.struct(value.alias("v"), F.col("flips_to").alias("at"))), ignorenulls=True).over(along)
+    state = F.pmod(F.coalesce(held["v"], F.lit(0)) + F.col("flips_to") - F.coalesce(held["at"], F.lit(0)), F.lit(2))
+    steps = steps.withColumn("open_after", state)
+    whole = Window.partitionBy("file_key")
+    starts = steps.select(
+        *CHUNK,
+        F.coalesce(F.lag("open_after").over(whole.orderBy("chunk")), F.lit(0)).alias("open_at_start"),
+        F.max_by("open_after", "chunk").over(whole).alias("open_at_end"),
+    )
+
+    rows = rows.join(starts, CHUNK)
+    state_in = F.when(F.col("last_mark").isNotNull(), F.pmod(F.col("last_mark.v") + F.col("flips_before") - F.col("last_mark.at"), F.lit(2)))
+    state_in = F.coalesce(state_in, F.pmod(F.col("open_at_start") + F.col("flips_before"), F.lit(2)))
+    rows = rows.withColumn("inside", state_in == 1)
+    rows = rows.withColumn("opens", F.when(F.col("inside"), F.col("i")).otherwise(F.col("o")))
+    # The record a line belongs to, named by the place of its first line.
+    rows = rows.select("file_key", "chunk", "chunk_len", "pos", "line", "inside", "opens", "open_at_end")
+    first = F.when(~F.col("inside"), F.struct("chunk", "chunk_len", "pos"))
+    rows = rows.withColumn("own_first", F.last(first, ignorenulls=True).over(until))
+    tails = rows.groupBy(*CHUNK).agg(F.max("own_first").alias("last_first"))
+    tails = materialise(tails, "quote-tails")
+    before = Window.partitionBy("file_key").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    tails = tails.select(*CHUNK, F.last("last_first", ignorenulls=True).over(before).alias("carried"), F.max("last_first").over(whole).alias("final"))
+    rows = rows.join(tails, CHUNK).withColumn("first", F.coalesce("own_first", "carried"))
+    unclosed = (F.col("open_at_end") == 1) & (F.col("first") == F.col("final"))
+    single = ~F.col("inside") & (~F.col("opens") | unclosed)
+    singles = rows.filter(single).select("file_key", "first", "line")
+    spread = rows.filter(~single & ~unclosed).groupBy("file_key", "first").agg(F.collect_list(F.struct("chunk", "pos", "line")).alias("parts"))
+    spread = spread.select("file_key", "first", F.array_join(F.transform(F.array_sort("parts"), lambda x: x["line"]), "\n").alias("line"))
+    records = singles.unionByName(spread).withColumn("line", F.regexp_replace("line", "\\r\\z", ""))
+    records = records.select("file_key", "first.*", "line").filter(_is_record(d))
+    rank = Window.partitionBy(*CHUNK).orderBy("pos")
+    out = records.withColumn("seq", F.row_number().over(rank).cast("bigint")).drop("pos")
+    chunks = records.groupBy(*CHUNK).agg(F.lit(1).cast("bigint").alias("base"), F.count(F.lit(1)).alias("n_lines"))
+    return LineSource(out, materialise(chunks, "chunks"), partitioned=True)
 
 
 def ordered_lines(
