@@ -2,30 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local_dirs: dict[str, str] = {}
-
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for written intermediates.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master may go
-    without one, because a machine-local folder is not visible to other machines.
-    """
+    """The shared folder for written intermediates: ``spark.checkpoint.dir``, which every
+    executor reaches, else a folder in the warehouse, which is shared as well."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="feedcheck-")
-    return _local_dirs[app]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/feedcheck-work").rstrip("/")
 
 
 def new_folder(spark: SparkSession, tag: str) -> str:
