@@ -46,7 +46,8 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", salts: int = 64, h
     )
     staged = materialise(sorted_rows, "exact")
     pick = F.min if keep == "smallest" else F.max
-    groups = staged.groupBy("text_sha256").agg(pick("doc_id").alias("keep_id"), F.sum("counted").alias("group_size"))
+    # Written, so that both sides of the join are plain shuffles and Spark may split a hot one.
+    groups = materialise(staged.groupBy("text_sha256").agg(pick("doc_id").alias("keep_id"), F.sum("counted").alias("group_size")), "groups")
     return staged.join(groups, "text_sha256").select(
         "doc_id",
         "keep_id",
