@@ -201,8 +201,9 @@ def _links_of_blocks(batches, percent: int, limit: float):
 def _links_off_centre(family: DataFrame, docs: DataFrame, percent: int, limit: float) -> DataFrame:
     """Links that do not show in the comparison with the centre: each loose member of a family
     (centre, id, n, far, least_far) against the others, in blocks of about 64 by 64."""
-    family = family.withColumn("loose", F.col("far") > limit)
-    sizes = family.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("loose").cast("int")).alias("n_loose")).filter("n_loose > 0 and size > 1")
+    # Written, so that both sides of the join are plain shuffles and Spark may split a hot one.
+    family = materialise(family.withColumn("loose", F.col("far") > limit), "family")
+    sizes = materialise(family.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("loose").cast("int")).alias("n_loose")).filter("n_loose > 0 and size > 1"), "sizes")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text"))
     rows = family.join(sizes, "centre").join(texts, "id")
     blocks, loose_blocks = F.ceil(F.col("size") / BLOCK_ROWS), F.ceil(F.col("n_loose") / BLOCK_ROWS)
