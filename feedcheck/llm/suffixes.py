@@ -124,10 +124,11 @@ def _next_pass(open_rows: DataFrame, texts: DataFrame, width: int, size: int) ->
 
 @dataclass
 class Repeats:
-    """``rows``: doc_id, key, sha, n_bytes, copies of each row; ``spans``: merged removed spans by
-    key, of texts that are not copies; ``texts``: key and body of texts that may hold repeats."""
+    """``rows``: doc_id, key, sha, n_bytes of each row; ``stand``: rows of each key (copies);
+    ``spans``: removed spans by key, of texts without copies; ``texts``: key and body of texts that may hold repeats."""
 
     rows: DataFrame
+    stand: DataFrame
     spans: DataFrame
     texts: DataFrame
     size: int
@@ -173,7 +174,7 @@ def repeats(docs: DataFrame, size: int = 400) -> Repeats:
     spans = settled[0]
     for more in settled[1:]:
         spans = spans.union(more)
-    return Repeats(listed.join(stand.select("key", "copies"), "key"), spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), texts, size)
+    return Repeats(listed, stand.select("key", "copies"), spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), texts, size)
 
 
 def merged(spans: list[dict]) -> list[tuple[int, int]]:
@@ -216,8 +217,10 @@ def removal_digests(found: Repeats) -> DataFrame:
 
     cut = _of_spans(found, make, _CUT, "key binary, n_removed long, n_spans long, kept_sha256 string")
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= found.size)
+    # One small row per text, written, so that Spark may split a text with very many rows in the join.
+    by_text = materialise(found.stand.join(cut, "key", "left"), "cut")
     return (
-        found.rows.join(cut, "key", "left")
+        found.rows.join(by_text, "key")
         .select(
             "doc_id",
             "n_bytes",
@@ -233,7 +236,7 @@ def without_repeats(docs: DataFrame, size: int = 400) -> DataFrame:
     a whole, and documents of which nothing is left go. ``n_chars``, where present, is counted anew."""
     found = repeats(docs, size)
     cut = _of_spans(found, lambda data, spans: (kept_bytes(data, spans).decode("utf-8", "ignore"),), _LEFT, "key binary, left string")
-    gone = found.rows.filter((F.col("copies") > 1) & (F.col("n_bytes") >= size)).select("key", F.lit("").alias("left")).distinct()
+    gone = found.rows.filter(F.col("n_bytes") >= size).select("key").join(found.stand.filter("copies > 1"), "key").select("key", F.lit("").alias("left")).distinct()
     change = materialise(cut.union(gone).select(F.col("key").alias("key_"), F.col("left").alias("left_")), "left")
     key = F.substring(F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)), 1, 16)
     joined = docs.withColumn("own_", key).join(change, F.col("own_") == F.col("key_"), "left")
