@@ -153,7 +153,8 @@ def repeats(docs: DataFrame, size: int = 400) -> Repeats:
     first = materialise(_first_pass(rows, size), "anchors")
     mine = stand.select("key", "stand", (F.col("copies") > 1).alias("known"))
     current = first.drop("known").join(mine, "key").filter(F.col("doc_id").eqNullSafe(F.col("stand"))).drop("doc_id", "stand")
-    met = current.groupBy("inner").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("all_known")).filter("n > 1 and not all_known").select("inner")
+    # Keys are written before they are joined back, so that both sides of the join are plain shuffles and Spark may split a hot one.
+    met = materialise(current.groupBy("inner").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("all_known")).filter("n > 1 and not all_known").select("inner"), "met")
     current = materialise(current.join(met, "inner"), "pass")
     wanted = current.select("key").distinct().join(stand, "key").select("key", "stand")
     texts = rows.join(wanted, "key").filter(F.col("doc_id").eqNullSafe(F.col("stand"))).select("key", "body")
@@ -168,6 +169,7 @@ def repeats(docs: DataFrame, size: int = 400) -> Repeats:
             break
         # Alone in its group, a string that is met once has no equal window either.
         unsettled = groups.groupBy("inner").agg(F.count(F.lit(1)).alias("strings"), F.max(~F.col("twice") & ~F.col("all_known")).alias("open")).filter("open and strings > 1").select("inner")
+        unsettled = materialise(unsettled, "unsettled")
         onward = groups.join(unsettled, "inner").select("w.*", (F.col("twice") | F.col("all_known")).alias("known"))
         after = _next_pass(onward, texts, width, size)
         current = materialise(after, "pass")
