@@ -17,8 +17,8 @@ from feedcheck.llm.common import record_batches, small_batches
 
 #: Cost of a cut, in tokens of padding: at a sentence's end, and inside a sentence.
 SENTENCE, INSIDE = 8, 24
-#: One candidate cut at most in so many tokens, besides the ends of documents.
-CELL = 32
+#: Cells of a sequence; each has one candidate cut at most, besides the ends of documents.
+CELLS = 128
 #: Windows are chosen over so many tokens at a time, up to the next end of a document.
 SEGMENT = 1 << 20
 
@@ -31,14 +31,14 @@ def padding(length: int, size: int) -> int:
     return 0 if length & (length - 1) == 0 else size - length
 
 
-def candidates(n: int, sentence_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def candidates(n: int, sentence_ends: np.ndarray, cell_size: int) -> tuple[np.ndarray, np.ndarray]:
     """Where a document of ``n`` tokens may be cut, and at what cost: at its end for nothing,
     and once in each cell, after the cell's last sentence or else at the cell's end."""
-    cells = np.arange(CELL, n, CELL)
+    cells = np.arange(cell_size, n, cell_size)
     at, cost = cells.copy(), np.full(len(cells), INSIDE)
-    inner = sentence_ends[(sentence_ends < n) & (sentence_ends <= len(cells) * CELL) & (sentence_ends > 0)]
+    inner = sentence_ends[(sentence_ends < n) & (sentence_ends <= len(cells) * cell_size) & (sentence_ends > 0)]
     if len(inner):
-        cell = (inner - 1) // CELL
+        cell = (inner - 1) // cell_size
         last = np.append(cell[1:] != cell[:-1], True)
         at[cell[last]], cost[cell[last]] = inner[last], SENTENCE
     return np.append(at, n), np.append(cost, 0)
@@ -139,7 +139,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = 409
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = np.append(enc.encode(text), end)
-                where, price = candidates(len(ids), np.flatnonzero(stops[ids]) + 1)
+                where, price = candidates(len(ids), np.flatnonzero(stops[ids]) + 1, max(1, size // CELLS))
                 at += (where + total).tolist()
                 cost += price.tolist()
                 held.append((doc_id, ids))
