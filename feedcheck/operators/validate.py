@@ -22,6 +22,10 @@ MASK_BITS = 62  # fields per error mask, within a signed 64-bit number
 STOPS = ("malformed", "null_pointer", "illegal_argument", "date")
 
 
+# A decimal number; casts alone also take Java's type suffixes, hexadecimal floats and NaN.
+_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def _typed(text: Column, f: FeedField, strict: bool, trimmed: bool) -> Column:
     """The typed value, or null where the text does not fit the type."""
     if f.type == "string":
@@ -30,8 +34,9 @@ def _typed(text: Column, f: FeedField, strict: bool, trimmed: bool) -> Column:
         return F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
     if f.type in ("int", "long"):
         exact = as_int(text, trimmed) if f.type == "int" else as_long(text, trimmed)
-        return exact if strict else F.coalesce(exact, text.try_cast("double").try_cast("int" if f.type == "int" else "bigint"))
-    return text.try_cast(f.type)
+        # A number with decimals loses them; through a double it would also lose digits.
+        return exact if strict else F.coalesce(exact, F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)").try_cast("int" if f.type == "int" else "bigint")))
+    return F.when(text.rlike(_NUMBER), text.try_cast(f.type)) if f.type in ("float", "double") else text.try_cast(f.type)
 
 
 class Checker:

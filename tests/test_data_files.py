@@ -4,7 +4,7 @@ import pytest
 
 from .feeds import D2, run_cases, settings, with_ids
 
-EMP = ["yogesh|111|20131106|20200130130000", "a|1|20151030|20200130120030", "b|2|20161106|20200130110040", "c|3|20171106|20200130101258"]
+CREW = ["dana|5|20150302|20210607081500", "mo|6|20180911|20210607101545", "ines|11|20190120|20210606235959", "raf|2|20200704|20210601000001"]
 S = settings
 CASES = {
     # name: (lines, settings, expected code, expected output)
@@ -13,7 +13,7 @@ CASES = {
     "header": (["header", *D2], S(header=1), "225204", D2),
     "footer": ([*D2, "footer"], S(footer=1), "225204", D2),
     "both_ids": (["header", *D2, "footer"], S(header=1, footer=1, ids="1"), "225204", with_ids(D2)),
-    "bad_type": (["20|20190919022005", "2a5|20190919022088"], S("ctrl2"), "325208", None),
+    "bad_type": (["31|20230405061500", "3b1|20230405061588"], S("ctrl2"), "325208", None),
     "bad_attributes": (D2, S(header="a", footer="b", claimed="c", location="nones"), "325205", None),
     "bad_location": (D2, S(location="invalid"), "325205", None),
     "bad_header_count": (D2, S(header="a"), "325205", None),
@@ -23,14 +23,14 @@ CASES = {
     "claimed_null": (D2, S(claimed=None), "325205", None),
     "location_null": (D2, S(location=None), "325218", None),
     "mismatch": (["3", *D2], S(header=1, claimed="3"), "325206", None),
-    "wrong_feed": (["3", *D2], S("offering", header=1), "325208", None),
+    "wrong_feed": (["3", *D2], S("soundings", header=1), "325208", None),
     "mismatch_hides_errors": (["20|x", "2a5|y"], S("ctrl2", claimed="5"), "325206", None),
     "malformed": ([D2[0], '"open|1|2|3|4|5'], S(), "325209", None),
     "schema_missing": (D2, S(table_schema=None), "325210", None),
     "schema_bad": (D2, S(table_schema="{nope"), "325211", None),
     "target_missing": (D2, S(insert_table_schema=None), "325218", None),
-    "dates": (EMP, S("emp_dates", claimed="4"), "225204", None),
-    "date_bad": ([*EMP[:3], "c|3|2017-11-06|20200130101258"], S("emp_dates", claimed="9"), "325224", None),
+    "dates": (CREW, S("crew", claimed="4"), "225204", None),
+    "date_bad": ([*CREW[:3], "raf|2|2020-07-04|20210601000001"], S("crew", claimed="9"), "325224", None),
     "short_and_long": ([D2[0] + "|x|y", "only|1"], S(), "325208", None),
     "empty": ([], S(claimed="0"), "225204", None),
     "header_longer_than_file": (D2, S(header=3), "325206", None),
@@ -62,16 +62,16 @@ def test_verdict(result, name):
 
 
 def test_dates_become_epoch_millis(result):
-    assert result[2]["dates"][0] == "yogesh|111|1383676200000|1580369400000"
+    assert result[2]["dates"][0] == "dana|5|1425234600000|1623033900000"
 
 
 def test_error_names(result):
     v = result[1]["short_and_long"]
-    assert v.missing_fields == ["data_start_date", "date_of_file_generation", "num_of_fields", "record_count"]
+    assert v.missing_fields == ["data_start_date", "date_of_file_generation", "file_size", "num_of_fields"]
     assert v.extra_fields == ["unknown_field_index_6", "unknown_field_index_7"]
     assert v.message == (
         "Records in this FlowFile were invalid for the following reasons: "
-        "The following 4 fields were missing: [data_start_date, date_of_file_generation, num_of_fields, record_count]; "
+        "The following 4 fields were missing: [data_start_date, date_of_file_generation, file_size, num_of_fields]; "
         "The following 2 fields were present in the Record but not in the schema: [unknown_field_index_6, unknown_field_index_7]"
     )
     assert result[1]["bad_type"].message == (

@@ -2,14 +2,14 @@
 
 import pytest
 
-from .feeds import D2, H8, run_cases, settings, with_ids
+from .feeds import D2, H_ALL, run_cases, settings, with_ids
 
 S = settings
 META = {"location": "header_metadata", "header": 1, "metadata_header_record": "1"}
 BOTH = {"location": "header_metadata_and_footer", "header": 1, "footer": 1, "metadata_header_record": "1"}
-H6 = "abc.txt|01|12|2|6|20193112"
-H7 = "abc.txt|01|12|6|20193112|20192912|20193012"
-C21 = ["|".join(["acc"] + [f"v{i}" for i in range(20)])] * 13
+H_SHORT = "tides.txt|2|07|512|20230204"
+H_UNCOUNTED = "4|tides.txt|07|20230203|20230204|20230205|512"
+READINGS = ["|".join(["meter 7"] + [f"{i}.5" for i in range(8)])] * 13
 CASES = {
     "none_ids": (D2, S(ids="1"), "225304", with_ids(D2)),
     "none": (D2, S(), "225304", D2),
@@ -19,48 +19,48 @@ CASES = {
     "header_footer_ids": (["2", *D2, "footer"], S(header=1, footer=1, ids="1", location="header"), "225304", with_ids(D2)),
     "footer": ([*D2, "2"], S(footer=1, location="footer"), "225304", D2),
     "footer_ids": ([*D2, "2"], S(footer=1, ids="1", location="footer"), "225304", with_ids(D2)),
-    "filename": (D2, S(location="filename", file_name="2_abc.txt"), "225304", D2),
+    "filename": (D2, S(location="filename", file_name="2_tides.txt"), "225304", D2),
     "count_text_empty": (["a", *D2], S(header=1, location="header"), "325307", None),
     "filter_not_found": (["a", *D2], S(header=1, location="header", record_count_filter="[0-9]+"), "325327", None),
     "filter_broken": (["2", *D2], S(header=1, location="header", record_count_filter="(("), "325334", None),
     "filter_blank": (["2", *D2], S(header=1, location="header", record_count_filter=""), "325305", None),
     "no_header_lines": (D2, S(location="header"), "325333", None),
     "mismatch": (["3", *D2], S(header=1, location="header"), "325306", None),
-    "bad_type": (["20|20190919022005", "2a5|20190919022088"], S("ctrl2"), "325308", None),
+    "bad_type": (["31|20230405061500", "3b1|20230405061588"], S("ctrl2"), "325308", None),
     "bad_attributes": (D2, S(header="a", footer="b", location="nones"), "325305", None),
     "bad_choice": (D2, S(file_uuid_or_id="name"), "325305", None),
     "choice_null": (D2, S(file_uuid_or_id=None), "325333", None),
-    "meta_fewer": (["abc.txt|01|12|2|6|[21-JAN-20],[13:14:15]", *D2], S(ids="1", header_schema="header6", **META), "225304", with_ids(D2)),
-    "meta_more": ([H8, *D2], S(ids="1", header_schema="header8", **META), "225304", with_ids(D2)),
-    "meta_footer": ([H6, *D2, "2"], S(ids="1", header_schema="header6plain", **BOTH), "225304", with_ids(D2)),
-    "meta_footer_8": ([H8, *D2, "2"], S(ids="1", header_schema="header8", **BOTH), "225304", with_ids(D2)),
-    "meta_no_count_footer": ([H7, *D2, "2"], S(ids="1", header_schema="header7", **BOTH), "225304", with_ids(D2)),
-    "meta_extra": ([H8 + "|AdditionalField1", *D2], S(ids="1", header_schema="header8", **META), "325326", None),
-    "meta_short": (["abc.txt|01|12", *D2], S(ids="1", header_schema="header8", **META), "325324", None),
-    "meta_bad_number": ([H8.replace("|6|", "|6a|"), *D2], S(ids="1", header_schema="header8", **META), "325325", None),
-    "meta_no_count": ([H7, *D2], S(ids="1", header_schema="header7", **META), "325328", None),
-    "meta_differs": ([H8.replace("|2|6|", "|3|6|"), *D2, "2"], S(ids="1", header_schema="header8", **BOTH), "325329", None),
-    "meta_not_found": (["x", *D2], S(ids="1", header_schema="header8", **{**META, "metadata_header_record": "2"}), "325330", None),
+    "meta_fewer": (["tides.txt|2|07|512|09/May/2023 17.45", *D2], S(ids="1", header_schema="head_short@", **META), "225304", with_ids(D2)),
+    "meta_more": ([H_ALL, *D2], S(ids="1", header_schema="head_all", **META), "225304", with_ids(D2)),
+    "meta_footer": ([H_SHORT, *D2, "2"], S(ids="1", header_schema="head_short", **BOTH), "225304", with_ids(D2)),
+    "meta_footer_8": ([H_ALL, *D2, "2"], S(ids="1", header_schema="head_all", **BOTH), "225304", with_ids(D2)),
+    "meta_no_count_footer": ([H_UNCOUNTED, *D2, "2"], S(ids="1", header_schema="head_uncounted", **BOTH), "225304", with_ids(D2)),
+    "meta_extra": ([H_ALL + "|one too many", *D2], S(ids="1", header_schema="head_all", **META), "325326", None),
+    "meta_short": (["4|tides.txt|2", *D2], S(ids="1", header_schema="head_all", **META), "325324", None),
+    "meta_bad_number": ([H_ALL.replace("|512", "|51b"), *D2], S(ids="1", header_schema="head_all", **META), "325325", None),
+    "meta_no_count": ([H_UNCOUNTED, *D2], S(ids="1", header_schema="head_uncounted", **META), "325328", None),
+    "meta_differs": ([H_ALL.replace("|2|07", "|3|07"), *D2, "2"], S(ids="1", header_schema="head_all", **BOTH), "325329", None),
+    "meta_not_found": (["x", *D2], S(ids="1", header_schema="head_all", **{**META, "metadata_header_record": "2"}), "325330", None),
     "meta_setting_word": (D2, S(metadata_header_record="header_metadata"), "325323", None),
     "meta_setting_text": (D2, S(metadata_header_record="one"), "325334", None),
-    "meta_schema_missing": ([H8, *D2], S(header_schema=None, **META), "325333", None),
-    "meta_schema_bad": ([H8, *D2], S(header_schema="{", **META), "325311", None),
-    "meta_date_bad": (["abc.txt|01|12|2|6|x", *D2], S(header_schema="header6", **META), "325335", None),
+    "meta_schema_missing": ([H_ALL, *D2], S(header_schema=None, **META), "325333", None),
+    "meta_schema_bad": ([H_ALL, *D2], S(header_schema="{", **META), "325311", None),
+    "meta_date_bad": (["tides.txt|2|07|512|x", *D2], S(header_schema="head_short@", **META), "325335", None),
     "meta_plain_dates": (
-        ["cbs_1021_0_0.unl.gz|127548|2|37|20191120|20191121022014", *D2, "2"], S(ids="1", header_schema="manifest6", **BOTH), "225304", with_ids(D2),
+        ["buoy_amber.csv.gz|2|12|8800|20230302043015|20230301", *D2, "2"], S(ids="1", header_schema="manifest6", **BOTH), "225304", with_ids(D2),
     ),
     "meta_pattern_dates": (
-        ["cbs_1021_0_0.unl.gz|127548|2|37|20191120|20191121022014", *D2, "2"], S(ids="1", header_schema="manifest6@", **BOTH), "225304", with_ids(D2),
+        ["buoy_amber.csv.gz|2|12|8800|20230302043015|20230301", *D2, "2"], S(ids="1", header_schema="manifest6@", **BOTH), "225304", with_ids(D2),
     ),
     "file_id_choice": (
         [*D2, D2[0], "3"], S(write="manifest6+uuid", footer=1, ids="1", location="footer", file_uuid_or_id="file_id"), "225304",
         [f"|{i}|{x}|12345" for i, x in enumerate([*D2, D2[0]], 1)],
     ),
-    "columns_21": (
-        ["13|CUK_x.dat|29-MAR-19,03:36:39|28-MAR-19|28-MAR-19", "names", *C21, "13"],
-        S("charges21", ids="1", header_schema="header5", **{**BOTH, "header": 2}), "225304", with_ids(C21),
+    "many_columns": (
+        ["13|2023/06/05 11:20|readings.csv|04.06.2023|03.06.2023", "names", *READINGS, "13"],
+        S("readings9", ids="1", header_schema="head_dated", **{**BOTH, "header": 2}), "225304", with_ids(READINGS),
     ),
-    "malformed_before_meta": (['"open|1', H8, *D2], S(header_schema="header8", **{**META, "header": 2, "metadata_header_record": "2"}), "325309", None),
+    "malformed_before_meta": (['"open|1', H_ALL, *D2], S(header_schema="head_all", **{**META, "header": 2, "metadata_header_record": "2"}), "325309", None),
     "malformed_footer": ([*D2, '"2'], S(footer=1, location="footer"), "325309", None),
 }
 
@@ -86,13 +86,13 @@ def test_verdict(result, name):
 
 def test_metadata_attributes(result):
     v = result[1]["meta_more"]
-    assert (v.metadata_file_name, v.metadata_sequence_number, v.metadata_file_size) == ("abc.txt", "1", "12")
-    assert (v.metadata_record_count, v.metadata_number_of_fields) == ("2", "6")
-    assert (v.metadata_end_date, v.metadata_start_date, v.metadata_Date_of_file_generation) == ("20193112", "20192912", "20193012")
+    assert (v.metadata_file_name, v.metadata_sequence_number, v.metadata_file_size) == ("tides.txt", "7", "512")
+    assert (v.metadata_record_count, v.metadata_number_of_fields) == ("2", "4")
+    assert (v.metadata_end_date, v.metadata_start_date, v.metadata_Date_of_file_generation) == ("20230204", "20230203", "20230205")
     v = result[1]["meta_footer"]
-    assert (v.metadata_end_date, v.metadata_start_date, v.metadata_Date_of_file_generation) == ("20193112", "", "")
-    assert result[1]["meta_fewer"].metadata_end_date == "20200121131415"
-    assert result[1]["meta_pattern_dates"].metadata_start_date == "20191120000000"
+    assert (v.metadata_end_date, v.metadata_start_date, v.metadata_Date_of_file_generation) == ("20230204", "", "")
+    assert result[1]["meta_fewer"].metadata_end_date == "20230509174500"
+    assert result[1]["meta_pattern_dates"].metadata_start_date == "20230301000000"
     assert result[1]["none"].metadata_file_name == ""
     assert result[1]["mismatch"].metadata_file_name is None
 

@@ -5,16 +5,16 @@ import pytest
 from .feeds import D2, M3, run_cases, settings
 
 S = settings
-TWO = ["20|20190919022005", "22|20190919022088"]
+TWO = ["31|20230405061500", "33|20230405061588"]
 CASES = {
     "plain": (TWO, S("ctrl2"), "225104", 2),
-    "header_footer": (["3", *TWO, "25|20190919022088", "footer"], S("ctrl2", header=1, footer=1, location="header", datafile_extension=".unl", file_name="abc.ctrl"), "225104", 3),
+    "header_footer": (["3", *TWO, "35|20230405061599", "footer"], S("ctrl2", header=1, footer=1, location="header", datafile_extension=".csv", file_name="tides.ctrl"), "225104", 3),
     "verf": (["2", *D2], S(header=1, location="header"), "225104", 2),
-    "ctrl": (["2", *TWO], S("ctrl2", header=1, location="header", datafile_extension=".unl", file_name="abc.ctrl"), "225104", 2),
+    "ctrl": (["2", *TWO], S("ctrl2", header=1, location="header", datafile_extension=".csv", file_name="tides.ctrl"), "225104", 2),
     "footer": ([*D2, "2"], S(footer=1, location="footer"), "225104", 2),
-    "filename": (D2, S(location="filename", file_name="2_abc.txt"), "225104", 2),
+    "filename": (D2, S(location="filename", file_name="2_tides.txt"), "225104", 2),
     "none": (["h", *D2, "f"], S(header=1, footer=1), "225104", 2),
-    "extension": (D2, S(datafile_extension=".unl.gz.pgp"), "225104", 2),
+    "extension": (D2, S(datafile_extension=".csv.gz.pgp"), "225104", 2),
     "three_plain": ([*M3, "3"], S(footer=1, location="footer"), "225104", 3),
     "three_dated": ([*M3, "3"], S("manifest6@", footer=1, location="footer"), "225104", 3),
     "three_empty_pattern": ([*M3, "3"], S("manifest6@empty", footer=1, location="footer"), "225104", 3),
@@ -24,7 +24,7 @@ CASES = {
     "count_text": (["a", *D2], S(header=1, location="header"), "325107", 0),
     "mismatch": (["3", *D2], S(header=1, location="header"), "325106", 0),
     "no_target": (D2, S(insert_table_schema=None), "325133", 0),
-    "date_bad": ([M3[0].replace("|20191120|", "|2019-11-20|")], S("manifest6@"), "325135", 0),
+    "date_bad": ([M3[0].replace("|20230228", "|2023-02-28")], S("manifest6@"), "325135", 0),
 }
 
 
@@ -53,17 +53,17 @@ def test_manifest(result, name):
 def test_rows(result):
     _, rows, _, _ = result
     r = rows["header_footer"][0]
-    assert (r.data_file_name, r.data_record_count, r.data_Date_of_file_generation) == ("abc.unl", "20", "20190919022005")
+    assert (r.data_file_name, r.data_record_count, r.data_Date_of_file_generation) == ("tides.csv", "31", "20230405061500")
     assert (r.data_sequence_number, r.data_file_size, r.data_start_date, r.data_end_date) == ("", "", "", "")
     r = rows["verf"][0]
-    assert r.data_file_name == "cbs_bc_subscriber_add_20190918_0_1011_0_0.unl.gz"
-    assert (r.data_file_size, r.data_record_count, r.data_number_of_fields) == ("1395", "20", "32")
-    assert (r.data_start_date, r.data_end_date, r.data_Date_of_file_generation) == ("20190918", "", "20190919022005")
-    assert [x.data_file_name for x in rows["ctrl"]] == ["abc.unl", "abc.unl"]
-    assert all(x.data_file_name.endswith("_0.unl.gz.pgp") for x in rows["extension"])
-    assert rows["three_dated"][0].data_start_date == "20191120000000"
-    assert rows["three_dated"][0].data_Date_of_file_generation == "20191121022014"
-    assert rows["three_empty_pattern"][0].data_start_date == "20191120"
+    assert r.data_file_name == "tides_north_0405.csv.gz"
+    assert (r.data_file_size, r.data_record_count, r.data_number_of_fields) == ("1480", "31", "9")
+    assert (r.data_start_date, r.data_end_date, r.data_Date_of_file_generation) == ("20230404", "", "20230405061500")
+    assert [x.data_file_name for x in rows["ctrl"]] == ["tides.csv", "tides.csv"]
+    assert all(x.data_file_name.endswith("5.csv.gz.pgp") for x in rows["extension"])
+    assert rows["three_dated"][0].data_start_date == "20230228000000"
+    assert rows["three_dated"][0].data_Date_of_file_generation == "20230305043015"
+    assert rows["three_empty_pattern"][0].data_start_date == "20230228"
 
 
 def test_claimed_count_attribute(result):

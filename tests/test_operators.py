@@ -31,12 +31,12 @@ def part(**kw):
 
 def test_partition_paths(spark):
     spec = (
-        '{"partitionArr":[{"source":"date","format":"yyyy"},{"source":"date","format":"MM"},{"columnName":"sequence_id","source":"attribute",'
-        '"attributeName":"sequence_id"},{"columnName":"load_date","source":"dateWithMod","format":"yyyyMMddHH","appendMod":"mm15"}]}'
+        '{"partitionArr":[{"source":"date","format":"yy"},{"columnName":"pier","source":"attribute",'
+        '"attributeName":"pier"},{"columnName":"slot","source":"dateWithMod","format":"ddHH","appendMod":"mm15"}]}'
     )
-    raw, hive, code = paths(spark, spec, sequence_id="12345")
-    assert raw == "2020/03/sequence_id=12345/load_date=202003221030"
-    assert hive == "2020,03,12345,202003221030"
+    raw, hive, code = paths(spark, spec, pier="east4")
+    assert raw == "20/pier=east4/slot=221030"
+    assert hive == "20,east4,221030"
     assert code == "226005"
     assert paths(spark, '{"partitionArr":[]}') == ("", "", "226005")
     assert paths(spark, "") == ("", "", "226005")
@@ -93,8 +93,8 @@ def listing(spark, names, directory="/in", host="h1"):
 
 def test_unclaimed_and_claimed_divide_the_listing(spark):
     rows = [
-        ("/in", "h1, h2", "22", "^cbs_all_[0-9]{8}\\_1.unl.gz$", "u2", None, "/q", "b@x,a@x", "p"),
-        ("/in", "h1, h2", "22", "^cbs_all_[0-9]{8}\\.verf$", "u1", "/k", "/q", "a@x", "p"),
+        ("/in", "h1, h2", "22", "^tides_[0-9]{8}\\_n.csv.gz$", "u2", None, "/q", "b@x,a@x", "p"),
+        ("/in", "h1, h2", "22", "^tides_[0-9]{8}\\.list$", "u1", "/k", "/q", "a@x", "p"),
         ("/none", "h1", "22", None, "u", None, "/q", None, "p"),
         ("/back", "h1", "22", "(a)\\1", "u", None, "/q", None, "p"),
         ("/back", "h1", "22", "(b)\\1", "u", None, "/q", None, "p"),
@@ -107,10 +107,10 @@ def test_unclaimed_and_claimed_divide_the_listing(spark):
     r = rollup.filter("directory = '/in'").first()
     assert (r.username, r.private_key_path, r.support_email_list) == ("u1", "/k", "a@x,b@x")
     hosts = cn.explode_hosts(rollup)
-    files = ["cbs_all_20200101_1.unl.gz", "cbs_all_20200101.verf", "cbs_all_20200101.verf\n", "x", ".", ".."]
+    files = ["tides_20230405_n.csv.gz", "tides_20230405.list", "tides_20230405.list\n", "x", ".", ".."]
     landed = listing(spark, files).union(listing(spark, ["y"], "/none")).union(listing(spark, ["aa", "bb", "ab"], "/back"))
     found = {(r.directory, r.file_name) for r in unclaimed.unclaimed_files(landed, hosts).collect()}
-    assert found == {("/in", "x"), ("/in", "cbs_all_20200101.verf\n"), ("/back", "ab")}  # no expression, nothing flagged
+    assert found == {("/in", "x"), ("/in", "tides_20230405.list\n"), ("/back", "ab")}  # no expression, nothing flagged
     claimed = {(r.directory, r.file_name) for r in unclaimed.claimed_files(landed, hosts).collect()}
     assert claimed == {("/in", files[0]), ("/in", files[1]), ("/back", "aa"), ("/back", "bb")}
     report = unclaimed.unclaimed_report(landed, hosts, landed).collect()
@@ -173,14 +173,14 @@ def test_sheets(spark):
     schema = "file string, sheet int, row int, col int, type string, str string, num double, ts timestamp"
     day = datetime(2020, 3, 22)
     rows = [
-        ("f", 0, 0, 0, "STRING", "yogesh", None, None), ("f", 0, 0, 1, "STRING", "accenture|Pune", None, None),
-        ("f", 0, 0, 2, "NUMERIC", None, 23334.0, None), ("f", 0, 0, 3, "DATE", None, None, day),
+        ("f", 0, 0, 0, "STRING", "ana", None, None), ("f", 0, 0, 1, "STRING", "north|pier", None, None),
+        ("f", 0, 0, 2, "NUMERIC", None, 41.5, None), ("f", 0, 0, 3, "DATE", None, None, day),
         ("f", 1, 0, 0, "BLANK", None, None, None), ("f", 1, 0, 2, "FORMULA_NUMERIC", None, 0.5, None), ("f", 1, 0, 3, "STRING", "a|b", None, None),
         ("g", 0, 0, 0, "BOOLEAN", None, None, None),
     ]
     cells = spark.createDataFrame(rows, schema)
     lines = [r.line for r in sheets.convert_sheets(cells, "|", "dd/MM/yyyy").orderBy("file", "sheet", "row").collect()]
-    assert lines == ['yogesh|"accenture|Pune"|23334|22/03/2020', "||0.5|a|b"]
+    assert lines == ['ana|"north|pier"|41.5|22/03/2020', "||0.5|a|b"]
     assert {r.file: r.code for r in sheets.sheet_status(cells).collect()} == {"f": "227002", "g": "327002"}
 
 
