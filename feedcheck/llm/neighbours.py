@@ -164,7 +164,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, width: int = 2
     blocks = counted.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / QUERY_ROWS).alias("blocks"))
     blocked = counted.join(blocks, "dim").withColumn("block", F.pmod(F.xxhash64("query_id"), F.col("blocks")))
     blocked = blocked.groupBy("dim", "block").agg(F.collect_list(F.struct("query_id", "embedding")).alias("asked"))
-    meet = index.join(blocked, "dim")
+    blocked = materialise(blocked, "blocks")
+    # Which block meets which shard, then the queries, then the graph, so that tasks are dealt by shard.
+    pairs = index.select("dim", "shard").join(blocked.select("dim", "block"), "dim")
+    meet = pairs.join(blocked, ["dim", "block"]).join(index.drop("dim"), "shard").select("dim", "n", "ids", "owner", "points", "graph", "entry", "asked")
 
     def found(batches):
         for batch in batches:
