@@ -57,6 +57,9 @@ def to_spark_pattern(pattern: str) -> str:
             out.append(text if bare else "'" + text.replace("'", "''") + "'")
         elif text[0] not in _SHARED_LETTERS:
             raise PatternError(f"pattern letter {text[0]!r} is not supported in {pattern!r}")
+        elif text[0] == "S" and len(text) != 3:
+            # Milliseconds in feed patterns, a fraction of a second in Spark: the same with three digits only.
+            raise PatternError(f"milliseconds take three digits in {pattern!r}")
         else:
             out.append(text)
     return "".join(out)
@@ -67,7 +70,8 @@ def parse_strict(col: Column, pattern: str) -> Column:
     return F.try_to_timestamp(col, F.lit(to_spark_pattern(pattern)))
 
 
-_LARGEST_PART = 1_000_000  # larger months or days leave the range of a timestamp
+# Larger parts lead beyond the years that a timestamp holds: months, days, and the clock's seconds.
+_LARGEST = {"month": 1_000_000, "day": 50_000_000, "second": 1_000_000_000_000}
 _NUMERIC = {"y": "year", "M": "month", "d": "day", "H": "hour", "m": "minute", "s": "second", "S": "milli"}
 
 
@@ -92,16 +96,18 @@ def parse_lenient(col: Column, pattern: str) -> Column:
         groups.append(text)
     part = {}
     for n, text in enumerate(groups, start=1):
-        value = F.regexp_extract(col, regex, n).try_cast("int")
-        value = F.when(value < _LARGEST_PART, value)
-        part[_NUMERIC[text[0]]] = value + F.lit(2000) if text == "yy" else value
+        name = _NUMERIC[text[0]]
+        value = F.regexp_extract(col, regex, n).try_cast("bigint")
+        value = F.when(value < _LARGEST.get(name, _LARGEST["second"]), value)
+        part[name] = value + F.lit(2000) if text == "yy" else value
     zero = F.lit(0)
-    start = F.when(part["year"].between(1, 9999), F.make_date(part["year"], F.lit(1), F.lit(1)))
+    start = F.when(part["year"].between(1, 9999), F.make_date(F.when(part["year"].between(1, 9999), part["year"]).cast("int"), F.lit(1), F.lit(1)))
     # Calendar parts move the date, clock parts the time of day, both without a zone; the
     # zone comes last, so a change of clocks in between does not shift the result.
-    day = F.date_add(F.add_months(start, part.get("month", F.lit(1)) - 1), part.get("day", F.lit(1)) - 1)
-    clock = F.make_dt_interval(zero, part.get("hour", zero), part.get("minute", zero), part.get("second", zero).cast("decimal(18,6)"))
-    stamp = day.cast("timestamp_ntz") + clock
+    day = F.date_add(F.add_months(start, (part.get("month", F.lit(1)) - 1).cast("int")), (part.get("day", F.lit(1)) - 1).cast("int"))
+    seconds = part.get("hour", zero) * 3600 + part.get("minute", zero) * 60 + part.get("second", zero)
+    seconds = F.when(seconds < _LARGEST["second"], seconds)
+    stamp = day.cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
     if "milli" in part:
         stamp = stamp + F.make_dt_interval(zero, zero, zero, (part["milli"] / F.lit(1000)).cast("decimal(18,6)"))
     return F.when(col.rlike(regex), stamp.cast("timestamp"))

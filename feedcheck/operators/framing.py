@@ -36,7 +36,7 @@ def number_lines(src: LineSource, files: DataFrame | None = None, keep_unlisted:
     if not src.partitioned:
         # Written out, the frame has a known size: one row per input split. Up to the
         # limit it goes to the lines; beyond it the lines are shuffled by split.
-        offsets = broadcast_if_small(materialise(offsets, "offsets"), max_rows=4_000_000, max_bytes=512 << 20)
+        offsets = broadcast_if_small(materialise(offsets, "offsets"), max_rows=4_000_000)
     joined = src.rows.join(offsets, CHUNK, "left")
     if files is not None and not keep_unlisted:
         # Null means that the chunk has no count at all, which the next step reports.

@@ -62,7 +62,8 @@ def _stepped(ts: Column, mod: str | None) -> Column:
         # Two letters the pattern language knows and that print a number are a wrong unit.
         numeric = unit in ("yy", "MM", "dd", "kk", "KK", "hh", "SS", "DD")
         try:
-            dates.to_spark_pattern(unit)
+            if not numeric:
+                dates.to_spark_pattern(unit)
         except dates.PatternError:
             raise SpecError(CODE["mod_bad_pattern"]) from None
         raise SpecError(CODE["mod_unit" if numeric and step.isdigit() else "mod_not_number"])
@@ -127,10 +128,25 @@ def partition_columns(df: DataFrame, spec: str | None, ts: Column) -> DataFrame:
 
 
 def with_partition_values(df: DataFrame, spec: str, ts: Column) -> tuple[DataFrame, list[str]]:
-    """One column per part, for a partitioned write; unnamed parts are ``part_<i>``."""
-    named = {}
+    """One column per part, for a partitioned write; unnamed parts are ``part_<i>``. Rows of
+    which a part has no value have no place in the table; ``rows_without_partition`` has them."""
+    named, errors = _named_parts(df, spec, ts)
+    placed = df.filter(F.coalesce(*errors).isNull()) if errors else df
+    return placed.withColumns(named), list(named)
+
+
+def rows_without_partition(df: DataFrame, spec: str, ts: Column) -> DataFrame:
+    """Rows that ``with_partition_values`` leaves out, with ``partition_code``."""
+    _, errors = _named_parts(df, spec, ts)
+    error = F.coalesce(*errors) if errors else F.lit(None).cast("string")
+    return df.withColumn("partition_code", error).filter(F.col("partition_code").isNotNull())
+
+
+def _named_parts(df: DataFrame, spec: str, ts: Column) -> tuple[dict[str, Column], list[Column]]:
+    named, errors = {}, []
     for i, p in enumerate(parse_spec(spec)):
-        _, value, _ = _part(p, ts, df.columns)
+        _, value, error = _part(p, ts, df.columns)
         own = p.attribute_name if p.source.lower() == "attribute" else p.column_name
         named[own or f"part_{i}"] = value
-    return df.withColumns(named), list(named)
+        errors.append(error)
+    return named, errors

@@ -30,7 +30,10 @@ def cells_to_lines(cells: DataFrame, sep: str = "|", date_format: str = "yyyyMMd
     Only a row's own cells are gathered.
     """
     rows = cells.select("file", "sheet", "row", F.col("col").alias("c"), cell_text(date_format).alias("t"))
-    rows = rows.groupBy("file", "sheet", "row").agg(F.map_from_entries(F.collect_list(F.struct("c", "t"))).alias("m"), F.max("c").alias("last"))
+    rows = rows.groupBy("file", "sheet", "row").agg(F.array_sort(F.collect_list(F.struct("c", "t"))).alias("cells"), F.max("c").alias("last"))
+    # Of a cell that is given twice the first in order counts; such a file does not convert.
+    cells_once = F.filter("cells", lambda x, i: (i == 0) | (x["c"] != F.get(F.col("cells"), i - 1)["c"]))
+    rows = rows.withColumn("m", F.map_from_entries(cells_once))
 
     def shown(c):
         t = F.coalesce(F.element_at(F.col("m"), c), F.lit(""))
@@ -42,9 +45,10 @@ def cells_to_lines(cells: DataFrame, sep: str = "|", date_format: str = "yyyyMMd
 
 
 def sheet_status(cells: DataFrame) -> DataFrame:
-    """Per file: a boolean cell makes the conversion of the whole file fail."""
-    bad = F.max(F.when(F.upper("type") == "BOOLEAN", 1).otherwise(0)) == 1
-    return cells.groupBy("file").agg(bad.alias("failed")).select(
+    """Per file: a boolean cell, or one that is given twice, makes the conversion of the whole file fail."""
+    boolean = F.max(F.when(F.upper("type") == "BOOLEAN", 1).otherwise(0)) == 1
+    rows = cells.groupBy("file", "sheet", "row").agg(boolean.alias("boolean"), (F.count("col") > F.size(F.collect_set("col"))).alias("twice"))
+    return rows.groupBy("file").agg(F.max(F.col("boolean") | F.col("twice")).alias("failed")).select(
         "file", F.when(F.col("failed"), F.lit(codes.SHEET_FAILED)).otherwise(F.lit(codes.SHEET_CONVERTED)).alias("code")
     )
 

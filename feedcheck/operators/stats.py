@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 # Limits and defaults.
-MAX_ENTRIES = 100_000
 MAX_AGE_MS = 15 * 60 * 1000
 MAX_OPERATION_MS = 10_000
 MAX_LISTING_MS = 180_000
@@ -48,17 +47,19 @@ def slow_operations(timings: DataFrame, limit_ms: int = MAX_OPERATION_MS, listin
     return timings.filter(F.col("duration_ms") > limit)
 
 
-def retain(timings: DataFrame, now: Column, max_age_ms: int = MAX_AGE_MS, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Latest value per file and operation, of the files created since the cut-off; at
-    most ``max_entries`` files, the newest first.
+def retain(timings: DataFrame, now: Column, max_age_ms: int = MAX_AGE_MS, max_entries: int | None = None) -> DataFrame:
+    """Latest value per file and operation, of the files created since the cut-off; with
+    ``max_entries`` only that many files, the newest first.
 
     A file's creation is its first timing. The latest value is an aggregate, combined
-    before the shuffle, and the entry limit is a distributed top-k.
+    before the shuffle. The entry limit is a top-k that ends in one task, so it is
+    for limits that one task can hold.
     """
     cutoff = F.unix_millis(now) - max_age_ms
     files = timings.groupBy("directory", "filename").agg(F.min("created_at").alias("first_at"))
     files = files.filter(F.unix_millis("first_at") >= cutoff)
-    files = files.orderBy(F.col("first_at").desc(), "directory", "filename").limit(max_entries)
+    if max_entries is not None:
+        files = files.orderBy(F.col("first_at").desc(), "directory", "filename").limit(max_entries)
     latest = timings.groupBy("directory", "filename", "operation").agg(
         F.max(F.struct("created_at", "duration_ms")).alias("last")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
-from ..functions.text import matches
+from ..functions.text import broken_patterns, matches
 from ..session import broadcast_if_small
 
 KEYS = ["directory", "localhost"]
@@ -18,16 +18,28 @@ REPORT = [
 
 def _is_claimed(name: Column, regexes: Column) -> Column:
     """Full match of any expression. They are joined into one, which Spark compiles once
-    per run of rows of a directory; expressions that refer to their own groups by number
-    or name cannot be joined and are tried one by one."""
+    per run of rows of a directory; expressions that refer to their own groups or set
+    flags cannot be joined and are tried one by one."""
     joined = F.array_join(F.transform(regexes, lambda r: F.concat(F.lit("(?:"), r, F.lit(")"))), "|")
-    apart = F.exists(regexes, lambda r: r.rlike("\\\\[1-9]|\\\\k<|\\(\\?<[A-Za-z]"))
+    apart = F.exists(regexes, lambda r: r.rlike("\\\\[1-9Qk]|\\(\\?<[A-Za-z]|\\(\\?[A-Za-z-]"))
     return F.when(apart, F.exists(regexes, lambda r: matches(name, r))).otherwise(matches(name, joined))
 
 
+def _has_broken(rollup: DataFrame) -> Column:
+    broken = broken_patterns(rollup.select(F.explode("regexes").alias("regex")), whole=True)
+    return F.arrays_overlap("regexes", F.array(*[F.lit(p) for p in broken])) if broken else F.lit(False)
+
+
+def broken_directories(rollup: DataFrame) -> DataFrame:
+    """Rows of directories with an expression that does not compile: which of their files
+    are claimed cannot be told."""
+    return rollup.filter(_has_broken(rollup))
+
+
 def _with_regexes(listing: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Only directories that have an expression: one without any flags nothing."""
-    known = rollup.filter(F.size("regexes") > 0)
+    """Only directories that have an expression, and whose expressions all compile: one
+    without any flags nothing."""
+    known = rollup.filter(F.size("regexes") > 0).filter(~F.coalesce(_has_broken(rollup), F.lit(False)))
     real = listing.filter(~F.col("file_name").isin(".", ".."))
     return real.join(broadcast_if_small(known), KEYS)
 
@@ -43,22 +55,23 @@ def unclaimed_files(listing: DataFrame, rollup: DataFrame) -> DataFrame:
 
 def claimed_files(listing: DataFrame, rollup: DataFrame) -> DataFrame:
     """Files that match, once per matching expression."""
-    found = _with_regexes(listing, rollup).withColumn("file_regex", F.explode("regexes"))
-    return found.filter(matches(F.col("file_name"), F.col("file_regex")))
+    hits = F.filter("regexes", lambda r: matches(F.col("file_name"), r))
+    return _with_regexes(listing, rollup).withColumn("file_regex", F.explode(hits))
 
 
 def unclaimed_report(listing: DataFrame, rollup: DataFrame, reached: DataFrame | None = None, node: str = "0") -> DataFrame:
-    """Report rows with ``log_type_id``; a host that could not be listed gives one row
-    whose file name is the word null. ``reached`` has the directories and hosts that were."""
+    """Report rows with ``log_type_id``; a host that could not be listed, and a directory
+    with an expression that does not compile, give one row whose file name is the word
+    null. ``reached`` has the directories and hosts that were listed."""
     found = unclaimed_files(listing, rollup).withColumn("log_type_id", F.lit(codes.UNCLAIMED_LISTED))
     out = found.withColumn("file_uuid", F.concat(F.lit(node + "-"), F.uuid())).select(*REPORT, "log_type_id")
+
+    def one_row(rows: DataFrame, code: str) -> DataFrame:
+        own = {"file_name": F.lit("null"), "file_uuid": F.concat(F.lit(node + "-"), F.uuid()), "log_type_id": F.lit(code)}
+        return rows.withColumns(own).select(*REPORT, "log_type_id")
+
+    out = out.unionByName(one_row(broken_directories(rollup), codes.LISTING_BAD_REGEX))
     if reached is None:
         return out
-    lost = rollup.join(reached.select(*KEYS).distinct(), KEYS, "left_anti").withColumns(
-        {
-            "file_name": F.lit("null"),
-            "file_uuid": F.concat(F.lit(node + "-"), F.uuid()),
-            "log_type_id": F.lit(codes.UNCLAIMED_UNREACHABLE),
-        }
-    )
-    return out.unionByName(lost.select(*REPORT, "log_type_id"))
+    lost = rollup.join(reached.select(*KEYS).distinct(), KEYS, "left_anti")
+    return out.unionByName(one_row(lost, codes.UNCLAIMED_UNREACHABLE))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from .. import codes
 from ..functions.delimited import field_at, quote_field
 from ..functions.dialect import Dialect, dialect
 from ..functions.schema import FeedSchema, SchemaMissing, SchemaUnparsable, schema_from_avro_json
-from ..functions.text import regex_compiles
+from ..functions.text import broken_patterns
 from ..operators import metadata as md
 from ..operators import reconcile as rc
 from ..operators import validate as va
@@ -95,19 +95,20 @@ class Validation:
     def _varied(self) -> tuple[list[Group], list[str]]:
         """Schema groups and count filters that do not compile. Both are configuration:
         few, checked, and read on the driver only where they differ per file."""
-        names = [*_SCHEMAS, "record_count_filter"]
-        in_files = [c for c in names if c in self.files.columns]
+        in_files = [c for c in _SCHEMAS if c in self.files.columns]
         if in_files:
             found = self.files.select(*in_files).distinct().limit(MAX_GROUPS + 1).collect()
             if len(found) > MAX_GROUPS:
-                raise ValueError(f"more than {MAX_GROUPS} distinct schemas and count filters")
+                raise ValueError(f"more than {MAX_GROUPS} distinct schemas")
             rows = [{**self.settings, **r.asDict()} for r in found]
         else:
             rows = [self.settings]
         texts = sorted({tuple(r.get(c) for c in _SCHEMAS) for r in rows}, key=repr)
-        spark = self.files.sparkSession
-        filters = sorted({r.get("record_count_filter") for r in rows} - {None, ""})
-        bad = [p for p in filters if not regex_compiles(spark, p)]
+        filters = self.files.select("record_count_filter") if "record_count_filter" in self.files.columns else None
+        if filters is None:
+            fixed = self.settings.get("record_count_filter")
+            filters = self.files.sparkSession.createDataFrame([(fixed,)], "record_count_filter string")
+        bad = broken_patterns(filters)
         return [_group(i, t, self.profile) for i, t in enumerate(texts)], bad
 
     @property
@@ -133,7 +134,12 @@ class Validation:
     def checked_files(self) -> DataFrame:
         """Files with their settings, schema group, counts and configuration verdict."""
         known = {k: F.lit(v).cast("string") for k, v in self.settings.items() if k not in self.files.columns}
-        files = with_all_settings(self.files.withColumns(known))
+        # A file that is listed more than once has one row, which says so.
+        own = Window.partitionBy("file_key")
+        order = [F.col(c).cast("string") for c in self.files.columns if c != "file_key"] or [F.lit(0)]
+        files = self.files.withColumns({"listings": F.count(F.lit(1)).over(own), "__place": F.row_number().over(own.orderBy(*order))})
+        files = files.filter("__place = 1").drop("__place")
+        files = with_all_settings(files.withColumns(known))
         if len(self.groups) == 1:
             g = self.groups[0]
             files = files.withColumns({"schema_group": F.lit(g.id), "schema_code": F.lit(g.code).cast("string")})
@@ -151,7 +157,8 @@ class Validation:
             files = metadata_line_setting(files)
         else:
             files = files.withColumns({"metadata_line": F.lit(0), "metadata_setting_code": F.lit(None).cast("string")})
-        early = F.coalesce("schema_code", "config_code", "metadata_setting_code")
+        doubled = F.when(F.col("listings") > 1, F.lit(codes.PROFILES[self.profile]["attribute"]))
+        early = F.coalesce(doubled, "schema_code", "config_code", "metadata_setting_code")
         location = F.lower("record_count_location")
         reads_text = F.lit(self.profile != "data")
         return files.withColumns(
@@ -244,8 +251,9 @@ class Validation:
 
     @cached_property
     def verdicts(self) -> DataFrame:
-        """One row per file of ``files``. The first of these decides: schema text,
-        settings, metadata line setting, hard stop or metadata line error at the
+        """One row per file of ``files``, and one per file of the source that ``files`` does
+        not list, which fails. The first of these decides: listed more than once, schema
+        text, settings, metadata line setting, hard stop or metadata line error at the
         earliest record, record count, schema errors; else the file passes."""
         code = codes.PROFILES[self.profile]
         _, bad_filters = self._varied
@@ -302,6 +310,7 @@ class Validation:
         )
         message = (
             F.when(ok, F.lit("File is validated successfully"))
+            .when(F.col("listings") > 1, F.concat(F.lit("file is listed "), F.col("listings").cast("string"), F.lit(" times")))
             .when(F.col("code") == code["attribute"], F.array_join(F.transform("config_errors", lambda e: e["msg"]), "; "))
             .when(F.col("code") == code["malformed"], F.concat(F.lit("malformed record "), stop_line.cast("string")))
             .when(F.col("code") == code["date"], F.concat(F.lit("date does not match its pattern at record "), stop_line.cast("string")))
@@ -331,7 +340,13 @@ class Validation:
         if "actual_file_size" in self.files.columns:
             attrs.append(F.when(ok, F.col("actual_file_size").cast("string")).alias("actual_file_size"))
         carried = [c for c in self.files.columns if c not in (*shown, *SETTINGS, "actual_file_size")]
-        return v.select(*shown, *attrs, *carried)
+        listed = v.select(*shown, *attrs, *carried)
+        known = self.files.select("file_key").distinct()
+        unlisted = self.src.chunks.select("file_key").distinct().join(known, "file_key", "left_anti")
+        unlisted = unlisted.withColumns(
+            {"status": F.lit("failure"), "code": F.lit(code["attribute"]), "message": F.lit("file is not listed")}
+        )
+        return listed.unionByName(unlisted, allowMissingColumns=True)
 
     def _with_claim(self, v: DataFrame, code: dict, bad_filters: list[str]) -> DataFrame:
         """Add ``claimed_text, claimed_count, count_status, count_code``."""
@@ -403,10 +418,11 @@ class Validation:
         return materialise(self.verdicts, "verdicts")
 
     def original_lines(self, status: str) -> DataFrame:
-        """Untouched records of the files with this status. One bad record fails a whole
-        file; a passing manifest goes on with header and footer."""
+        """Lines of the files with this status as they were received, blank lines and
+        comments too. One bad record fails a whole file; a passing manifest goes on with
+        header and footer."""
         files = self.decided.filter(F.col("status") == status).select("file_key")
-        return number_lines(self.src, files).select("file_key", "line_no", "line")
+        return number_lines(self.src.received(), files).select("file_key", "line_no", "line")
 
     def _passing(self) -> DataFrame:
         files = self.decided.filter(F.col("status") == "success")

@@ -9,6 +9,7 @@ is numbered without ever passing through one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,6 +27,11 @@ class LineSource:
     rows: DataFrame
     chunks: DataFrame
     partitioned: bool = False  # rows already lie together by chunk
+    physical: Callable[[], LineSource] | None = None  # the same files with every line, blank ones and comments too
+
+    def received(self) -> LineSource:
+        """All lines as they were received."""
+        return self.physical() if self.physical else self
 
 
 def _is_record(d: Dialect | None):
@@ -46,6 +52,11 @@ def number_splits(raw: DataFrame, d: Dialect | None = None) -> LineSource:
     The blank and comment filter stands before the row ids, in both passes alike.
     """
     rows = raw.filter(_is_record(d)).withColumn("seq", F.monotonically_increasing_id())
+    return LineSource(rows, materialise(_count_chunks(rows), "chunks"), physical=lambda: _every_line(raw))
+
+
+def _every_line(raw: DataFrame) -> LineSource:
+    rows = raw.withColumn("seq", F.monotonically_increasing_id())
     return LineSource(rows, materialise(_count_chunks(rows), "chunks"))
 
 
@@ -76,8 +87,8 @@ def stitch_lines(raw: DataFrame, d: Dialect) -> LineSource:
     or leaves it. Such steps combine in any grouping, so every split is worked out alone
     and only one step per split is carried along the file. Lines of a record that is
     spread over several lines are gathered by record; all others stay where they are. A
-    quote that is never closed does not gather the rest of its file: its first line
-    remains, and is malformed.
+    quote that is never closed does not gather the rest of its file: its first line is
+    malformed, and every later line stays a line of its own.
     """
     own = Window.partitionBy(*CHUNK).orderBy("pos")
     until = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -122,16 +133,16 @@ def stitch_lines(raw: DataFrame, d: Dialect) -> LineSource:
     tails = tails.select(*CHUNK, F.last("last_first", ignorenulls=True).over(before).alias("carried"), F.max("last_first").over(whole).alias("final"))
     rows = rows.join(tails, CHUNK).withColumn("first", F.coalesce("own_first", "carried"))
     unclosed = (F.col("open_at_end") == 1) & (F.col("first") == F.col("final"))
-    single = ~F.col("inside") & (~F.col("opens") | unclosed)
-    singles = rows.filter(single).select("file_key", "first", "line")
-    spread = rows.filter(~single & ~unclosed).groupBy("file_key", "first").agg(F.collect_list(F.struct("chunk", "pos", "line")).alias("parts"))
+    single = unclosed | (~F.col("inside") & ~F.col("opens"))
+    singles = rows.filter(single).select("file_key", F.struct("chunk", "chunk_len", "pos").alias("first"), "line")
+    spread = rows.filter(~single).groupBy("file_key", "first").agg(F.collect_list(F.struct("chunk", "pos", "line")).alias("parts"))
     spread = spread.select("file_key", "first", F.array_join(F.transform(F.array_sort("parts"), lambda x: x["line"]), "\n").alias("line"))
     records = singles.unionByName(spread).withColumn("line", F.regexp_replace("line", "\\r\\z", ""))
     records = records.select("file_key", "first.*", "line").filter(_is_record(d))
     rank = Window.partitionBy(*CHUNK).orderBy("pos")
     out = records.withColumn("seq", F.row_number().over(rank).cast("bigint")).drop("pos")
     chunks = records.groupBy(*CHUNK).agg(F.lit(1).cast("bigint").alias("base"), F.count(F.lit(1)).alias("n_lines"))
-    return LineSource(out, materialise(chunks, "chunks"), partitioned=True)
+    return LineSource(out, materialise(chunks, "chunks"), partitioned=True, physical=lambda: _every_line(raw))
 
 
 def ordered_lines(
@@ -140,7 +151,8 @@ def ordered_lines(
     """Line source of a table that has a whole-number order column, unique per file.
 
     Buckets of ``width`` order values hold at most ``width`` lines each, whatever the
-    file holds, so the window below sorts bounded groups.
+    file holds, so the window below sorts bounded groups. Their counts are written out,
+    as several steps read them.
     """
     base = df.select(
         F.col(file_key).alias("file_key"),
@@ -150,9 +162,11 @@ def ordered_lines(
         F.col(line).alias("line"),
         *keep,
     )
+    physical = None
     if blanks or (d is not None and d.comment):
         base = base.filter(_is_record(d))
+        physical = lambda: ordered_lines(df, file_key, order, line, width, keep, blanks=False)
     chunks = base.groupBy(*CHUNK).agg(F.lit(1).cast("bigint").alias("base"), F.count(F.lit(1)).alias("n_lines"))
     w = Window.partitionBy(*CHUNK).orderBy("__order")
     rows = base.withColumn("seq", F.row_number().over(w).cast("bigint")).drop("__order")
-    return LineSource(rows, chunks, partitioned=True)
+    return LineSource(rows, materialise(chunks, "chunks"), partitioned=True, physical=physical)

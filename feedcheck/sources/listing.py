@@ -54,11 +54,19 @@ def list_files(
     return listing_rows(list_paths(spark, directory, recursive), regex, conf_id, directory, host, node)
 
 
+_SCHEME = r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?(?=/)"
+
+
+def _below(path: str, base: str) -> Column:
+    """The part of a path column below ``base``; either may show the file system's scheme."""
+    bare = re.sub(_SCHEME, "", base).rstrip("/")
+    return F.substring(F.regexp_replace(path, _SCHEME, ""), F.lit(len(bare) + 2), F.length(path))
+
+
 def segments_match(listing: DataFrame, base: str, name_regex: str = DEFAULT_FILTER) -> DataFrame:
     """Keep files whose name, and whose every folder below ``base``, matches: a folder
     that does not match is not entered."""
-    relative = F.expr(f"substring(path, length('{base.rstrip('/')}') + 2)")
-    parts = F.filter(F.split(relative, "/"), lambda p: p != "")
+    parts = F.filter(F.split(_below("path", base), "/"), lambda p: p != "")
     return listing.filter(F.forall(parts, lambda p: matches(p, name_regex)))
 
 
@@ -120,8 +128,7 @@ def filter_listing(
 
 def listing_attributes(listing: DataFrame, base: str) -> DataFrame:
     """Relative and absolute folder (each with a trailing slash), size and time."""
-    base = base.rstrip("/")
-    relative = F.expr(f"substring(folder, length('{base}') + 2)")
+    relative = _below("folder", base)
     return listing.select(
         F.when(relative == "", F.lit("./")).otherwise(F.concat(relative, F.lit("/"))).alias("path"),
         F.col("file_name").alias("filename"),
@@ -147,13 +154,17 @@ def new_files(listing: DataFrame, state: ListingState, time: str = "modified_ms"
     unless it was already the newest last time. Files being copied are left out.
     """
     seen = listing.filter(~F.col("file_name").endswith("_COPYING_"))
-    fresh = seen.filter((F.col(time) >= state.listed) & (F.col(time) > state.emitted))
-    newest = seen.agg(F.max(time).alias("t")).first().t
-    listed = max(state.listed, newest if newest is not None else -1)
-    held = fresh.agg(F.max(time).alias("t")).first().t
-    if held is None:
+    is_fresh = (F.col(time) >= state.listed) & (F.col(time) > state.emitted)
+    fresh = seen.filter(is_fresh)
+    # The two newest times say which are held back and which are handed out.
+    times = seen.select(F.col(time).alias("t"), is_fresh.alias("fresh")).distinct()
+    newest = times.orderBy(F.col("t").desc_nulls_last()).limit(2).collect()
+    newest = [r for r in newest if r.t is not None]
+    listed = max(state.listed, newest[0].t if newest else -1)
+    held = [r.t for r in newest if r.fresh]
+    if not held:
         return fresh, ListingState(listed, state.emitted)
-    if held != state.listed:
-        fresh = fresh.filter(F.col(time) < held)
-    emitted = fresh.agg(F.max(time).alias("t")).first().t
-    return fresh, ListingState(listed, max(state.emitted, emitted if emitted is not None else -1))
+    if held[0] != state.listed:
+        fresh = fresh.filter(F.col(time) < held[0])
+        held = held[1:]
+    return fresh, ListingState(listed, max([state.emitted, *held[:1]]))
