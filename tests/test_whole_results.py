@@ -46,7 +46,7 @@ def test_a_broken_expression_leaves_other_directories_alone(spark):
     rollup = spark.createDataFrame([("/a", "h", ["(", "x.*"]), ("/b", "h", ["y.*", "\\Qz\\E"]), ("/c", "h", ["\\Qz"])], "directory string, localhost string, regexes array<string>")
     for c in set(unclaimed.REPORT) - {"directory", "localhost", "file_name", "file_uuid"}:
         rollup = rollup.withColumn(c, F.lit("-"))
-    files = spark.createDataFrame([("/a", "h", "x1"), ("/b", "h", "y1"), ("/b", "h", "z"), ("/b", "h", "w")], "directory string, localhost string, file_name string")
+    files = spark.createDataFrame([("/a", "h", "x1"), ("/b", "h", "y1"), ("/b", "h", "z"), ("/b", "h", "w"), ("/c", "h", "z")], "directory string, localhost string, file_name string")
     report = unclaimed.unclaimed_report(files, rollup, files)
     assert sorted((r.directory, r.file_name, r.log_type_id) for r in report.collect()) == [("/a", "null", codes.LISTING_BAD_REGEX), ("/b", "w", codes.UNCLAIMED_LISTED), ("/c", "null", codes.LISTING_BAD_REGEX)]
     assert sorted(r.file_name for r in unclaimed.claimed_files(files, rollup).collect()) == ["y1", "z"]
