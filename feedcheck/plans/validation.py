@@ -19,7 +19,7 @@ from .. import codes
 from ..functions.delimited import field_at, quote_field
 from ..functions.dialect import Dialect, dialect
 from ..functions.schema import FeedSchema, SchemaMissing, SchemaUnparsable, schema_from_avro_json
-from ..functions.text import broken_patterns
+from ..functions.text import broken_patterns, regex_compiles
 from ..operators import metadata as md
 from ..operators import reconcile as rc
 from ..operators import validate as va
@@ -104,11 +104,11 @@ class Validation:
         else:
             rows = [self.settings]
         texts = sorted({tuple(r.get(c) for c in _SCHEMAS) for r in rows}, key=repr)
-        filters = self.files.select("record_count_filter") if "record_count_filter" in self.files.columns else None
-        if filters is None:
+        if "record_count_filter" in self.files.columns:
+            bad = broken_patterns(self.files.select("record_count_filter"))
+        else:
             fixed = self.settings.get("record_count_filter")
-            filters = self.files.sparkSession.createDataFrame([(fixed,)], "record_count_filter string")
-        bad = broken_patterns(filters)
+            bad = [fixed] if fixed and not regex_compiles(self.files.sparkSession, fixed) else []
         return [_group(i, t, self.profile) for i, t in enumerate(texts)], bad
 
     @property
@@ -341,8 +341,7 @@ class Validation:
             attrs.append(F.when(ok, F.col("actual_file_size").cast("string")).alias("actual_file_size"))
         carried = [c for c in self.files.columns if c not in (*shown, *SETTINGS, "actual_file_size")]
         listed = v.select(*shown, *attrs, *carried)
-        known = self.files.select("file_key").distinct()
-        unlisted = self.src.chunks.select("file_key").distinct().join(known, "file_key", "left_anti")
+        unlisted = self.src.chunks.select("file_key").join(self.files, "file_key", "left_anti").distinct()
         unlisted = unlisted.withColumns(
             {"status": F.lit("failure"), "code": F.lit(code["attribute"]), "message": F.lit("file is not listed")}
         )
