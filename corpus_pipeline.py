@@ -29,8 +29,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    """One document of each group of near-duplicates (a similarity of 0.8 or more), the one with the smallest id."""
+    kept = minhash.near_duplicates(docs, percent=80).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
 
 
