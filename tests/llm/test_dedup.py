@@ -61,11 +61,12 @@ def test_near_duplicates_against_all_pairs(spark):
     assert sorted(map(tuple, got.collect())) == sorted(linked(rows))
 
 
-def test_family_larger_than_a_block(spark):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_family_larger_than_a_block(spark, percent):
     rng = np.random.default_rng(9)
     base = [WORDS[k] for k in rng.integers(0, 3000, 146)]
     rows = [(k, edited(base, rng, int(rng.choice([1, 2, 3, 4])))) for k in range(260)]
-    assert sorted(map(tuple, minhash.near_duplicates(docs_of(spark, rows)).collect())) == sorted(linked(rows))
+    assert sorted(map(tuple, minhash.near_duplicates(docs_of(spark, rows), percent).collect())) == sorted(linked(rows, percent))
 
 
 def test_null_ids_and_empty_table(spark):

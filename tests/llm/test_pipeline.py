@@ -13,6 +13,8 @@ def test_pipeline_against_brute_force(spark, folder):
     passage = text(120)
     rows = [(i, text(int(rng.integers(20, 200)))) for i in range(30)]
     rows += [(30, rows[3][1]), (31, rows[4][1]), (32, rows[5][1] + " more"), (33, None), (34, "1234 !?"), (35, "")]
+    base = text(100).split()
+    rows += [(36, " ".join(base)), (37, " ".join([*base[:50], "stthaer", *base[51:-6]]))]  # a similarity of 0.84
     rows += [(40 + k, text(60) + " " + passage + " " + text(60)) for k in range(3)]
     spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
 
@@ -21,7 +23,8 @@ def test_pipeline_against_brute_force(spark, folder):
     for i, t in left:
         first.setdefault(t, i)
     left = [(i, t) for i, t in left if first[t] == i]
-    stays = {i for i, _, _, kept in linked(left) if kept}
+    stays = {i for i, _, _, kept in linked(left, 80) if kept}
+    assert not {32, 37} & stays
     left = [(i, t) for i, t in left if i in stays]
     count = {}
     for _, t in left:
