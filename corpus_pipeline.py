@@ -35,8 +35,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings of 400 bytes that are met more than once."""
-    return suffixes.without_repeats(docs, size=400)
+    """Texts without passages of over 50 words, and without strings of 400 bytes, that are met more than once."""
+    return suffixes.without_repeats(docs, size=400, words=51)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,6 @@
 import hashlib
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -139,3 +141,40 @@ def test_texts_without_repeats(spark):
     assert left.columns == ["doc_id", "text", "component_id", "key"]
     assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(1, "AAAtail"), (2, "B"), (None, None), (5, "short")], key=str)
     assert suffixes.without_repeats(docs_of(spark, []), 24).count() == 0
+
+
+def words_left(texts, size, words):
+    """Brute force for windows of words and of bytes."""
+    spans = [[m.span() for m in re.finditer(r"\S+", t)] for t in texts]
+    runs = [[" ".join(t[a:b] for a, b in s[i : i + words]) for i in range(len(s) - words + 1)] for t, s in zip(texts, spans)]
+    count = Counter(w for r in runs for w in r)
+    strings = Counter(t.encode()[i : i + size] for t in texts for i in range(len(t.encode()) - size + 1))
+    out = []
+    for t, s, r in zip(texts, spans, runs):
+        hit = np.zeros(len(t.encode()), bool)
+        for i, w in enumerate(r):
+            if count[w] > 1:
+                hit[len(t[: s[i][0]].encode()) : len(t[: s[i + words - 1][1]].encode())] = True
+        for i in range(len(hit) - size + 1):
+            if strings[t.encode()[i : i + size]] > 1:
+                hit[i : i + size] = True
+        left = bytes(c for c, h in zip(t.encode(), hit) if not h).decode(errors="ignore")
+        out.append(left if left.strip() else "")
+    return out
+
+
+@pytest.mark.parametrize("words", [3, 12, 51])
+def test_repeated_words_against_brute_force(spark, monkeypatch, words):
+    monkeypatch.setattr(suffixes, "BLOCK", 64)
+    rng = np.random.default_rng(words)
+    text = lambda n, gap=" ": gap.join(rng.choice(["é", "of", "a", "sea.", "tide", "the", "Run", "ßo", "on", "x"], n))
+    passages = [text(n).split() for n in (words - 1, words, words + 1, words + 9, 4 * words)]
+    texts = ["", " ", "\u3000a\xa0", text(words), text(300), "é " * (words - 1), "no " * (words + 70)]
+    for p in passages:
+        texts += [f"{text(40)} {gap.join(p)}\n{text(30)}" for gap in (" ", "  ", "\u2003", "\t\n", "\x1c")]
+    copy = text(words + 2)
+    texts += [copy, copy, text(3 * words, "\xa0"), "q" * 700, "p" + "q" * 500, " ".join(passages[3]), "  " + "\t".join(passages[2])]
+    got = {r.doc_id: r.text for r in suffixes.without_repeats(docs_of(spark, list(enumerate(texts))), 400, words).collect()}
+    want = words_left(texts, 400, words)
+    assert got == {i: w for i, w in enumerate(want) if w or not texts[i]} | ({1: " "})
+    assert sum(w != t for w, t in zip(want, texts)) > 15

@@ -47,3 +47,13 @@ def test_pipeline_against_brute_force(spark, folder):
     docs = cp.table(spark, folder, "documents")
     for _, stage in cp.STAGES[:-1]:
         assert stage(spark, docs.limit(0), folder).columns == docs.columns
+
+
+def test_passages_of_over_50_short_words(spark):
+    rng = np.random.default_rng(5)
+    text = lambda n: " ".join(rng.choice(["a", "of", "to", "sea", "tide", "buoy", "we", "log"], n))
+    passages = {n: text(n) for n in (50, 51, 55, 60)}
+    assert all(len(p) < 400 for p in passages.values())
+    rows = [(10 * n + i, f"{text(30)} x{n}{i} {p} y{n}{i} {text(30)}") for n, p in passages.items() for i in range(3)]
+    left = {r.doc_id: r.text for r in cp.repeated_passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert left == {i: t if i // 10 == 50 else t.replace(passages[i // 10], "") for i, t in rows}
