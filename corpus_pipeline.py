@@ -16,11 +16,27 @@ from feedcheck.llm.queries import END_ID, tokenizer_file  # noqa: E402
 from feedcheck.session import materialise  # noqa: E402
 
 
+def numbered(docs: DataFrame, tag: str) -> DataFrame:
+    """``docs`` with ``number``, which no two rows share: the id, or where ids are repeated or
+    null, the place of the row in order of id (null ids last) and text."""
+    odd = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 or doc_id is null")
+    if odd.isEmpty():
+        return docs.withColumn("number", F.col("doc_id"))
+    order = [F.col("doc_id").asc_nulls_last(), F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)]
+    return materialise(docs.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("number", F.monotonically_increasing_id()), tag)
+
+
+def judged_by_number(docs: DataFrame) -> DataFrame:
+    """The number in place of the id."""
+    return docs.withColumn("doc_id", F.col("number")).drop("number")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; those without any go."""
-    judged = materialise(langid.predict(docs, langid.fit(docs)).select("doc_id", "lang_pred").distinct(), "language")
-    known = judged.filter(F.col("lang_pred") != langid.UNKNOWN).select(F.col("doc_id").alias("known_id")).distinct()
-    return docs.join(known, docs["doc_id"].eqNullSafe(known["known_id"]), "left_semi")
+    rows = numbered(docs, "numbered")
+    judged = materialise(langid.predict(judged_by_number(rows), langid.fit(docs)).select("doc_id", "lang_pred"), "language")
+    known = judged.filter(F.col("lang_pred") != langid.UNKNOWN).select(F.col("doc_id").alias("number"))
+    return rows.join(known, "number", "left_semi").select(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +45,11 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (a similarity of 0.8 or more), the one with the smallest id."""
-    kept = minhash.near_duplicates(docs, percent=80).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+    """One document of each group of near-duplicates (a similarity of 0.8 or more), the one with the
+    smallest id; null ids are outranked by any other, and rows that share an id are documents of their own."""
+    rows = numbered(docs, "numbered")
+    kept = minhash.near_duplicates(judged_by_number(rows), percent=80).filter("kept").select(F.col("doc_id").alias("number"))
+    return rows.join(kept, "number", "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -57,3 +57,18 @@ def test_passages_of_over_50_short_words(spark):
     rows = [(10 * n + i, f"{text(30)} x{n}{i} {p} y{n}{i} {text(30)}") for n, p in passages.items() for i in range(3)]
     left = {r.doc_id: r.text for r in cp.repeated_passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
     assert left == {i: t if i // 10 == 50 else t.replace(passages[i // 10], "") for i, t in rows}
+
+
+def test_rows_with_repeated_or_null_ids(spark):
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(["tha", "ing", "er", "on", "st"], rng.integers(1, 4))) for _ in range(900)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    docs_of = lambda rows: spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    taught = [(i, text(40)) for i in range(20)]
+    left = cp.language(spark, docs_of([*taught, (3, "1234 !?"), (None, "99"), (None, text(9)), (7, text(9))]), "").collect()
+    assert len(left) == 22 and all(any(c.isalpha() for c in r.text) for r in left)
+
+    a, b, c = text(100), text(100), text(100)
+    rows = [(None, a), (None, a + " more"), (5, b), (5, c), (4, b + " more"), (9, c + " more"), (None, c + " most")]
+    left = {(r.doc_id, r.text) for r in cp.near_copies(spark, docs_of(rows), "").collect()}
+    assert len(left) == 3 and {(4, b + " more"), (5, c)} < left and (left - {(4, b + " more"), (5, c)}) < {(None, a), (None, a + " more")}
