@@ -27,8 +27,8 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
 SCOPE = {"ul", "ol", "dl", "table", "div", "section", "article", "body"}
 LEAVES = set("p h1 h2 h3 h4 h5 h6 li td th dt dd blockquote pre figcaption caption address".split())
 
-#: Pages of the sample that teaches, and rounds of training.
-SAMPLE_PAGES, ROUNDS = 200, 12
+#: Pages of the sample that teaches, bytes below which a page is taken for it, and rounds of training.
+SAMPLE_PAGES, SAMPLE_BYTES, ROUNDS = 200, 1 << 18, 12
 
 
 @dataclass
@@ -99,7 +99,7 @@ class Dom(HTMLParser):
         if tag not in INLINE:
             found = dict(attrs)
             names = [n for a in ("class", "id", "role") for n in re.split(r"[^a-z0-9]+", (found.get(a) or "").lower()) if n]
-            self.nodes.append(Node(tag, node, names[:12], int(found["data-main"]) if (found.get("data-main") or "") in ("0", "1") else None))
+            self.nodes.append(Node(tag, node, names, int(found["data-main"]) if (found.get("data-main") or "") in ("0", "1") else None))
             node = len(self.nodes) - 1
         self._push(tag, node)
 
@@ -301,15 +301,16 @@ def layouts(n: int = 240, seed: int = 17) -> list[str]:
     return pages
 
 
-def fit(pages: DataFrame | None = None, sample_pages: int = SAMPLE_PAGES) -> TreeModel:
+def fit(pages: DataFrame | None = None, sample_pages: int = SAMPLE_PAGES, sample_bytes: int = SAMPLE_BYTES) -> TreeModel:
     """Train on the labelled layouts and on about ``sample_pages`` of ``pages`` (``html``) that state
-    themselves where their article is: those with an ``article`` or ``main`` element, chosen by a hash."""
+    themselves where their article is: those with an ``article`` or ``main`` element, chosen by a hash
+    among those of less than ``sample_bytes``, as the driver holds them."""
     known: list[tuple[list[Node], list[int]]] = []
     for html in layouts():
         dom = Dom(html)
         known.append((dom.nodes, labels_of(dom, lambda x: x.label)))
     if pages is not None:
-        marked = pages.select("html").filter(F.col("html").rlike(r"(?i)<(article|main)[\s>]") & (F.octet_length("html") < 1 << 18))
+        marked = pages.select("html").filter(F.col("html").rlike(r"(?i)<(article|main)[\s>]") & (F.octet_length("html") < sample_bytes))
         n = marked.count()
         if n:
             chosen = marked.filter(F.pmod(F.xxhash64("html"), F.lit(1 << 20)) < min(1 << 20, -(-(sample_pages << 20) // n)))

@@ -128,3 +128,8 @@ def test_pages_and_their_cases(spark, model):
     assert [r.text for r in got if r.page_id in (1, None)] == [want] * 3
     assert {r.page_id: r.text for r in got}[2] == "" == {r.page_id: r.text for r in got}[3]
     assert html.main_texts(frame.limit(0), model).count() == 0
+
+
+def test_id_and_role_count_beside_many_classes():
+    dom = html.Dom("<div class='flex flex-col w-1/4 p-4 m-2 bg-gray-100 text-sm' id='sidebar' role='navigation'>x</div>")
+    assert {"name sidebar", "name navigation"} <= set(html.features(dom.nodes[-1]))
