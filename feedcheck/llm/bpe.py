@@ -105,23 +105,32 @@ class Transducer:
         raise ValueError("a letter is not in the vocabulary")
 
     def encode(self, letters: Iterable[str]) -> Iterator[int]:
-        """Ids of one word, given as letters or strings of letters; each is emitted once no
-        possible continuation changes it. What is held does not grow with the word."""
+        """Ids of one word, given as letters or strings of letters; each is emitted as soon as all
+        prefixes that a token can still continue agree on it. What is held does not grow with the word."""
         window, base, p = "", 0, 0
-        last, back = {0: -1}, {}
-        check = 4 * self.lookahead
+        # Of each prefix held: its last token, where that starts, and the prefixes that go on from it.
+        last, back, onward = {0: -1}, {}, {0: set()}
         for letter in chain.from_iterable(letters):
             if window:
                 # The letter held back turns out not to be the word's last one.
                 p += 1
                 back[p], last[p] = self._step(window, base, p, "", last)
-                if p - base >= check:
-                    stable = self._stable(p, back, base)
-                    yield from self._path(stable, back, last, base)
-                    window, base = window[stable - base :], stable
-                    last = {x: t for x, t in last.items() if x >= base}
-                    back = {x: q for x, q in back.items() if x > base}
-                    check = max(4 * self.lookahead, 2 * (p - base))
+                onward[back[p]].add(p)
+                onward[p] = set()
+                # No token reaches back to this prefix any more; it goes, and those that led to it alone.
+                out = p - self.lookahead
+                while out > base and out <= p - self.lookahead and not onward[out]:
+                    before = back.pop(out)
+                    onward[before].discard(out)
+                    del last[out], onward[out]
+                    out = before
+                start = base
+                while base <= p - self.lookahead and len(onward[base]) == 1:
+                    (after,) = onward.pop(base)
+                    del last[base], back[after]
+                    yield last[after]
+                    base = after
+                window = window[base - start :]
             window += letter
         if window:
             n = base + len(window)
@@ -129,35 +138,8 @@ class Transducer:
             yield from self._path(n, back, last, base)
 
     def encode_short(self, word: str) -> list[int]:
-        """The same for a word held whole: only the prefixes that its last token leads to are worked out."""
-        vocab, known, reach = self.vocab, self._agrees, self.lookahead
-        last, back = {0: -1}, {}
-
-        def ending(p: int, suffix: str) -> int:
-            for q in range(p - reach if p > reach else 0, p):
-                token = vocab.get(word[q:p] + suffix)
-                if token is not None:
-                    before = last[q] if q in last else ending(q, "")
-                    fits = known.get((before, token))
-                    if fits or fits is None and self.agrees(before, token):
-                        last[p], back[p] = token, q
-                        return token
-            raise ValueError("a letter is not in the vocabulary")
-
-        if word:
-            ending(len(word), self.suffix)
-        return self._path(len(word), back, last, 0)
-
-    def _stable(self, p: int, back: dict[int, int], base: int) -> int:
-        """The last position through which the encodings of all prefixes that a token can still continue go."""
-        common = None
-        for live in range(max(base, p - self.lookahead + 1), p + 1):
-            path, x = {live}, live
-            while x > base:
-                x = back[x]
-                path.add(x)
-            common = path if common is None else common & path
-        return max(common)
+        """The ids of a word held whole."""
+        return list(self.encode((word,)))
 
     @staticmethod
     def _path(end: int, back: dict[int, int], last: dict[int, int], base: int) -> list[int]:
@@ -224,7 +206,7 @@ class Codec:
         if self.by_library:
             ids = [t.id for t in self.model.tokenize(letters)]
         else:
-            ids = self.transducer.encode_short(letters) if len(letters) <= 64 else list(self.transducer.encode([letters]))
+            ids = self.transducer.encode_short(letters)
         return np.array(ids, self.dtype).tobytes()
 
     def normalise(self, text: str) -> str:

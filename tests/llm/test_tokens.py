@@ -54,6 +54,20 @@ def test_long_words_are_emitted_before_they_end(made):
     assert list(own.encode(short)) == own.encode_short(short) == own.merged([own.vocab[c] for c in short[:-1]] + [own.vocab[short[-1] + "</w>"]])
 
 
+def test_every_word_streams(made, monkeypatch):
+    own = made["word_bpe_49k.json"][1]
+    for word in ("thandingerest" * 5, "ab" * 50, "xqzj" * 20):
+        read = []
+        stream = own.transducer.encode(read.append(c) or c for c in word)
+        first = next(stream)
+        assert len(read) < len(word)
+        assert [first, *stream] == own.transducer.merged([own.vocab[c] for c in word[:-1]] + [own.vocab[word[-1] + "</w>"]])
+    seen, encode = [], own.transducer.encode
+    monkeypatch.setattr(own.transducer, "encode", lambda letters: encode(seen.append("".join(letters)) or [seen[-1]]))
+    own.encode("brevityqx oddwordlyx")
+    assert seen == ["brevityqx", "oddwordlyx"]
+
+
 DOCS = [(5, "b c"), (1, "a"), (None, "n"), (3, None), (3, ""), (9, "word " * 30_000), (2, "Ünï <|endoftext|>"), (5, "a c")]
 
 
