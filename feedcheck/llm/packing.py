@@ -17,7 +17,7 @@ from feedcheck.llm.common import record_batches, small_batches
 
 #: Cost of a cut, in tokens of padding: at a sentence's end, and inside a sentence.
 SENTENCE, INSIDE = 8, 24
-#: Cells of a sequence; each has one candidate cut at most, besides the ends of documents.
+#: Cells of a sequence; one in which no sentence ends has a candidate cut at its end.
 CELLS = 128
 #: Windows are chosen over so many tokens at a time, up to the next end of a document.
 SEGMENT = 1 << 20
@@ -32,16 +32,13 @@ def padding(length: int, size: int) -> int:
 
 
 def candidates(n: int, sentence_ends: np.ndarray, cell_size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Where a document of ``n`` tokens may be cut, and at what cost: at its end for nothing,
-    and once in each cell, after the cell's last sentence or else at the cell's end."""
-    cells = np.arange(cell_size, n, cell_size)
-    at, cost = cells.copy(), np.full(len(cells), INSIDE)
-    inner = sentence_ends[(sentence_ends < n) & (sentence_ends <= len(cells) * cell_size) & (sentence_ends > 0)]
-    if len(inner):
-        cell = (inner - 1) // cell_size
-        last = np.append(cell[1:] != cell[:-1], True)
-        at[cell[last]], cost[cell[last]] = inner[last], SENTENCE
-    return np.append(at, n), np.append(cost, 0)
+    """Where a document of ``n`` tokens may be cut, and at what cost: at its end for nothing, after
+    each sentence, and at the end of a cell in which no sentence ends."""
+    inner = sentence_ends[(sentence_ends > 0) & (sentence_ends < n)]
+    bare = np.setdiff1d(np.arange(cell_size, n, cell_size), ((inner - 1) // cell_size + 1) * cell_size)
+    at, cost = np.append(inner, bare), np.append(np.full(len(inner), SENTENCE), np.full(len(bare), INSIDE))
+    order = np.argsort(at)
+    return np.append(at[order], n), np.append(cost[order], 0)
 
 
 def windows(at: list[int], cost: list[int], size: int) -> list[int]:

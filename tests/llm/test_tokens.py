@@ -162,3 +162,10 @@ def test_windows_are_the_best():
         assert cuts[-1] == end and all(0 < b - a <= size for a, b in zip([0, *cuts], cuts))
         paid = sum(packing.padding(b - a, size) for a, b in zip([0, *cuts], cuts)) + sum(price.get(c, packing.INSIDE) for c in cuts[:-1])
         assert paid <= min(best[end], *tails)
+
+
+def test_every_sentence_end_is_a_candidate():
+    at, cost = packing.candidates(150, np.array([3, 10, 20, 40, 130, 149, 150]), 32)
+    assert at.tolist() == [3, 10, 20, 40, 96, 128, 130, 149, 150]
+    assert cost.tolist() == [packing.SENTENCE] * 4 + [packing.INSIDE] * 2 + [packing.SENTENCE] * 2 + [0]
+    assert packing.candidates(3, np.array([], int), 32)[0].tolist() == [3]
