@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedcheck.llm import bpe, exact, html, langid, minhash, neighbours, packing, suffixes, tokenfiles, urls
+from feedcheck.llm import bpe, exact, html, kneser, langid, minhash, neighbours, packing, suffixes, tokenfiles, urls
 from feedcheck.llm.common import table
 
 END_ID = 2
@@ -72,6 +72,12 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_texts(pages, html.fit(pages))
 
 
+def op11_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = "crc32(cast(cast(doc_id as string) as binary)) % 7 = 2"
+    return kneser.score(docs, kneser.fit(docs.filter(f"not coalesce({held_out}, false)")), held_out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_suffixes, op3_tokenfiles, op4_bpe, op5_language, op6_exact, op7_neighbours, op8_urls, op9_packing, op10_html)
+    f.__name__: f for f in (op1_minhash, op2_suffixes, op3_tokenfiles, op4_bpe, op5_language, op6_exact, op7_neighbours, op8_urls, op9_packing, op10_html, op11_kneser)
 }
