@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedcheck.llm import bpe, exact, html, kneser, langid, minhash, neighbours, packing, runs, suffixes, tokenfiles, urls
+from feedcheck.llm import bpe, exact, html, kneser, langid, minhash, neighbours, packing, phrases, runs, suffixes, tokenfiles, urls
 from feedcheck.llm.common import table
 
 END_ID = 2
@@ -78,10 +78,14 @@ def op11_kneser(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser.score(docs, kneser.fit(docs.filter(f"not coalesce({held_out}, false)")), held_out)
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"), words=3, least=10, inside=50, limit=2000)
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(table(spark, sf_dir, "documents"), runs.repeated_tail)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_minhash, op2_suffixes, op3_tokenfiles, op4_bpe, op5_language, op6_exact, op7_neighbours, op8_urls, op9_packing, op10_html, op11_kneser, op13_runs)
+    f.__name__: f for f in (op1_minhash, op2_suffixes, op3_tokenfiles, op4_bpe, op5_language, op6_exact, op7_neighbours, op8_urls, op9_packing, op10_html, op11_kneser, op12_phrases, op13_runs)
 }
