@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextvars
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,18 +18,53 @@ def work_dir(spark: SparkSession) -> str:
     return (configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/feedcheck-work").rstrip("/")
 
 
-def new_folder(spark: SparkSession, tag: str) -> str:
-    return f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+_scopes: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("scopes", default=())
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def new_folder(spark: SparkSession, tag: str, keep: bool = False) -> str:
+    """A new folder in the shared folder. Within :func:`scratch` it is deleted at the end, or with
+    ``keep`` at the end of the scope around that one."""
+    path = f"{work_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    scopes = _scopes.get()[:-1] if keep else _scopes.get()
+    if scopes:
+        scopes[-1].append(path)
+    return path
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, on whatever file system it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+
+
+def delete_table(df: DataFrame) -> None:
+    """Delete the folder of a table that :func:`materialise` wrote and that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete_folder(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that :func:`materialise` writes within the block when it ends, but those written
+    with ``keep``. Nothing lazy that reads them may leave the block."""
+    mine: list[str] = []
+    token = _scopes.set((*_scopes.get(), mine))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in mine:
+            delete_folder(spark, path)
+
+
+def materialise(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back; ``keep`` as in :func:`new_folder`.
 
     Cuts the lineage with data that survives a lost executor, and gives later
     joins a true size: Spark broadcasts the table only if its files are small.
     """
     spark = df.sparkSession
-    path = new_folder(spark, tag)
+    path = new_folder(spark, tag, keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
