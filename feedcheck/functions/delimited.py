@@ -25,7 +25,12 @@ def _token(d: Dialect) -> str:
     if not d.quote:
         return plain
     q = re.escape(d.quote)
-    return f"(?:{q}{_inside(d)}{q}[ \\t]*+|(?!{q}){plain})"
+    return f"(?:{q}{_inside(d)}{q}{_blanks(d)}|(?!{q}){plain})"
+
+
+def _blanks(d: Dialect) -> str:
+    """Regular expression of blanks after a closing quote; a separator is none."""
+    return f"(?:(?!{re.escape(d.sep)})[ \\t])*+"
 
 
 def _inside(d: Dialect) -> str:
@@ -40,7 +45,7 @@ def open_quote(line: Column, d: Dialect) -> tuple[Column, Column]:
     sep, q, tok = re.escape(d.sep), re.escape(d.quote), _token(d)
     inside = _inside(d)
     opened = f"(?s)\\A(?:{tok}{sep})*+{q}{inside}\\z"
-    kept = f"(?s)\\A{inside}(?:{q}[ \\t]*+(?:{sep}{tok})*+{sep}{q}{inside})?\\z"
+    kept = f"(?s)\\A{inside}(?:{q}{_blanks(d)}(?:{sep}{tok})*+{sep}{q}{inside})?\\z"
     has_quote = F.contains(line, F.lit(d.quote))
     return F.when(has_quote, line.rlike(opened)).otherwise(False), F.when(has_quote, line.rlike(kept)).otherwise(True)
 
@@ -101,6 +106,36 @@ def split_line(line: Column, d: Dialect) -> Column:
     return F.when(~_special(line, d), plain).when(line.rlike(whole), cleaned)
 
 
+def split_line_by(line: Column, dialect: Column, null_string: str | None = None) -> Column:
+    """:func:`split_line` where separator, quote and escape differ from row to row: ``dialect`` is the
+    struct that ``with_dialects`` adds."""
+    sep, q, e = dialect["sep"], dialect["quote"], dialect["own_escape"]
+
+    def swap(c: Column, a: Column, b: Column) -> Column:
+        return F.coalesce(F.replace(c, a, b), c)  # as it is where the row has no such character
+
+    def clean(token: Column) -> Column:
+        quoted = F.coalesce(token.startswith(q), F.lit(False))
+        bare = F.rtrim(token, F.lit(" \t"))
+        body = F.when(quoted, F.substring(bare, F.lit(2), F.length(bare) - 2)).otherwise(token)
+        body = swap(swap(body, F.concat(e, e), F.lit(_KEEP_ESCAPE)), F.concat(e, q), F.lit(_KEEP_QUOTE))
+        body = F.when(quoted, F.replace(body, F.concat(q, q), q)).otherwise(body)
+        body = swap(body, F.concat(e, sep), sep)
+        for letter, char in (("n", "\n"), ("r", "\r"), ("t", "\t")):
+            body = swap(body, F.concat(e, F.lit(letter)), F.lit(char))
+        return swap(swap(body, F.lit(_KEEP_QUOTE), q), F.lit(_KEEP_ESCAPE), e)
+
+    tokens = F.regexp_extract_all(F.concat(sep, line), dialect["each"], F.lit(1))
+    if null_string is not None:
+        # A null token (such as \N) is recognised before escapes are resolved.
+        kept = F.lit(null_string)
+        cleaned = F.transform(tokens, lambda t: F.when(F.coalesce(t == kept, F.lit(False)) & F.coalesce(kept.startswith(e), F.lit(False)), F.lit(None).cast("string")).otherwise(clean(t)))
+    else:
+        cleaned = F.transform(tokens, clean)
+    special = F.coalesce(F.contains(line, q), F.lit(False)) | F.coalesce(F.contains(line, e), F.lit(False))
+    return F.when(~special, F.split(line, dialect["at_sep"], -1)).when(F.rlike(line, dialect["whole"]), cleaned)
+
+
 def field_at(fields: Column, i: int, d: Dialect, control: Column | None = None) -> Column:
     """Field ``i`` (from 0): trimmed if the dialect trims; null if absent or the null token.
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .. import codes
 
@@ -24,8 +26,19 @@ def passphrase_code(key: Column) -> Column:
     return F.when(key.isNull(), F.lit(codes.PASSPHRASE_NULL)).when(F.length(key) == 0, F.lit(codes.PASSPHRASE_EMPTY))
 
 
+@F.pandas_udf(StringType())
+def _composed(text: pd.Series) -> pd.Series:
+    return text.map(normalise_passphrase, na_action="ignore")
+
+
+def one_spelling(key: Column) -> Column:
+    """A passphrase in composed form (NFC), so that both spellings of a letter with an accent are one key.
+    Spark has no such function: a batch of passphrases goes through Python, the contents do not."""
+    return F.when(key.rlike(r"\A\p{ASCII}*\z"), key).otherwise(_composed(key))
+
+
 def _usable(key: Column) -> Column:
-    return F.when(passphrase_code(key).isNull(), F.sha2(key, 256))
+    return F.when(passphrase_code(key).isNull(), F.sha2(one_spelling(key), 256))
 
 
 def _key(key: Column) -> Column:

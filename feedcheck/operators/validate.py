@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import codes
 from ..functions import dates
-from ..functions.delimited import field_at, split_line
+from ..functions.delimited import field_at, split_line, split_line_by
 from ..functions.dialect import Dialect
 from ..functions.schema import FeedField, FeedSchema
 from ..functions.text import as_int, as_long, has_control
@@ -35,7 +35,15 @@ def _typed(text: Column, f: FeedField, strict: bool, trimmed: bool) -> Column:
     if f.type in ("int", "long"):
         exact = as_int(text, trimmed) if f.type == "int" else as_long(text, trimmed)
         # A number with decimals loses them; through a double it would also lose digits.
-        return exact if strict else F.coalesce(exact, F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,10)").try_cast("int" if f.type == "int" else "bigint")))
+        if strict:
+            return exact
+        kind = "int" if f.type == "int" else "bigint"
+        # Decimals are cut off the text, so that none of any length rounds up; with an exponent, off a decimal.
+        cut = F.regexp_replace(text, r"\..*", "")
+        whole = F.when(cut.isin("", "+", "-"), F.lit(0).cast(kind)).otherwise(cut.try_cast(kind))
+        scaled = text.try_cast("decimal(38,18)")
+        scaled = F.when(scaled < 0, F.ceil(scaled)).otherwise(F.floor(scaled)).try_cast(kind)
+        return F.coalesce(exact, F.when(text.rlike(_NUMBER), F.when(text.rlike("[eE]"), scaled).otherwise(whole)))
     return F.when(text.rlike(_NUMBER), text.try_cast(f.type)) if f.type in ("float", "double") else text.try_cast(f.type)
 
 
@@ -244,8 +252,15 @@ def _first_stop(masks: dict[str, Column]) -> Column:
 
 
 def with_fields(lines: DataFrame, d: Dialect, line: str = "line") -> DataFrame:
-    """Add ``fields`` (null marks a malformed line) and, for trimming, ``__control``."""
-    return lines.withColumns({"fields": split_line(F.col(line), d), **({"__control": has_control(F.col(line))} if d.trim else {})})
+    """Add ``fields`` (null marks a malformed line) and, for trimming, ``__control``. Lines with a column
+    ``dialect`` (see ``with_dialects``) are split each by its own."""
+    if "dialect" in lines.columns:
+        fields, escape = split_line_by(F.col(line), F.col("dialect"), d.null_string), F.col("dialect.own_escape")
+    else:
+        fields, escape = split_line(F.col(line), d), F.lit(d.escape)
+    # An escape may stand for a control character.
+    control = has_control(F.col(line)) | F.coalesce(F.contains(F.col(line), escape), F.lit(False))
+    return lines.withColumns({"fields": fields, **({"__control": control} if d.trim else {})})
 
 
 def malformed(lines: DataFrame, d: Dialect) -> DataFrame:

@@ -320,8 +320,25 @@ ORACLE: dict[str, str] = {
              CASE WHEN no_time THEN 'event_time' ELSE '' END AS missing_fields, '' AS extra_fields,
              CASE WHEN bad_user THEN 'user_id' ELSE '' END AS invalid_fields FROM per""",
     "coerced_values": """SELECT event_id, CAST(NULL AS BIGINT) AS strict_value, CAST(trunc(value) AS BIGINT) AS coerced_value FROM events""",
-    "dialect_feeds": """WITH c AS (SELECT *, CASE c_nationkey % 3 WHEN 0 THEN 124 WHEN 1 THEN 9 ELSE 44 END AS separator FROM customer)
-      SELECT 'nation_' || c_nationkey AS file_key, c_custkey, c_name || chr(separator) || c_mktsegment AS label, separator FROM c""",
+    "dialect_feeds": """WITH c AS (SELECT *, CASE c_nationkey % 4 WHEN 0 THEN 124 WHEN 1 THEN 9 WHEN 2 THEN 1 ELSE 44 END AS separator,
+             CASE WHEN c_nationkey % 4 IN (0, 3) THEN chr(39) ELSE chr(34) END AS q, CASE c_nationkey % 4 WHEN 1 THEN '^' ELSE chr(92) END AS e FROM customer)
+      SELECT 'nation_' || c_nationkey AS file_key, separator, c_custkey, c_name || chr(separator) || q || e || chr(10) || c_mktsegment AS label, c_mktsegment || chr(separator) || 'x' AS segment FROM c""",
+    "mixed_dialect_verdicts": """WITH n AS (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1),
+      v AS (SELECT *, CASE WHEN k % 3 = 0 THEN '325206' WHEN k % 5 = 0 THEN '325208' ELSE '225204' END AS code FROM n)
+      SELECT 'nation_' || k AS file_key, CASE WHEN code = '225204' THEN 'success' ELSE 'failure' END AS status, code, n AS actual_record_count,
+             n + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS claimed_count, CASE WHEN k % 5 = 0 THEN 'c_custkey' ELSE '' END AS invalid_fields FROM v""",
+    "routed_files": """WITH n AS (SELECT c_nationkey AS nation, count(*) AS n, c_nationkey % 6 AS kind FROM customer GROUP BY 1)
+      SELECT nation, FALSE AS gone, CASE WHEN kind IN (0, 1, 5) THEN 'success' ELSE 'failure' END AS status, CASE WHEN kind IN (0, 1, 5) THEN '225304' ELSE '325305' END AS code,
+             CASE kind WHEN 0 THEN n WHEN 1 THEN n WHEN 5 THEN 0 END AS actual_record_count, CASE WHEN kind IN (0, 1, 5) THEN 'success' ELSE 'failure' END AS route, n AS n_lines FROM n
+      UNION ALL SELECT nation, TRUE, 'failure', '325312', NULL, NULL, 0 FROM n WHERE kind = 3""",
+    "written_feeds": """WITH t AS (SELECT md5(c_custkey || '|' || c_name || '|"' || chr(10) || c_mktsegment || chr(92) || '|' || c_nationkey) AS h FROM customer),
+      d AS (SELECT count(*) AS n, CAST(sum(CAST('0x' || h[1:8] AS BIGINT)) AS BIGINT) AS digest FROM t)
+      SELECT quote_mode, header, ends_in_separator, n, header AS has_header, CASE WHEN ends_in_separator THEN 4 ELSE 3 END AS n_fields, digest
+      FROM d, (VALUES ('ALL'), ('MINIMAL'), ('NON_NUMERIC'), ('NONE')) m(quote_mode), (VALUES (TRUE), (FALSE)) h(header), (VALUES (TRUE), (FALSE)) t(ends_in_separator)""",
+    "typed_values": """WITH o AS (SELECT o_orderkey, CAST(trunc(CAST(o_totalprice AS DECIMAL(15,2))) AS BIGINT) AS w FROM orders)
+      SELECT o_orderkey, kind, CASE kind WHEN 0 THEN w WHEN 1 THEN w WHEN 2 THEN -w WHEN 3 THEN 0 WHEN 4 THEN o_orderkey END AS whole, CASE kind WHEN 4 THEN o_orderkey END AS exact
+      FROM o, (VALUES (0), (1), (2), (3), (4), (5)) k(kind)""",
+    "passphrase_spellings": "SELECT doc_id, md5(coalesce(text, '')) AS text_md5, TRUE AS changed FROM documents",
     "named_feed": "SELECT c_custkey, c_name, c_acctbal, 'int,string,double' AS types FROM customer",
     "landed_files": """SELECT 'nation_' || c_nationkey AS file_key, CAST(sum(length(CAST(c_custkey AS VARCHAR)) + length(c_name) + 2) AS BIGINT) AS bytes
       FROM customer GROUP BY 1""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..functions.delimited import field_at, split_line
-from ..functions.dialect import dialect, resolve_dialects
+from ..functions.dialect import dialect, with_dialects
 from ..functions.schema import schema_from_avro_json
 from ..operators import audit as au
 from ..operators import config as cf
@@ -578,27 +578,133 @@ def coerced_values(spark, sf):
     return fd.typed_records(strict, schema, feeds.DIALECT, ["event_id", "strict_value"], strict=False).withColumnRenamed("amount", "coerced_value")
 
 
+def _forms(nation):
+    """Separator, quote and escape of a nation's file as its settings spell them, and as they are."""
+    named = [("|", "'", None), ("\\t", None, "^"), ("\\u0001", "\\42", "~~"), ("~~", "\\'", "\\\\")]
+    used = [("|", "'", "\\"), ("\t", '"', "^"), ("\x01", '"', "\\"), (",", "'", "\\")]
+
+    def pick(values):
+        out = F.lit(None).cast("string")
+        for k, v in enumerate(values):
+            out = F.when(nation % 4 == k, F.lit(v)).otherwise(out)
+        return out
+
+    return [pick([x[i] for x in named]) for i in range(3)], [pick([x[i] for x in used]) for i in range(3)]
+
+
 @query
 def dialect_feeds(spark, sf):
-    """Customers in one file per nation, each file with its own separator; a separator of
-    more than one character falls back to the default."""
+    """Customers in one file per nation, each file with its own separator, quote, escape and comment
+    marker, in one scan; a character that is not one is the default."""
     c = feeds.table(spark, sf, "customer")
-    key = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
+    nation = F.col("c_nationkey")
+    key = F.concat(F.lit("nation_"), nation.cast("string"))
+    named, (sep, quote, escape) = _forms(nation)
     files = c.select(key.alias("file_key"), "c_nationkey").distinct()
-    named = F.when(F.col("c_nationkey") % 3 == 0, F.lit("|")).when(F.col("c_nationkey") % 3 == 1, F.lit("\\t")).otherwise(F.lit("~~"))
-    files = files.withColumn("field_separator", named).drop("c_nationkey")
-    used = F.when(F.col("c_nationkey") % 3 == 0, F.lit("|")).when(F.col("c_nationkey") % 3 == 1, F.lit("\t")).otherwise(F.lit(","))
-    line = F.concat(F.col("c_custkey").cast("string"), used, F.lit('"'), F.col("c_name"), used, F.col("c_mktsegment"), F.lit('"'))
-    lines = c.select(key.alias("file_key"), line.alias("line"))
-    schema = schema_from_avro_json(feeds.avro_schema("c", ("c_custkey", "long"), ("label", "string")))
+    chars = dict(zip(("field_separator", "quote_char", "escape_char"), named))
+    files = files.withColumns(chars).withColumn("comment_marker", F.when(nation % 2 == 0, F.lit("#")).otherwise(F.lit("\\u003b"))).drop("c_nationkey")
+    # A quoted value with separator, doubled quote and escapes; a bare value with an escaped separator.
+    quoted = F.concat(quote, F.col("c_name"), sep, quote, quote, escape, escape, escape, F.lit("n"), "c_mktsegment", escape, F.lit("n"), quote)
+    bare = F.concat(F.col("c_mktsegment"), escape, sep, F.lit("x"))
+    line = F.concat_ws("", F.col("c_custkey").cast("string"), sep, quoted, sep, bare)
+    comment = F.concat(F.when(nation % 2 == 0, F.lit("#")).otherwise(F.lit(";")), line)
+    lines = c.select(key.alias("file_key"), F.explode(F.array(line, comment)).alias("line"))
+    lines = lines.join(broadcast_if_small(with_dialects(files).select("file_key", "dialect")), "file_key")
+    lines = lines.filter(~F.coalesce(F.col("line").startswith(F.col("dialect.comment")), F.lit(False)))
+    schema = schema_from_avro_json(feeds.avro_schema("c", ("c_custkey", "long"), ("label", "string"), ("segment", "string")))
+    return fd.typed_records(lines, schema, dialect(), ["file_key", F.ascii("dialect.sep").alias("separator")])
+
+
+@query
+def mixed_dialect_verdicts(spark, sf):
+    """Verdicts of one file per nation, each in its own dialect, in one run and one scan. Every third
+    nation claims a line too many, every fifth has a name in place of a number."""
+    c = feeds.table(spark, sf, "customer")
+    nation = F.col("c_nationkey")
+    key = F.concat(F.lit("nation_"), nation.cast("string"))
+    named, (sep, quote, escape) = _forms(nation)
+    files = c.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    claim = F.when(nation % 3 == 0, F.col("n") + 1).otherwise(F.col("n")).cast("string")
+    files = files.select(key.alias("file_key"), *[x.alias(n) for n, x in zip(("field_separator", "quote_char", "escape_char"), named)], claim.alias("metadata_record_count"))
+    number = F.when(nation % 5 == 0, F.col("c_name")).otherwise(F.col("c_custkey").cast("string"))
+    line = F.concat(number, sep, quote, F.col("c_name"), sep, quote, quote, quote, sep, F.col("c_mktsegment"), escape, sep)
+    src = ordered_lines(c.select(key.alias("file_key"), "c_custkey", line.alias("line")), "file_key", "c_custkey", "line")
+    schema = feeds.avro_schema("c", ("c_custkey", "long"), ("c_name", "string"), ("segment", "string"))
+    settings = {**feeds.event_settings(), "header_record_count": "0", "footer_record_count": "0", "record_count_location": "none", "table_schema": schema, "insert_table_schema": schema}
+    settings = {k: v for k, v in settings.items() if k not in ("field_separator", "metadata_record_count")}
+    run = validate_files(src, files, "data", settings=settings, dialect=dialect())
+    return run.verdicts.select("file_key", "status", "code", "actual_record_count", "claimed_count", *_joined("invalid_fields"))
+
+
+@query
+def routed_files(spark, sf):
+    """One landed file per nation: listed as it is, under another spelling, twice, under a name that is not there,
+    not at all, or empty. Each file has one verdict and each line one route."""
+    folder = new_folder(spark, "routed")
+    c = feeds.table(spark, sf, "customer")
+    line = F.when(F.col("c_nationkey") % 6 == 5, F.lit("")).otherwise(F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name"))
+    c.select("c_nationkey", line.alias("value")).repartition("c_nationkey").write.partitionBy("c_nationkey").text(folder)
+    nation = F.regexp_extract("file_key", "c_nationkey=([0-9]+)/", 1).cast("int")
+    files = ls.list_paths(spark, folder, recursive=True).select(F.col("path").alias("file_key")).withColumn("case", nation % 6).filter("case <> 4")
+    spelt = F.when(F.col("case") == 1, F.regexp_replace("file_key", r"\A([a-z]+:)/+", "$1///"))
+    spelt = spelt.when(F.col("case") == 3, F.concat(F.col("file_key"), F.lit(".gone"))).otherwise(F.col("file_key"))
+    files = files.select(spelt.alias("file_key"), F.explode(F.sequence(F.lit(1), F.when(F.col("case") == 2, 2).otherwise(1)))).drop("col")
+    schema = feeds.avro_schema("c", ("c_custkey", "long"), ("c_name", "string"))
+    settings = {**feeds.event_settings(), "header_record_count": "0", "footer_record_count": "0", "record_count_location": "none", "table_schema": schema, "insert_table_schema": schema}
+    run = validate_files(scan_lines(spark, folder, feeds.DIALECT), files, "data_only", settings=settings, dialect=feeds.DIALECT)
+    routed = run.original_lines("success").withColumn("route", F.lit("success")).union(run.original_lines("failure").withColumn("route", F.lit("failure")))
+    routed = routed.groupBy("file_key", "route").agg(F.count(F.lit(1)).alias("n_lines"))
+    gone = F.col("file_key").endswith(".gone")
+    shown = run.decided.select("file_key", "status", "code", "actual_record_count").join(routed, "file_key", "left")
+    return shown.select(nation.alias("nation"), gone.alias("gone"), "status", "code", "actual_record_count", "route", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+
+
+@query
+def written_feeds(spark, sf):
+    """Customers, with separators, quotes, escapes and line breaks in a value, written under every quote mode, with
+    and without header and trailing delimiter, and read back: how many records, and a digest over their texts."""
+    c = feeds.table(spark, sf, "customer")
+    docs = c.select(F.col("c_custkey").alias("doc_id"), F.concat("c_name", F.lit('|"\n'), "c_mktsegment", F.lit("\\")).alias("text"), F.col("c_nationkey").alias("lang"))
     out = None
-    for d, part in resolve_dialects(files):
-        mine = lines.join(broadcast_if_small(part.select("file_key")), "file_key", "left_semi")
-        rows = fd.typed_records(mine, schema, d, ["file_key"]).withColumn("separator", F.ascii(F.lit(d.sep)))
-        out = rows if out is None else out.unionByName(rows)
+    for mode in ("ALL", "MINIMAL", "NON_NUMERIC", "NONE"):
+        for header in (False, True):
+            for trailing in (False, True):
+                form = dialect(sep="|", quote_mode=mode, include_header=header, trailing_delimiter=trailing, trim=False)
+                folder = new_folder(spark, "written")
+                sinks.write_feed(docs, folder, form)
+                rows = validate.with_fields(scan_lines(spark, folder, form, multiline=mode != "NONE").rows, form)
+                text = field_at(F.col("fields"), 1, form)
+                rows = rows.select(field_at(F.col("fields"), 0, form).alias("id"), text.alias("text"), field_at(F.col("fields"), 2, form).alias("lang"), F.size("fields").alias("n_fields"))
+                heads = F.col("id") == "doc_id"
+                digest = F.sum(F.conv(F.substring(F.md5(F.concat_ws("|", "id", "text", "lang").cast("binary")), 1, 8), 16, 10).cast("bigint"))
+                seen = rows.agg(F.count(F.when(~heads, 1)).alias("n"), (F.max(heads.cast("int")) > 0).alias("has_header"), F.max("n_fields").alias("n_fields"), digest.alias("total"), F.sum(F.when(heads, F.conv(F.substring(F.md5(F.concat_ws("|", "id", "text", "lang").cast("binary")), 1, 8), 16, 10).cast("bigint"))).alias("of_heads"))
+                seen = seen.select(F.lit(mode).alias("quote_mode"), F.lit(header).alias("header"), F.lit(trailing).alias("ends_in_separator"), "n", "has_header", "n_fields", (F.col("total") - F.coalesce("of_heads", F.lit(0))).alias("digest"))
+                out = seen if out is None else out.union(seen)
     return out
 
 
+@query
+def typed_values(spark, sf):
+    """Numbers as text, read strictly and leniently: a decimal loses what follows its point and never rounds up."""
+    o = feeds.table(spark, sf, "orders")
+    price = F.col("o_totalprice").cast("decimal(15,2)").cast("string")
+    texts = F.array(price, F.concat(price, F.lit("9999999999")), F.concat(F.lit("-"), price), F.concat(F.lit("."), F.col("o_orderkey").cast("string")), F.col("o_orderkey").cast("string"), F.lit("x"))
+    rows = o.select("o_orderkey", F.posexplode(texts).alias("kind", "line"))
+    schema = schema_from_avro_json(feeds.avro_schema("n", ("whole", "long")))
+    lenient = fd.typed_records(rows, schema, feeds.DIALECT, ["o_orderkey", "kind", "line"], strict=False)
+    strict = fd.typed_records(rows, schema, feeds.DIALECT, ["o_orderkey", "kind"], strict=True).withColumnRenamed("whole", "exact")
+    return lenient.drop("line").join(strict, ["o_orderkey", "kind"])
+
+
+@query
+def passphrase_spellings(spark, sf):
+    """Documents encrypted with a passphrase in one spelling of its accent and decrypted with the other."""
+    d = feeds.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("content"), "source")
+    d = d.withColumns({"one": F.concat("source", F.lit("caf\u00e9")), "other": F.concat("source", F.lit("cafe\u0301"))})
+    out = crypt.decrypt_content(crypt.encrypt_content(d, "content", "one"), "encrypted", "other")
+    return out.select("doc_id", F.md5("decrypted").alias("text_md5"), (F.col("encrypted") != F.col("content")).alias("changed"))
+
+
 @query
 def named_feed(spark, sf):
     """Customers written with a header line and read back by it, types inferred."""

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from .. import codes
 from ..functions.delimited import field_at, quote_field
-from ..functions.dialect import Dialect, dialect
+from ..functions.dialect import DIALECT_COLUMNS, Dialect, dialect, with_dialects
 from ..functions.schema import FeedSchema, SchemaMissing, SchemaUnparsable, schema_from_avro_json
 from ..functions.text import broken_patterns, regex_compiles
 from ..operators import metadata as md
@@ -27,7 +27,7 @@ from ..operators.audit import audit_rows
 from ..operators.config import SETTINGS, check_config, metadata_line_setting, with_all_settings
 from ..operators.framing import chosen_file_id, frame, number_lines, rows_text, with_record_id
 from ..session import materialise
-from ..sources.lines import LineSource
+from ..sources.lines import LineSource, scanned_key
 
 MAX_GROUPS = 1000
 # A stop's rank: the record at which it happens, then parse before processing.
@@ -76,7 +76,13 @@ class Validation:
     ``files`` has one row per file: ``file_key`` and any of the settings as text
     columns. ``settings`` gives values that hold for every file. ``profile`` is
     ``data`` (claimed count is an attribute), ``data_only`` (the file states its own
-    count) or ``manifest``.
+    count) or ``manifest``. Columns ``field_separator``, ``quote_char`` and ``escape_char``
+    of ``files`` are each file's own dialect, in the same scan; blank and comment lines are
+    a matter of the scan.
+
+    A source of scanned files knows what was listed: a file of ``files`` that was not there
+    fails, and an empty one has no records. Its keys may spell the file system in any way
+    (``file:///a``, ``file:/a``, ``/a``).
     """
 
     src: LineSource
@@ -136,9 +142,16 @@ class Validation:
         known = {k: F.lit(v).cast("string") for k, v in self.settings.items() if k not in self.files.columns}
         # A file that is listed more than once has one row, which says so.
         own = Window.partitionBy("file_key")
+        files = self._keyed_files
         order = [F.col(c).cast("string") for c in self.files.columns if c != "file_key"] or [F.lit(0)]
-        files = self.files.withColumns({"listings": F.count(F.lit(1)).over(own), "__place": F.row_number().over(own.orderBy(*order))})
+        files = files.withColumns({"listings": F.count(F.lit(1)).over(own), "__place": F.row_number().over(own.orderBy(*order))})
         files = files.filter("__place = 1").drop("__place")
+        if self._own_dialects:
+            files = with_dialects(files, self.dialect)
+        landed = self.src.landed
+        if landed is not None:
+            files = files.join(landed.select("file_key", F.lit(True).alias("landed")), "file_key", "left")
+        absent = F.col("landed").isNull() if landed is not None else F.lit(False)
         files = with_all_settings(files.withColumns(known))
         if len(self.groups) == 1:
             g = self.groups[0]
@@ -158,7 +171,8 @@ class Validation:
         else:
             files = files.withColumns({"metadata_line": F.lit(0), "metadata_setting_code": F.lit(None).cast("string")})
         doubled = F.when(F.col("listings") > 1, F.lit(codes.PROFILES[self.profile]["attribute"]))
-        early = F.coalesce(doubled, "schema_code", "config_code", "metadata_setting_code")
+        missing = F.when(absent, F.lit(codes.PROFILES[self.profile]["io"]))
+        early = F.coalesce(doubled, missing, "schema_code", "config_code", "metadata_setting_code")
         location = F.lower("record_count_location")
         reads_text = F.lit(self.profile != "data")
         return files.withColumns(
@@ -169,6 +183,19 @@ class Validation:
             }
         )
 
+    @cached_property
+    def _keyed_files(self) -> DataFrame:
+        """Files under the keys that a scan reports, where the source is one."""
+        return self.files if self.src.landed is None else self.files.withColumn("file_key", scanned_key(self.files.sparkSession, F.col("file_key")))
+
+    @property
+    def _own_dialects(self) -> bool:
+        return any(c in self.files.columns for c in DIALECT_COLUMNS if c != "comment_marker")
+
+    @property
+    def _dialect_columns(self) -> list[str]:
+        return ["dialect"] if self._own_dialects else []
+
     @property
     def _reads_sections(self) -> bool:
         """False when no file can need its header or footer text."""
@@ -187,7 +214,7 @@ class Validation:
     def framed(self) -> DataFrame:
         """Numbered lines of every file whose settings are usable, with their section."""
         usable = self.checked_files.filter(F.col("early_code").isNull())
-        return self._framed(usable.select("file_key", "schema_group", "header_n", "footer_n", "wants_header", "wants_footer"))
+        return self._framed(usable.select("file_key", "schema_group", "header_n", "footer_n", "wants_header", "wants_footer", *self._dialect_columns))
 
     @cached_property
     def _checker(self) -> va.Checker:
@@ -311,6 +338,7 @@ class Validation:
         message = (
             F.when(ok, F.lit("File is validated successfully"))
             .when(F.col("listings") > 1, F.concat(F.lit("file is listed "), F.col("listings").cast("string"), F.lit(" times")))
+            .when((F.col("code") == code["io"]), F.lit("file was not there to be read"))
             .when(F.col("code") == code["attribute"], F.array_join(F.transform("config_errors", lambda e: e["msg"]), "; "))
             .when(F.col("code") == code["malformed"], F.concat(F.lit("malformed record "), stop_line.cast("string")))
             .when(F.col("code") == code["date"], F.concat(F.lit("date does not match its pattern at record "), stop_line.cast("string")))
@@ -339,9 +367,10 @@ class Validation:
             attrs = [F.when(ok, F.coalesce("claimed_text", F.lit(""))).alias("metadata_record_count")]
         if "actual_file_size" in self.files.columns:
             attrs.append(F.when(ok, F.col("actual_file_size").cast("string")).alias("actual_file_size"))
-        carried = [c for c in self.files.columns if c not in (*shown, *SETTINGS, "actual_file_size")]
+        carried = [c for c in self.files.columns if c not in (*shown, *SETTINGS, "actual_file_size")] + self._dialect_columns
         listed = v.select(*shown, *attrs, *carried)
-        unlisted = self.src.chunks.select("file_key").join(self.files, "file_key", "left_anti").distinct()
+        seen = self.src.chunks.select("file_key") if self.src.landed is None else self.src.landed.select("file_key")
+        unlisted = seen.join(self._keyed_files, "file_key", "left_anti").distinct()
         unlisted = unlisted.withColumns(
             {"status": F.lit("failure"), "code": F.lit(code["attribute"]), "message": F.lit("file is not listed")}
         )
@@ -429,7 +458,7 @@ class Validation:
         files = files.select(
             "file_key", "schema_group", "header_n", "footer_n",
             F.when(F.col("add_file_and_record_id") == "1", F.lit(True)).otherwise(F.lit(False)).alias("adds_ids"),
-            chosen.alias("chosen_id"),
+            chosen.alias("chosen_id"), *self._dialect_columns,
         )
         return self._prepared(self._framed(files).filter(F.col("section") == "data"))
 
@@ -482,7 +511,7 @@ class Validation:
         """One row per record of each passing manifest, with the manifest's attributes."""
         attrs = self.decided.filter(F.col("status") == "success")
         carried = ["file_key", "file_name", "file_uuid", "conf_id", "datafile_extension"]
-        files = attrs.select(*carried, "schema_group", "header_n", "footer_n")
+        files = attrs.select(*carried, "schema_group", "header_n", "footer_n", *self._dialect_columns)
         rows = self._framed(files).filter(F.col("section") == "data")
         rows = va.with_fields(rows, self.dialect)
         kind = ", ".join(f"{f}:{'bigint' if f in md.LONG_FIELDS else 'string'}" for f in md.FIELDS)

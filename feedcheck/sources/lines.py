@@ -10,9 +10,9 @@ is numbered without ever passing through one task.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.delimited import open_quote
@@ -28,6 +28,7 @@ class LineSource:
     chunks: DataFrame
     partitioned: bool = False  # rows already lie together by chunk
     physical: Callable[[], LineSource] | None = None  # the same files with every line, blank ones and comments too
+    landed: DataFrame | None = None  # file_key and size of all files that were listed, read or empty
 
     def received(self) -> LineSource:
         """All lines as they were received."""
@@ -77,7 +78,22 @@ def scan_lines(spark: SparkSession, paths, d: Dialect | None = None, multiline:
         F.col("_metadata.file_block_length").alias("chunk_len"),
         F.col("value").alias("line"),
     )
-    return stitch_lines(raw, d) if multiline else number_splits(raw, d)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    landed = found.select(scanned_key(spark, F.col("path"), raw=True).alias("file_key"), F.col("length").alias("size"))
+    source = stitch_lines(raw, d) if multiline else number_splits(raw, d)
+    return replace(source, landed=materialise(landed, "landed"))
+
+
+def scanned_key(spark: SparkSession, path: Column, raw: bool = False) -> Column:
+    """A path as scans report it: with its file system, the default one where none is named, one slash
+    after a scheme without host, and blanks as ``%20``; of a ``raw`` path all characters that a URI quotes."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    default = spark._jvm.org.apache.hadoop.fs.FileSystem.get(conf).getUri().toString().rstrip("/")
+    whole = F.when(path.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:/"), path).otherwise(F.concat(F.lit(default), path))
+    whole = F.regexp_replace(whole, r"\A([A-Za-z][A-Za-z0-9+.-]*:)/(?://+)?(?!/)", r"$1/")
+    for char in '%"#<>?[\\]^`{|} ' if raw else " ":
+        whole = F.replace(whole, F.lit(char), F.lit(f"%{ord(char):02X}"))
+    return whole
 
 
 def stitch_lines(raw: DataFrame, d: Dialect) -> LineSource:

@@ -27,7 +27,8 @@ def write_feed(df: DataFrame, path: str, d: Dialect, mode: str = "errorifexists"
     """Write delimited text, with one header line per file where the dialect has one.
 
     Spark's csv writer serves the quote modes it knows; the others, and a trailing
-    delimiter, are rendered as lines.
+    delimiter, are rendered as lines, in UTF-8. A value with a line break stands in quotes,
+    or in a mode without quotes as an escape.
     """
     quote_mode = d.quote_mode.upper()
     if quote_mode in ("ALL", "MINIMAL") and not d.trailing_delimiter and d.quote:
@@ -46,27 +47,31 @@ def write_feed(df: DataFrame, path: str, d: Dialect, mode: str = "errorifexists"
             ignoreTrailingWhiteSpace=False,
         ).csv(path)
         return
-    lines = df.select(line_column(df, d).alias("value"))
-    if not d.include_header:
-        lines.write.mode(mode).options(lineSep=d.record_separator, encoding=d.encoding).text(path)
-        return
-    names = df.sparkSession.range(1).select(render_line([F.lit(c) for c in df.columns], d).alias("value"))
-    # The csv writer repeats the header in every file; its own quoting is switched off.
-    header = names.head().value
-    lines.withColumnRenamed("value", header).write.mode(mode).options(
-        header=True, lineSep=d.record_separator, encoding=d.encoding, quote="\0", sep="\x01", emptyValue="", escapeQuotes=False,
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    ).csv(path)
+    if d.encoding.upper() != "UTF-8":
+        raise ValueError(f"rendered lines are written in UTF-8, not in {d.encoding}")
+    line = line_column(df, d)
+    if d.include_header:
+        names = render_line([F.lit(c) for c in df.columns], d)
+        if df.isEmpty():
+            df.sparkSession.range(1).select(names.alias("value")).write.mode(mode).options(lineSep=d.record_separator).text(path)
+            return
+        # A task writes one file; its first row, whose number within the task is 0, brings the header along.
+        first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        line = F.when(first, F.concat(names, F.lit(d.record_separator), line)).otherwise(line)
+    df.select(line.alias("value")).write.mode(mode).options(lineSep=d.record_separator).text(path)
 
 
 def write_lines(lines: DataFrame, path: str, key: str = "file_key", order: str | None = None, mode: str = "errorifexists") -> None:
     """Write rendered lines into one folder per file.
 
     With an order column the parts of a file, taken by name, hold its lines in order.
-    Ranges are cut inside large files too, so no task writes one alone.
+    Ranges are cut inside large files too, so no task writes one alone. Without order, lines of a
+    file are brought together and large files split, so that not every task writes to every folder.
     """
     if order is not None:
         lines = lines.repartitionByRange(key, order).sortWithinPartitions(key, order)
+    else:
+        lines = lines.hint("rebalance", F.col(key))
     lines.select(key, F.col("line").alias("value")).write.mode(mode).partitionBy(key).text(path)
 
 

@@ -1,9 +1,11 @@
 """Line numbers over split files, and the readers and writers of delimited text."""
 
 import os
+import random
+from dataclasses import replace
 
-from feedcheck.functions.delimited import split_line
-from feedcheck.functions.dialect import Dialect, dialect, resolve_dialects
+from feedcheck.functions.delimited import split_line, split_line_by
+from feedcheck.functions.dialect import Dialect, dialect, with_dialects
 from feedcheck.functions.schema import schema_from_avro_json
 from feedcheck.operators.framing import frame, number_lines
 from feedcheck.plans.validation import validate_files
@@ -122,9 +124,38 @@ def test_presets():
 
 
 def test_dialects_per_file(spark):
-    files = spark.createDataFrame([("a", "|"), ("b", "\\t"), ("c", "too long"), ("d", "|")], "file_key string, field_separator string")
-    got = {d.sep: sorted(r.file_key for r in f.collect()) for d, f in resolve_dialects(files, Dialect())}
-    assert got == {"|": ["a", "d"], "\t": ["b"], ",": ["c"]}
+    rows = [("a", "|"), ("b", "\\t"), ("c", "too long"), ("d", "\\u0001"), ("e", "\\174"), ("f", "\\|"), ("g", "\\"), ("h", None), ("i", "\\u20ac"), ("j", "")]
+    files = spark.createDataFrame(rows, "file_key string, field_separator string")
+    got = {r.file_key: r.dialect.sep for r in with_dialects(files, Dialect()).collect()}
+    assert got == {"a": "|", "b": "\t", "c": ",", "d": "\x01", "e": "|", "f": "|", "g": "\\", "h": ",", "i": "\u20ac", "j": ","}
+    assert all(dialect(sep=s).sep == got[k] for k, s in rows if s is not None)
+
+
+def test_lines_split_each_by_its_own_dialect_as_by_one(spark):
+    forms = [dialect(sep=s, quote=q, escape=e, null_string=n, trim=False) for s in ("|", "\t", "]") for q in ('"', "'") for e in ("\\", q, "-") for n in (None, "\\N")]
+    rng = random.Random(4)
+    lines = ["", "a"] + ["".join(rng.choices("ab|\t]\"'\\- \tnN", k=rng.randrange(12))) for _ in range(150)]
+    for n in (None, "\\N"):
+        mine = [d for d in forms if d.null_string == n]
+        base = replace(mine[0], sep=",")
+        files = spark.createDataFrame([(i, d.sep, d.quote, d.escape) for i, d in enumerate(mine)], "id int, field_separator string, quote_char string, escape_char string")
+        rows = with_dialects(files, base).crossJoin(spark.createDataFrame([(x,) for x in lines], "line string"))
+        got = {(r.id, r.line): r.fields for r in rows.select("id", "line", split_line_by(F.col("line"), F.col("dialect"), n).alias("fields")).collect()}
+        for i, d in enumerate(mine):
+            want = spark.createDataFrame([(x,) for x in lines], "line string").select("line", split_line(F.col("line"), d).alias("fields")).collect()
+            assert all(got[i, r.line] == r.fields for r in want), (d, [(r.line, got[i, r.line], r.fields) for r in want if got[i, r.line] != r.fields][:3])
+
+
+def test_a_tab_after_a_closing_quote_separates(spark):
+    d = dialect("tdf")
+    assert spark.range(1).select(split_line(F.lit('"a"\t"b" \t\t"c"'), d).alias("f")).first().f == ["a", "b", "", "c"]
+    assert spark.range(1).select(split_line(F.lit('"a" "b"\tc'), d).alias("f")).first().f is None
+
+
+def test_a_dialect_without_quote(spark):
+    files = with_dialects(spark.createDataFrame([("|", None)], "field_separator string, quote_char string"), dialect("mysql"))
+    rows = files.withColumn("line", F.lit('a"|\\N|b\\|c')).select(split_line_by(F.col("line"), F.col("dialect"), "\\N").alias("f"))
+    assert rows.first().f == ['a"', None, "b|c"]
 
 
 def test_write_and_read(spark, folder):
