@@ -355,6 +355,11 @@ ORACLE: dict[str, str] = {
       SELECT CAST(dom % 3 AS VARCHAR) AS conf_id, 'node-' || substr(file_key, 8, 8) AS file_uuid, file_key AS file_name, code AS log_type_id FROM verdict""",
     "streamed_files": f"""WITH {_EV}
       SELECT substr(file_key, 8, 8) AS day, count(*) AS n_records, count(*) AS n_routed FROM dat GROUP BY 1""",
+    "paired_arrivals": """WITH e AS (SELECT o_orderkey AS k, o_orderkey % 100 AS claimed_count FROM orders WHERE o_orderkey % 11 <> 0),
+      a AS (SELECT o_orderkey AS k, o_orderkey % 100 + CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS actual_count FROM orders WHERE o_orderkey % 7 <> 0)
+      SELECT 'f' || coalesce(e.k, a.k) AS file_name, claimed_count, actual_count,
+        CASE WHEN a.k IS NULL THEN 'absent' WHEN e.k IS NULL THEN 'unexpected' WHEN claimed_count = actual_count THEN 'matched' ELSE 'mismatched' END AS status
+      FROM e FULL JOIN a ON a.k = e.k AND e.k % 13 <> 0""",
     "windowed_timings": f"""WITH {_TIMINGS}
       SELECT strftime(time_bucket(INTERVAL 15 MINUTE, created_at), '%Y-%m-%d %H:%M:%S') AS window_start, operation, count(*) AS n, min(duration_ms) AS min_ms,
              max(duration_ms) AS max_ms, round(avg(duration_ms), 6) AS mean_ms FROM tm GROUP BY 1, 2""",

@@ -20,6 +20,7 @@ from ..sources import feed as fd
 from ..sources import listing as ls
 from ..sources import sinks
 from ..sources.lines import ordered_lines, scan_lines
+from ..streaming.ingest import paired_arrivals as pair_arrivals
 from ..streaming.ingest import stream_lines, stream_operation_stats, validate_stream
 from . import feeds
 from .validation import Validation, validate_files
@@ -790,6 +791,32 @@ def streamed_files(spark, sf):
     return counted.join(sides.groupBy(day).agg(F.count(F.lit(1)).alias("n_routed")), "day")
 
 
+@query
+def paired_arrivals(spark, sf):
+    """Orders as expected files and as files that land hours later, in streams of several batches: some never
+    land, some were not expected, some land two days late, some hold a line less."""
+    o = feeds.table(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").cast("timestamp").alias("t"))
+    folder, k = new_folder(spark, "paired"), F.col("k")
+    name = F.concat(F.lit("f"), k.cast("string")).alias("file_name")
+    after = F.make_dt_interval(F.when(k % 13 == 0, 2).otherwise(0), (k % 3).cast("int"))
+    expected = o.filter(k % 11 != 0).select(name, F.col("t").alias("expected_at"), (k % 100).alias("claimed_count"))
+    landed = o.filter(k % 7 != 0).select(name, (F.col("t") + after).alias("landed_at"), F.when(k % 5 == 0, k % 100 + 1).otherwise(k % 100).alias("actual_count"))
+    # What lands long after everything else moves both watermarks past it.
+    last = F.timestamp_add("YEAR", F.lit(1), F.max("t"))
+    end = [F.lit("end").alias("file_name"), last.alias("at"), F.lit(0).cast("bigint").alias("n")]
+    for side, rows in (("expected", expected), ("landed", landed)):
+        rows.write.parquet(f"{folder}/{side}")
+        o.agg(*end).toDF(*rows.columns).write.mode("append").parquet(f"{folder}/{side}")
+    streams = [spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/{side}") for side, rows in (("expected", expected), ("landed", landed))]
+
+    def write(df, batch_id):
+        df.write.mode("overwrite").parquet(f"{folder}/out/batch_id={batch_id}")
+
+    stream = pair_arrivals(*streams, within="1 day").writeStream.outputMode("append").foreachBatch(write)
+    stream.option("checkpointLocation", f"{folder}/_state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{folder}/out").filter("file_name <> 'end'").select("file_name", "claimed_count", "actual_count", "status")
+
+
 @query
 def windowed_timings(spark, sf):
     """Statistics per operation and quarter of an hour, computed by a stream."""

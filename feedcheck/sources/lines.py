@@ -28,7 +28,7 @@ class LineSource:
     chunks: DataFrame
     partitioned: bool = False  # rows already lie together by chunk
     physical: Callable[[], LineSource] | None = None  # the same files with every line, blank ones and comments too
-    landed: DataFrame | None = None  # file_key and size of all files that were listed, read or empty
+    landed: DataFrame | None = None  # file_key of all files that were listed, read or empty
 
     def received(self) -> LineSource:
         """All lines as they were received."""
@@ -72,28 +72,33 @@ def scan_lines(spark: SparkSession, paths, d: Dialect | None = None, multiline:
         reader = reader.option("lineSep", "\n")
     if d is not None and d.encoding.upper() != "UTF-8":
         reader = reader.option("encoding", d.encoding).option("lineSep", "\n")
-    raw = reader.text(paths).select(
+    text = reader.text(paths)
+    raw = text.select(
         F.col("_metadata.file_path").alias("file_key"),
         F.col("_metadata.file_block_start").alias("chunk"),
         F.col("_metadata.file_block_length").alias("chunk_len"),
         F.col("value").alias("line"),
     )
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    landed = found.select(scanned_key(spark, F.col("path"), raw=True).alias("file_key"), F.col("length").alias("size"))
     source = stitch_lines(raw, d) if multiline else number_splits(raw, d)
-    return replace(source, landed=materialise(landed, "landed"))
+    return replace(source, landed=materialise(_listed(text), "landed"))
 
 
-def scanned_key(spark: SparkSession, path: Column, raw: bool = False) -> Column:
+def _listed(df: DataFrame) -> DataFrame:
+    """``file_key`` of all files that a frame reads, empty ones too, from the list by which Spark plans the
+    scan. Scans skip empty files, so their names cannot come from one."""
+    spark = df.sparkSession
+    listed = spark.createDataFrame([(name,) for name in df.inputFiles()], "path string")
+    return listed.select(scanned_key(spark, F.col("path")).alias("file_key"))
+
+
+def scanned_key(spark: SparkSession, path: Column) -> Column:
     """A path as scans report it: with its file system, the default one where none is named, one slash
-    after a scheme without host, and blanks as ``%20``; of a ``raw`` path all characters that a URI quotes."""
+    after a scheme without host, and blanks as ``%20``."""
     conf = spark._jsparkSession.sessionState().newHadoopConf()
     default = spark._jvm.org.apache.hadoop.fs.FileSystem.get(conf).getUri().toString().rstrip("/")
     whole = F.when(path.rlike(r"\A[A-Za-z][A-Za-z0-9+.-]*:/"), path).otherwise(F.concat(F.lit(default), path))
     whole = F.regexp_replace(whole, r"\A([A-Za-z][A-Za-z0-9+.-]*:)/(?://+)?(?!/)", r"$1/")
-    for char in '%"#<>?[\\]^`{|} ' if raw else " ":
-        whole = F.replace(whole, F.lit(char), F.lit(f"%{ord(char):02X}"))
-    return whole
+    return F.replace(whole, F.lit(" "), F.lit("%20"))
 
 
 def stitch_lines(raw: DataFrame, d: Dialect) -> LineSource:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dialect import Dialect
 from ..operators.audit import write_audit
+from ..operators.reconcile import compare
 from ..plans.validation import validate_files
 from ..session import pin_splits
 from ..sources.lines import number_splits
@@ -63,3 +64,25 @@ def stream_operation_stats(timings: DataFrame, window: str = "15 minutes", delay
             F.stddev_pop(took).alias("std_ms"),
         )
     )
+
+
+def paired_arrivals(expected: DataFrame, landed: DataFrame, within: str = "1 day", delay: str = "1 hour") -> DataFrame:
+    """Both sides of a manifest as they arrive, in any batch and order: file_name, expected_at, landed_at,
+    claimed_count, actual_count, status.
+
+    ``expected`` (``file_name``, ``expected_at``, ``claimed_count``) and ``landed`` (``file_name``, ``landed_at``,
+    ``actual_count``) are streams. A file belongs to an expectation of its name if it lands no more than
+    ``within`` before or after it. Pairs come out when the second side arrives; what is still alone when both
+    watermarks (``delay`` behind the newest time of each side) have passed comes out once, as ``absent`` or
+    ``unexpected``, and leaves the state. A null name meets nothing. Repeated rows give a pair each.
+    """
+    e = expected.withWatermark("expected_at", delay).withColumnRenamed("file_name", "expected_name")
+    a = landed.withWatermark("landed_at", delay).withColumnRenamed("file_name", "landed_name")
+    near = F.expr(f"expected_name = landed_name AND landed_at >= expected_at - INTERVAL {within} AND landed_at <= expected_at + INTERVAL {within}")
+    status = (
+        F.when(F.col("landed_at").isNull(), F.lit("absent"))
+        .when(F.col("expected_at").isNull(), F.lit("unexpected"))
+        .otherwise(compare(F.col("claimed_count"), F.col("actual_count")))
+    )
+    name = F.coalesce("expected_name", "landed_name").alias("file_name")
+    return e.join(a, near, "full_outer").select(name, "expected_at", "landed_at", "claimed_count", "actual_count", status.alias("status"))
