@@ -187,7 +187,7 @@ ORACLE: dict[str, str] = {
     "manifest_rows": f"""WITH {_MANIFEST}, r AS (
       SELECT *, row_number() OVER (PARTITION BY file_key ORDER BY o_orderkey) AS rid FROM m)
       SELECT r.file_key, rid AS record_id, r.file_key AS file_name, r.ym AS file_uuid, '7' AS conf_id,
-             '.unl.gz.pgp' AS datafile_extension, 'order_' || o_orderkey || '.unl.gz.pgp' AS data_file_name,
+             '.dat.gz' AS datafile_extension, 'order_' || o_orderkey || '.dat.gz' AS data_file_name,
              CAST(o_orderkey AS VARCHAR) AS data_sequence_number, '' AS data_file_size, CAST(o_orderkey % 7 + 1 AS VARCHAR) AS data_record_count,
              '' AS data_number_of_fields, strftime(o_orderdate, '%Y%m%d') || '000000' AS data_start_date, '' AS data_end_date,
              strftime(o_orderdate, '%Y%m%d') AS "data_Date_of_file_generation"
@@ -236,8 +236,8 @@ ORACLE: dict[str, str] = {
       FROM dat""",
     "manifest_dates": """WITH t AS (
       SELECT o_orderkey, o_orderdate, o_orderkey % 10 = 0 AS bad FROM orders)
-      SELECT o_orderkey, CASE WHEN bad THEN '[31-XXX-20],[00:00:00]' ELSE '[' || strftime(o_orderdate, '%d-%b-%y') || '],[13:14:15]' END AS source_text,
-             CASE WHEN NOT bad THEN '20' || strftime(o_orderdate, '%y%m%d') || '131415' END AS normal_text FROM t""",
+      SELECT o_orderkey, CASE WHEN bad THEN '[31-XXX-20],[00:00:00]' ELSE '[' || strftime(o_orderdate, '%d-%b-%y') || '],[21:07:56]' END AS source_text,
+             CASE WHEN NOT bad THEN '20' || strftime(o_orderdate, '%y%m%d') || '210756' END AS normal_text FROM t""",
     "partition_paths": """WITH e AS (
       SELECT event_id, event_type, strftime(ts, '%Y') AS y, strftime(ts, '%m') AS m, strftime(ts, '%Y%m%d%H') || lpad(CAST(minute(ts) // 15 * 15 AS VARCHAR), 2, '0') AS l,
              lpad(CAST(hour(ts) // 6 * 6 AS VARCHAR), 2, '0') AS s, event_type <> 'error' AS ok FROM events)

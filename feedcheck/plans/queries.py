@@ -134,7 +134,7 @@ def metadata_and_footer(spark, sf):
 def _manifests(spark, sf) -> Validation:
     settings = {
         "header_record_count": "1", "footer_record_count": "0", "record_count_location": "header", "record_count_filter": "(\\d*)",
-        "add_file_and_record_id": "0", "field_separator": "|", "datafile_extension": ".unl.gz.pgp",
+        "add_file_and_record_id": "0", "field_separator": "|", "datafile_extension": ".dat.gz",
         "table_schema": feeds.MANIFEST_SCHEMA, "insert_table_schema": feeds.MANIFEST_SCHEMA,
     }
     return validate_files(
@@ -277,7 +277,7 @@ def lenient_dates(spark, sf):
 def manifest_dates(spark, sf):
     """Order dates written in a bracketed pattern and brought to one form."""
     o = feeds.table(spark, sf, "orders")
-    text = F.concat(F.lit("["), F.date_format("o_orderdate", "dd-MMM-yy"), F.lit("],["), F.lit("13:14:15]"))
+    text = F.concat(F.lit("["), F.date_format("o_orderdate", "dd-MMM-yy"), F.lit("],["), F.lit("21:07:56]"))
     text = F.when(F.col("o_orderkey") % 10 == 0, F.lit("[31-XXX-20],[00:00:00]")).otherwise(text)
     normal = dates.normalise_date(text, "[dd-MMM-yy],[HH:mm:ss]")
     return o.select("o_orderkey", text.alias("source_text"), normal.alias("normal_text"))

@@ -171,16 +171,16 @@ def test_incremental_listing(spark):
 
 def test_sheets(spark):
     schema = "file string, sheet int, row int, col int, type string, str string, num double, ts timestamp"
-    day = datetime(2020, 3, 22)
+    day = datetime(1999, 11, 5)
     rows = [
-        ("f", 0, 0, 0, "STRING", "ana", None, None), ("f", 0, 0, 1, "STRING", "north|pier", None, None),
-        ("f", 0, 0, 2, "NUMERIC", None, 41.5, None), ("f", 0, 0, 3, "DATE", None, None, day),
+        ("f", 0, 0, 0, "DATE", None, None, day), ("f", 0, 0, 1, "NUMERIC", None, 17.25, None), ("f", 0, 0, 2, "STRING", "lock;gate", None, None),
+        ("f", 0, 0, 3, "STRING", "low|high|slack", None, None), ("f", 0, 0, 4, "STRING", "kelp", None, None),
         ("f", 1, 0, 0, "BLANK", None, None, None), ("f", 1, 0, 2, "FORMULA_NUMERIC", None, 0.5, None), ("f", 1, 0, 3, "STRING", "a|b", None, None),
         ("g", 0, 0, 0, "BOOLEAN", None, None, None),
     ]
     cells = spark.createDataFrame(rows, schema)
     lines = [r.line for r in sheets.convert_sheets(cells, "|", "dd/MM/yyyy").orderBy("file", "sheet", "row").collect()]
-    assert lines == ['ana|"north|pier"|41.5|22/03/2020', "||0.5|a|b"]
+    assert lines == ['05/11/1999|17.25|lock;gate|"low|high|slack"|kelp', "||0.5|a|b"]
     assert {r.file: r.code for r in sheets.sheet_status(cells).collect()} == {"f": "227002", "g": "327002"}
 
 
