@@ -19,11 +19,16 @@ FROM j GROUP BY page_id, host, path""",
     "op12_phrases": r"""
 WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
 p AS (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]'), w -> w <> '') AS ws
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]'), lambda w: w <> '') AS ws
   FROM (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+w AS (
+  SELECT lang, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3
+  FROM (SELECT lang, piece, unnest(ws) AS w, generate_subscripts(ws, 1) AS place FROM (SELECT lang, ws, row_number() OVER () AS piece FROM p))
+  WINDOW o AS (PARTITION BY piece ORDER BY place)),
 g AS (
-  SELECT lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1), i -> array_to_string(ws[i:i + k - 1], ' '))) AS phrase
-  FROM p, (VALUES (1), (2), (3)) v(k)),
+  SELECT lang, 1 AS k, w AS phrase FROM w
+  UNION ALL SELECT lang, 2, w || ' ' || w2 FROM w WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM w WHERE w3 IS NOT NULL),
 f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
 n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
 c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND a >= 10),

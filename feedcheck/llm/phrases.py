@@ -17,7 +17,6 @@ the phrase itself.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,6 +36,8 @@ EVERY = 16
 HELD_BYTES = 24 << 20
 #: Chunks whose n-grams are looked up together, by their bytes.
 GATHERED_BYTES = 8 << 20
+#: Parts of a language whose first phrases are found apart.
+PARTS = 16
 #: Marks between pieces. Words are told from them by spaces.
 MARK = b"\n"
 _MARKS = bytes(10 if b in b".,;:!?\x0a\x0b\x0c\x0d" else 32 if b == 9 else b for b in range(256))
@@ -46,26 +47,36 @@ _UNKNOWN = "und"
 _CHUNKS = pa.schema([("lang", pa.string()), ("chunk", pa.binary()), ("n", pa.int64()), ("own", pa.int32())])
 
 
-def tokens_of(text: bytes) -> list[bytes]:
-    """Words in lower case (A-Z) and a mark between each two pieces."""
-    spaced = text.lower().translate(_MARKS).replace(MARK, b" \n ")
-    return [t for t in spaced.split(b" ") if t]
-
-
-def chunks_of(tokens: list[bytes], shared: int = 2, every: int = EVERY) -> Iterator[tuple[bytes, int]]:
-    """Chunks of a text and how many words start in each before its closing trigger. The text is closed by
-    marks, which are its last trigger."""
-    last = len(tokens)
-    tokens = tokens + [MARK] * shared
-    words = [zlib.crc32(t) for t in tokens]
-    hashes = words
-    for k in range(1, shared):
-        hashes = [(h * 0x9E3779B1 + x) & 0xFFFFFFFF for h, x in zip(hashes, words[k:])]
-    limit, start = (1 << 32) // every, 0
-    for i in [*(i for i, h in enumerate(hashes[:last]) if h < limit and i), last]:
-        own = tokens[start:i]
-        yield b" ".join(own + tokens[i : i + shared]), len(own) - own.count(MARK)
-        start = i
+def spaced(text: bytes) -> bytes:
+    """Words in lower case (A-Z) and a mark between each two pieces, with one space between each two."""
+    return b" ".join(filter(None, text.lower().translate(_MARKS).replace(MARK, b" \n ").split(b" ")))
+
+
+def chunks_of(texts: list[bytes], shared: int = 2, every: int = EVERY) -> Iterator[tuple[int, bytes, int]]:
+    """Chunks of :func:`spaced` texts: which text, the chunk, and how many words start in it before its closing
+    trigger. A text is closed by marks, which are its last trigger; one without words has no chunks."""
+    closing = b" \n" * shared
+    data = np.frombuffer(b"".join(t + closing for t in texts if t), np.uint8)
+    numbers = np.flatnonzero([len(t) > 0 for t in texts])
+    at = np.cumsum([0, *(len(t) + len(closing) for t in texts if t)])
+    starts, stops = words_of(data, at, _GAPS)
+    hashes = word_hashes(data, starts, stops)
+    marks = np.append(0, np.cumsum((stops - starts == 1) & (data[starts] == MARK[0])))
+    first = np.searchsorted(starts, at)
+    trigger = np.zeros(len(hashes), np.uint64)
+    for k in range(shared):
+        trigger[: len(hashes) - k] = mixed(trigger[: len(hashes) - k] + hashes[k:])
+    cut = trigger < np.uint64((1 << 64) // every)
+    # The closing marks of a text are a trigger, its first word always starts a chunk, and no chunk starts within the closing marks.
+    for k in range(1, shared + 1):
+        cut[first[1:] - k] = k == shared
+    cut[first[:-1]] = True
+    cuts = np.flatnonzero(cut)
+    text = np.searchsorted(first, cuts, "right") - 1
+    whole = data.tobytes()
+    for j in np.flatnonzero(text[1:] == text[:-1]).tolist():
+        a, b = cuts[j], cuts[j + 1]
+        yield int(numbers[text[j]]), whole[starts[a] : stops[b + shared - 1]], int(b - a - marks[b] + marks[a])
 
 
 def dictionary(docs: DataFrame, shared: int = 2) -> DataFrame:
@@ -79,16 +90,12 @@ def dictionary(docs: DataFrame, shared: int = 2) -> DataFrame:
         held: Counter = Counter()
         size = 0
         for batch in batches:
-            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-                tokens = tokens_of(text)
-                if not tokens:
-                    continue
-                for chunk in chunks_of(tokens, shared):
-                    held[lang, *chunk] += 1
-                size += len(text)
-                if size >= HELD_BYTES:
-                    yield from ((lang, chunk, n, own) for (lang, chunk, own), n in held.items())
-                    held, size = Counter(), 0
+            langs, texts = (c.to_pylist() for c in batch.columns)
+            held.update((langs[i], chunk, own) for i, chunk, own in chunks_of(list(map(spaced, texts)), shared))
+            size += batch.nbytes
+            if size >= HELD_BYTES:
+                yield from ((lang, chunk, n, own) for (lang, chunk, own), n in held.items())
+                held, size = Counter(), 0
         yield from ((lang, chunk, n, own) for (lang, chunk, own), n in held.items())
 
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(_UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
@@ -109,6 +116,13 @@ def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def slices(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """Slices of UTF-8 bytes as strings."""
+    ends = np.cumsum(np.append(0, stops - starts))
+    body = data[np.repeat(starts - ends[:-1], stops - starts) + np.arange(ends[-1])]
+    return pa.StringArray.from_buffers(len(starts), pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(body.tobytes()))
+
+
 class Grams:
     """N-grams of one batch of chunks that start in a chunk's own part and cross no mark: hashed keys by length,
     up to ``longest`` words. The chunks share triggers of ``words - 1`` tokens."""
@@ -122,7 +136,6 @@ class Grams:
         self.text, self.weights = text, n.to_numpy(zero_copy_only=False)[text]
         mark = (self.stops - self.starts == 1) & (self.data[self.starts] == MARK[0])
         ends = np.searchsorted(text, np.arange(len(chunk)), "right")
-        #: How far an n-gram from each word may reach.
         own = np.arange(len(text)) < (ends - (words - 1))[text]
         hashes = word_hashes(self.data, self.starts, self.stops)
         self.keys = [mixed(hashes + np.array([seeds[x] for x in lang.to_pylist()], np.uint64)[text])]
@@ -134,19 +147,22 @@ class Grams:
                 valid[:-k] = self.valid[k - 1][:-k] & ~mark[k:]
             self.keys.append(key)
             self.valid.append(valid)
-        #: Keys of what starts a word later, wherever it is counted.
-        self.later = [np.append(k[1:], np.uint64(0)) for k in self.keys]
+        self.mark, self.inside = mark, ends[text] - np.arange(len(text))
 
-    def frequent(self, arrays: list[SortedArrays]) -> None:
-        """Keep the n-grams whose parts of the lengths in ``arrays`` are frequent."""
-        for k, known in enumerate(arrays):
-            if k + 1 == len(self.keys):
+    def frequent(self, arrays: dict[int, SortedArrays]) -> None:
+        """Keep the n-grams whose parts of the lengths in ``arrays`` are frequent, from the shortest on."""
+        for k, known in sorted(arrays.items()):
+            if k >= len(self.keys):
                 return
-            for keys in (self.keys[k], self.later[k]):
-                asked = np.flatnonzero(self.valid[k + 1])
-                distinct, back = np.unique(keys[asked], return_inverse=True)
-                self.valid[k + 1][asked[known.find(distinct)[0][back] < 0]] = False
-            for longer in range(k + 2, len(self.keys)):
+            # Parts that start a word later may belong to the next chunk, but lie in this one.
+            whole = (self.inside >= k) & ~self.mark
+            for j in range(1, k):
+                whole[:-j] &= ~self.mark[j:]
+            asked = np.flatnonzero(whole)
+            distinct, back = np.unique(self.keys[k - 1][asked], return_inverse=True)
+            whole[asked] = known.find(distinct)[0][back] >= 0
+            self.valid[k] &= whole & np.append(whole[1:], False)
+            for longer in range(k + 1, len(self.keys)):
                 self.valid[longer] &= self.valid[longer - 1]
 
 
@@ -158,14 +174,14 @@ def frequent_counts(chunks: DataFrame, words: int, least: int) -> DataFrame:
     folder = mapped_folder(spark, "phrases")
     size = chunks.agg(F.sum(F.octet_length("chunk"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
-    sizes: list[dict[int, int]] = []
+    sizes: dict[int, dict[int, int]] = {}
 
-    def arrays(known: list[dict[int, int]]) -> list[SortedArrays]:
-        return [SortedArrays(f"{folder}/words-{k}", s, shards) for k, s in enumerate(known, 1)]
+    def arrays(known: dict[int, dict[int, int]]) -> dict[int, SortedArrays]:
+        return {k: SortedArrays(f"{folder}/words-{k}", s, shards) for k, s in known.items()}
 
     def counted(k: int) -> dict[int, int]:
         """Count phrases of ``k`` words and write the frequent ones; how many each shard has."""
-        known = list(sizes)
+        known = dict(sizes)
 
         def keys(batches):
             tally, parts = Tally(shards, scattered=True), arrays(known)
@@ -186,27 +202,30 @@ def frequent_counts(chunks: DataFrame, words: int, least: int) -> DataFrame:
         sent = chunks.select("lang", "chunk", "n").mapInArrow(lambda b: record_batches(keys(b), BLOBS_SCHEMA, 16), BLOBS)
         return {r.shard: r.n for r in materialise(sent.groupBy("shard").applyInArrow(often, "shard int, n long"), "frequent").collect()}
 
-    for k in range(1, words + 1):
-        sizes.append(counted(k))
+    # Nearly all words of a text are frequent, so pairs are counted first, without asking for their words.
+    for k in range(2, words + 1):
+        sizes[k] = counted(k)
 
     out = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
 
     def named(batches):
-        """Frequent phrases by name, each once a batch."""
+        """Words, and frequent phrases, by name, each once a batch."""
         parts = arrays(sizes)
         for batch in gathered(batches):
             grams = Grams(batch, words, words)
-            grams.frequent(parts[:-1])
-            langs, data = batch.column(0).to_pylist(), grams.data.tobytes()
-            for k in range(words):
-                asked = np.flatnonzero(grams.valid[k])
-                distinct, at, back = np.unique(grams.keys[k][asked], return_index=True, return_inverse=True)
-                totals = np.bincount(back, grams.weights[asked], len(distinct)).astype(np.int64) if len(asked) else []
-                for j in np.flatnonzero(parts[k].find(distinct)[0] >= 0).tolist():
-                    i = int(asked[at[j]])
-                    yield langs[grams.text[i]], data[grams.starts[i] : grams.stops[i + k]].decode(), k + 1, int(totals[j])
-
-    rows = chunks.select("lang", "chunk", "n").mapInArrow(lambda b: record_batches(named(b), out, 16384), "lang string, phrase string, words int, n long")
+            grams.frequent(parts)
+            langs = batch.column(0).combine_chunks() if isinstance(batch.column(0), pa.ChunkedArray) else batch.column(0)
+            for k in range(1, words + 1):
+                asked = np.flatnonzero(grams.valid[k - 1])
+                distinct, at, back = np.unique(grams.keys[k - 1][asked], return_index=True, return_inverse=True)
+                totals = np.bincount(back, grams.weights[asked], len(distinct)).astype(np.int64)
+                if k > 1:
+                    hit = parts[k].find(distinct)[0] >= 0
+                    at, totals = at[hit], totals[hit]
+                i = asked[at]
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(grams.text[i])), slices(grams.data, grams.starts[i], grams.stops[i + k - 1]), pa.array(np.full(len(i), k), pa.int32()), pa.array(totals, pa.int64())], schema=out)
+
+    rows = chunks.select("lang", "chunk", "n").mapInArrow(named, "lang string, phrase string, words int, n long")
     return materialise(rows.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("f")).filter(F.col("f") >= least), "phrases")
 
 
@@ -244,6 +263,10 @@ def collocations(docs: DataFrame, words: int = 3, least: int = 10, inside: int =
     longer = found.filter("words > 2").select("lang", F.explode(spans).alias("phrase"), F.col("a").alias("f")).groupBy("lang", "phrase").agg(F.max("f").alias("held"))
     left = best.join(longer, ["lang", "phrase"], "left").filter(F.col("held").isNull() | (100 * F.col("held") < inside * F.col("a")))
     left = left.select("lang", "phrase", "a", "cut.l", "cut.r", F.col("cut.score").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
+    # The first of each part of a language, then of the language, so that no task sees more than the parts' first.
+    by = [F.col("score").desc(), F.col("a").desc(), "phrase"]
+    left = left.withColumn("part", F.pmod(F.hash("phrase"), F.lit(PARTS)))
+    left = left.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*by))).filter(F.col("rank") <= limit)
+    order = Window.partitionBy("lang").orderBy(*by)
     ranked = left.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= limit)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

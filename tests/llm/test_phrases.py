@@ -75,20 +75,22 @@ def test_query_against_brute_force(spark, folder):
 
 def test_chunks_cover_each_word_once():
     rng = np.random.default_rng(0)
+    assert phrases.spaced(b" A,b\t\tC  d.\n\xc3\x89 ") == b"a \n b c d \n \n \xc3\x89"
     for shared in (1, 2, 3):
-        for n in (1, 2, 3, 50, 700):
-            tokens = [bytes(t) for t in rng.choice([b"a", b"bc", b"\n", b"d", b"e"], n)]
-            chunks = list(phrases.chunks_of(tokens, shared, every=4))
-            parts = [c.split(b" ") for c, _ in chunks]
-            assert sum((p[:-shared] for p in parts), []) == tokens
-            assert all(p[-shared:] == (q + [b"\n"] * shared)[:shared] for p, q in zip(parts, parts[1:]))
-            assert [own for _, own in chunks] == [sum(t != b"\n" for t in p[:-shared]) for p in parts]
+        texts = [b"", *(b" ".join(rng.choice([b"a", b"bc", b"\n", b"d", b"e"], n).tolist()) for n in (1, 2, 3, 50, 700)), b"", b"d"]
+        got = list(phrases.chunks_of(texts, shared, every=4))
+        for i, text in enumerate(texts):
+            parts = [c.split(b" ") for j, c, _ in got if j == i]
+            assert b" ".join(sum((p[:-shared] for p in parts), [])) == text
+            assert all(p[-shared:] == (q + [b"\n"] * shared)[:shared] for p, q in zip(parts, [*parts[1:], [b"\n"] * shared]))
+            assert [own for j, _, own in got if j == i] == [sum(t != b"\n" for t in p[:-shared]) for p in parts]
+        assert len(got) > 100
 
 
 def test_equal_passages_give_equal_chunks():
     rng = np.random.default_rng(1)
-    passage = [f"w{k}".encode() for k in rng.integers(0, 500, 400)]
-    a, b = (Counter(phrases.chunks_of([f"{x}{k}".encode() for k in range(n)] + passage)) for x, n in (("p", 9), ("q", 33)))
+    passage = " ".join(f"w{k}" for k in rng.integers(0, 500, 400))
+    a, b = (Counter(c for _, c, _ in phrases.chunks_of([(" ".join(f"{x}{k}" for k in range(n)) + " " + passage).encode()])) for x, n in (("p", 9), ("q", 33)))
     assert sum((a & b).values()) >= 15
 
 
