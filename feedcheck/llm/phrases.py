@@ -35,7 +35,7 @@ EVERY = 16
 #: Distinct chunks that a task holds, by their bytes, before it sends their counts.
 HELD_BYTES = 24 << 20
 #: Chunks whose n-grams are looked up together, by their bytes.
-GATHERED_BYTES = 8 << 20
+GATHERED_BYTES = 6 << 20
 #: Parts of a language whose first phrases are found apart.
 PARTS = 16
 #: Marks between pieces. Words are told from them by spaces.
