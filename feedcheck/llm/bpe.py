@@ -56,6 +56,14 @@ class Transducer:
         self.lookahead = longest
         self.names = {i: t for t, i in vocab.items()}
         self._agrees: dict[tuple[int, int], bool] = {}
+        #: Tokens by their letters from the last one on: those that end a word, and the others.
+        self.ends: dict[str, dict] = {"": {}, suffix: {}}
+        for name, token in vocab.items():
+            final = suffix if suffix and name.endswith(suffix) and len(name) > len(suffix) else ""
+            branch = self.ends[final]
+            for letter in reversed(name.removesuffix(final)):
+                branch = branch.setdefault(letter, {})
+            branch[""] = token
 
     def _letters(self, token: int) -> list[int]:
         if token not in self.symbols:
@@ -98,10 +106,13 @@ class Transducer:
 
     def _step(self, word: str, base: int, p: int, ending: str, last: dict[int, int]) -> tuple[int, int]:
         """Token that ends the encoding of the first ``p`` letters, and where it starts."""
-        for q in range(max(base, p - self.lookahead), p):
-            token = self.vocab.get(word[q - base : p - base] + ending)
-            if token is not None and q in last and self.agrees(last[q], token):
-                return q, token
+        branch = self.ends[ending]
+        for q in range(p - 1, base - 1, -1):
+            branch = branch.get(word[q - base])
+            if branch is None:
+                break
+            if "" in branch and q in last and self.agrees(last[q], branch[""]):
+                return q, branch[""]
         raise ValueError("a letter is not in the vocabulary")
 
     def encode(self, letters: Iterable[str]) -> Iterator[int]:

@@ -36,16 +36,21 @@ def record_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 4096) -
 
 
 class Memo(dict):
-    """A dictionary that computes what it lacks and starts anew when it is full, so its
-    memory is bounded. Keys over ``longest`` are computed each time."""
+    """A dictionary that computes what it lacks and holds two generations of half the limit: when the young
+    one is full it becomes the old one, and what is asked for again moves back. So its memory is bounded,
+    and frequent keys stay. Keys over ``longest`` are computed each time."""
 
     def __init__(self, compute: Callable, limit: int = 300_000, longest: int = 64):
-        self.compute, self.limit, self.longest = compute, limit, longest
+        self.compute, self.limit, self.longest = compute, limit // 2, longest
+        self.older: dict = {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= self.longest:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
