@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,9 +34,11 @@ def candidates(n: int, sentence_ends: np.ndarray, cell_size: int) -> tuple[np.nd
     """Where a document of ``n`` tokens may be cut, and at what cost: at its end for nothing, after
     each sentence, and at the end of a cell in which no sentence ends."""
     inner = sentence_ends[(sentence_ends > 0) & (sentence_ends < n)]
-    bare = np.setdiff1d(np.arange(cell_size, n, cell_size), ((inner - 1) // cell_size + 1) * cell_size)
+    cells = -(-n // cell_size)
+    taken = np.bincount((inner - 1) // cell_size, minlength=cells)
+    bare = (np.flatnonzero(taken[: cells - 1] == 0) + 1) * cell_size
     at, cost = np.append(inner, bare), np.append(np.full(len(inner), SENTENCE), np.full(len(bare), INSIDE))
-    order = np.argsort(at)
+    order = np.argsort(at, kind="stable")
     return np.append(at[order], n), np.append(cost[order], 0)
 
 
@@ -52,27 +53,36 @@ def windows(at: list[int], cost: list[int], size: int) -> list[int]:
     """
     best, back = [0], [-1]
     at = [0, *at]
-    place = {0: 0}
-    queue: deque[int] = deque([0])
+    # place[p + size]: which candidate lies at p; none lies before 0.
+    place = [-1] * (at[-1] + size + 1)
+    place[size] = 0
+    # A queue of candidates, from ``head`` on, with their keys.
+    queue, keys, head = [0], [0], 0
     half, quarter = size // 2, size // 4
-    for j in range(1, len(at)):
+    for j, price in enumerate(cost, 1):
         p = at[j]
-        while at[queue[0]] < p - size:
-            queue.popleft()
-        i = queue[0]
-        least = best[i] + padding(p - at[i], size)
-        for k in (half, quarter):
-            o = place.get(p - k)
-            if o is not None and best[o] < least:
-                least, i = best[o], o
-        value = least + cost[j - 1]
+        reach = p - size
+        while at[queue[head]] < reach:
+            head += 1
+        i = queue[head]
+        length = p - at[i]
+        least = best[i] if length & (length - 1) == 0 else keys[head] - reach
+        o = place[p + half]
+        if o >= 0 and best[o] < least:
+            least, i = best[o], o
+        o = place[p + size - quarter]
+        if o >= 0 and best[o] < least:
+            least, i = best[o], o
+        value = least + price
         best.append(value)
         back.append(i)
-        place[p] = j
+        place[p + size] = j
         key = value + p
-        while queue and best[queue[-1]] + at[queue[-1]] >= key:
+        while len(queue) > head and keys[-1] >= key:
             queue.pop()
+            keys.pop()
         queue.append(j)
+        keys.append(key)
     end, last = at[-1], len(at) - 1
     choice, least, tail = back[last], best[last] - cost[-1], [end - at[back[last]]]
     for i in range(last - 1, -1, -1):
@@ -124,12 +134,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, size: int = 409
             ends = iter(windows(at, cost, size))
             stop, origin, position = next(ends), 0, 0
             for doc_id, ids in held:
-                done, n = 0, len(ids)
+                done, n, wide = 0, len(ids), ids.astype("<u4")
                 while done < n:
                     if position == stop:
                         stop, origin, sequence = next(ends), stop, sequence + 1
                     length = min(n - done, stop - position)
-                    yield doc_id, done, length, zlib.crc32(ids[done : done + length].astype("<u4").tobytes()), n, sequence, position - origin
+                    yield doc_id, done, length, zlib.crc32(wide[done : done + length]), n, sequence, position - origin
                     done, position = done + length, position + length
             sequence += 1
 
