@@ -58,10 +58,12 @@ def exact_duplicates(docs: DataFrame, keep: str = "smallest", salts: int = 64, h
 
 
 def without_copies(docs: DataFrame, keep: str = "smallest") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns."""
-    kept = exact_duplicates(docs, keep).filter("kept").select(F.col("doc_id").alias("kept_id_"), F.col("text_sha256").alias("kept_sha_"))
-    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    rows = docs.withColumn("sha_", digest)
-    rows = rows.join(kept, rows["sha_"].eqNullSafe(kept["kept_sha_"]) & rows["doc_id"].eqNullSafe(kept["kept_id_"]), "left_semi")
-    first = Window.partitionBy("sha_", "doc_id").orderBy(F.lit(1))
-    return rows.withColumn("nth_", F.row_number().over(first)).filter("nth_ = 1").select(*docs.columns)
+    """The rows of ``docs`` that :func:`exact_duplicates` keeps, with all their columns, whatever their
+    names. Odd cases as there."""
+    kept = exact_duplicates(docs, keep).filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_sha"))
+    # The caller's row is one column, so that none of its names can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows = rows.withColumn("sha", F.sha2(F.coalesce(F.col("row.text"), F.lit("")).cast("binary"), 256))
+    rows = rows.join(kept, F.col("sha").eqNullSafe(F.col("kept_sha")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # Of rows that agree in id and text one stays; they are combined before they are shuffled.
+    return rows.groupBy("sha", F.col("row.doc_id").alias("id")).agg(F.first("row").alias("row")).select("row.*")

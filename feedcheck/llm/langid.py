@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedcheck.llm.common import record_batches, small_batches
@@ -142,7 +142,8 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network:
     """Train on a bounded sample of ``docs`` (``doc_id``, ``text``, ``lang``) that are not held out: about
     ``sample_docs`` documents of each language, chosen by a hash of their ids, and up to four
     windows spread over each whole text. Documents without letters or label teach nothing;
-    without any labelled document the network knows no language.
+    without any labelled document the network knows no language. Where ids are repeated, twice as
+    many documents of a language at most.
     """
     labelled = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     counts = {r.lang: r.n for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -155,7 +156,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Network:
     n = F.octet_length("text")
     starts = [F.greatest(F.lit(0), ((n - WINDOW) * i / F.lit(max(1, SAMPLE_WINDOWS - 1))).cast("int")) for i in range(SAMPLE_WINDOWS)]
     cut = F.array(*[F.substring(F.col("text").cast("binary"), s + 1, F.lit(WINDOW)) for s in starts])
-    rows = chosen.select("lang", F.when(n <= WINDOW, F.slice(cut, 1, 1)).otherwise(cut).alias("cut")).orderBy("lang", "cut").limit(2 * sample_docs * len(langs)).collect()
+    rows = chosen.select("lang", F.when(n <= WINDOW, F.slice(cut, 1, 1)).otherwise(cut).alias("cut"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("cut"))
+    rows = rows.withColumn("nth", nth).filter(F.col("nth") <= 2 * sample_docs).orderBy("lang", "cut").collect()
     place_of = {k: i for i, k in enumerate(langs)}
     x, y = [], []
     for r in rows:

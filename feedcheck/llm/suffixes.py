@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedcheck.llm.common import Memo, record_batches, small_batches
-from feedcheck.session import materialise
+from feedcheck.session import delete_table, materialise, scratch
 
 #: Windows worked on at once.
 BLOCK = 1 << 16
@@ -200,6 +200,34 @@ def repeats(docs: DataFrame, size: int = 400, words: int | None = None) -> Repea
         holds |= F.rlike(F.col("body").cast("string"), F.lit(rf"\A[{_SPACE}]*+(?:[^{_SPACE}]++[{_SPACE}]++){{{words - 1}}}[^{_SPACE}]"))
     listed = materialise(rows.select("doc_id", "key", "sha", F.octet_length("body").cast("long").alias("n_bytes"), holds.alias("holds")), "texts")
     stand = materialise(listed.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("stand")), "stand")
+    spark = docs.sparkSession
+    with scratch(spark):
+        current, texts = _met_twice(rows, stand, size, words)
+    settled = []
+    for width, word_width in [*zip_longest(ranges_of(size)[1:], ranges_of_words(words)[1:] if words else [], fillvalue=1), (0, 0)]:
+        with scratch(spark):
+            groups = current.groupBy("inner", "outer").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("all_known"), F.min(F.struct("key", "a", "low", "high", "worded")).alias("w"))
+            groups = materialise(groups.withColumn("twice", F.col("n") > 1), "groups")
+            found = current.filter("not known").join(groups.filter("twice and not all_known").select("inner", "outer"), ["inner", "outer"])
+            length = F.when(F.col("worded"), words or 0).otherwise(size)
+            settled.append(materialise(found.select("key", "worded", (F.col("a") - F.col("high")).alias("start"), (F.col("a") - F.col("low") + length).alias("stop")), "settled", keep=True))
+            if width:
+                # Alone in its group, a string that is met once has no equal window either.
+                unsettled = groups.groupBy("inner").agg(F.count(F.lit(1)).alias("strings"), F.max(~F.col("twice") & ~F.col("all_known")).alias("open")).filter("open and strings > 1").select("inner")
+                unsettled = materialise(unsettled, "unsettled")
+                onward = groups.join(unsettled, "inner").select("w.*", (F.col("twice") | F.col("all_known")).alias("known"))
+                after = materialise(_next_pass(onward, texts, width, word_width, size, words), "pass", keep=True)
+        delete_table(current)
+        if width:
+            current = after
+    spans = settled[0]
+    for more in settled[1:]:
+        spans = spans.union(more)
+    return Repeats(listed, stand.select("key", "copies"), spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop", "worded")).alias("spans")), texts)
+
+
+def _met_twice(rows: DataFrame, stand: DataFrame, size: int, words: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows of the first pass whose inner string is met twice or more, and the texts they are from; both stay."""
     first = materialise(_first_pass(rows, size, words), "anchors")
     # Only texts with copies have rows to leave out; where they are few, the anchors need no shuffle.
     mine = materialise(stand.filter("copies > 1").select("key", "stand", F.lit(True).alias("copied")), "copied")
@@ -207,29 +235,10 @@ def repeats(docs: DataFrame, size: int = 400, words: int | None = None) -> Repea
     current = current.filter(~F.col("known") | F.col("doc_id").eqNullSafe(F.col("stand"))).drop("doc_id", "stand", "copied")
     # Keys are written before they are joined back, so that both sides of the join are plain shuffles and Spark may split a hot one.
     met = materialise(current.groupBy("inner").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("all_known")).filter("n > 1 and not all_known").select("inner"), "met")
-    current = materialise(current.join(met, "inner"), "pass")
+    current = materialise(current.join(met, "inner"), "pass", keep=True)
     wanted = current.select("key").distinct().join(stand, "key").select("key", "stand")
     texts = rows.join(wanted, "key").filter(F.col("doc_id").eqNullSafe(F.col("stand"))).select("key", "body")
-    texts = materialise(texts, "bodies")
-    settled = []
-    for width, word_width in [*zip_longest(ranges_of(size)[1:], ranges_of_words(words)[1:] if words else [], fillvalue=1), (0, 0)]:
-        groups = current.groupBy("inner", "outer").agg(F.count(F.lit(1)).alias("n"), F.min("known").alias("all_known"), F.min(F.struct("key", "a", "low", "high", "worded")).alias("w"))
-        groups = materialise(groups.withColumn("twice", F.col("n") > 1), "groups")
-        found = current.filter("not known").join(groups.filter("twice and not all_known").select("inner", "outer"), ["inner", "outer"])
-        length = F.when(F.col("worded"), words or 0).otherwise(size)
-        settled.append(found.select("key", "worded", (F.col("a") - F.col("high")).alias("start"), (F.col("a") - F.col("low") + length).alias("stop")))
-        if not width:
-            break
-        # Alone in its group, a string that is met once has no equal window either.
-        unsettled = groups.groupBy("inner").agg(F.count(F.lit(1)).alias("strings"), F.max(~F.col("twice") & ~F.col("all_known")).alias("open")).filter("open and strings > 1").select("inner")
-        unsettled = materialise(unsettled, "unsettled")
-        onward = groups.join(unsettled, "inner").select("w.*", (F.col("twice") | F.col("all_known")).alias("known"))
-        after = _next_pass(onward, texts, width, word_width, size, words)
-        current = materialise(after, "pass")
-    spans = settled[0]
-    for more in settled[1:]:
-        spans = spans.union(more)
-    return Repeats(listed, stand.select("key", "copies"), spans.groupBy("key").agg(F.collect_list(F.struct("start", "stop", "worded")).alias("spans")), texts)
+    return current, materialise(texts, "bodies", keep=True)
 
 
 def in_bytes(data: bytes, spans: list[dict]) -> list[dict]:
@@ -298,18 +307,23 @@ def without_repeats(docs: DataFrame, size: int = 400, words: int | None = None)
     """``docs`` without the bytes that :func:`repeats` finds, with all its columns; a character cut in two
     goes as a whole, and documents of which nothing is left go, with ``words`` also those of which only white
     space is left. ``n_chars``, where present, is counted anew."""
-    found = repeats(docs, size, words)
+    spark = docs.sparkSession
 
     def make(data, spans):
         left = kept_bytes(data, spans).decode("utf-8", "ignore")
         return ("" if words and not left.strip() else left,)
 
-    cut = _of_spans(found, make, _LEFT, "key binary, left string")
-    gone = found.rows.filter("holds").select("key").join(found.stand.filter("copies > 1"), "key").select("key", F.lit("").alias("left")).distinct()
-    change = materialise(cut.union(gone).select(F.col("key").alias("key_"), F.col("left").alias("left_")), "left")
-    key = F.substring(F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)), 1, 16)
-    joined = docs.withColumn("own_", key).join(change, F.col("own_") == F.col("key_"), "left")
-    text = F.coalesce(F.col("left_"), F.col("text"))
-    columns = {"text": text} | ({"n_chars": F.when(F.col("left_").isNull(), F.col("n_chars")).otherwise(F.char_length(text)).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    kept = joined.filter(F.col("left_").isNull() | (F.col("left_") != ""))
-    return kept.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+    with scratch(spark):
+        found = repeats(docs, size, words)
+        cut = _of_spans(found, make, _LEFT, "key binary, left string")
+        gone = found.rows.filter("holds").select("key").join(found.stand.filter("copies > 1"), "key").select("key", F.lit("").alias("left")).distinct()
+        change = materialise(cut.union(gone).select("key", "left"), "left", keep=True)
+    # The caller's row is one column, so that none of its names can clash.
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    digest = F.substring(F.unhex(F.sha2(F.coalesce(F.col("row.text"), F.lit("")).cast("binary"), 256)), 1, 16)
+    joined = whole.join(change, digest == F.col("key"), "left").filter(F.col("left").isNull() | (F.col("left") != ""))
+    text = F.coalesce(F.col("left"), F.col("row.text"))
+    columns = {"text": text}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col("left").isNull(), F.col("row.n_chars")).otherwise(F.char_length(text)).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[columns.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -72,3 +72,21 @@ def test_rows_with_repeated_or_null_ids(spark):
     rows = [(None, a), (None, a + " more"), (5, b), (5, c), (4, b + " more"), (9, c + " more"), (None, c + " most")]
     left = {(r.doc_id, r.text) for r in cp.near_copies(spark, docs_of(rows), "").collect()}
     assert len(left) == 3 and {(4, b + " more"), (5, c)} < left and (left - {(4, b + " more"), (5, c)}) < {(None, a), (None, a + " more")}
+
+
+def test_clashing_names_and_a_very_long_text(spark):
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(["tha", "ing", "er", "on", "st"], rng.integers(1, 4))) for _ in range(900)]
+    text = lambda n: " ".join(rng.choice(words, n))
+    odd = ["number", "row", "left", "key", "sha", "sha_", "left_", "nth_", "kept", "a.b", "id"]
+    rows = [(i, text(60), "en", *[100 * i + k for k in range(len(odd))]) for i in range(12)]
+    rows += [(20, text(150_000), "en", *[7] * len(odd)), (2, text(60), "en", *[8] * len(odd)), (None, text(60), "en", *[9] * len(odd))]
+    rows += [rows[5], (21, rows[6][1] + " more", "en", *[5] * len(odd))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{c}` long" for c in odd))
+    for name, stage in cp.STAGES[:-1]:
+        after = stage(spark, docs, "")
+        assert after.columns == docs.columns
+        left = after.collect()
+        stays = {"language": 17, "exact_copies": 16, "near_copies": 15, "repeated_passages": 14}[name]
+        assert len(left) == stays, name
+        assert {tuple(r)[3:] for r in left} <= {r[3:] for r in rows}, name
