@@ -92,6 +92,58 @@ def header_metadata(fields: Column, schema: FeedSchema, lenient: bool = False) -
     return F.struct(*[v.alias(k) for k, v in values.items()], F.lit(has_count).alias("has_count"), error.alias("code"))
 
 
+def metadata_values_of(fields: Column, text_of, patterns: list[str], lenient: bool = False) -> tuple[dict[str, Column], Column, Column]:
+    """As ``metadata_values``, for a schema that is a column: an array of its fields. ``text_of`` takes a position
+    that is a column, ``patterns`` has all date patterns that any row's known fields have."""
+
+    def text(known):
+        return F.nullif(text_of(known["i"]), F.lit(""))
+
+    def dated(known):
+        out = F.when(F.coalesce(known["doc"], F.lit("")) == "", text(known))
+        for p in patterns:
+            out = out.when(known["doc"] == p, dates.normalise_date(text(known), p, lenient))
+        return out
+
+    known = F.transform(fields, lambda f, i: F.struct(F.lower(f["name"]).alias("name"), f["doc"].alias("doc"), i.alias("i")))
+    values = {}
+
+    def last_named(n):
+        return F.try_element_at(F.filter(known, lambda x: x["name"] == n), F.lit(-1))
+
+    for n in FIELDS:
+        last = last_named(n)
+        values[n] = as_long(text(last)) if n in LONG_FIELDS else dated(last) if n in DATE_FIELDS else text(last)
+        values[n] = F.when(last.isNotNull(), values[n])
+    bad_number = F.exists(known, lambda x: x["name"].isin(*LONG_FIELDS) & text(x).isNotNull() & as_long(text(x)).isNull())
+    bad_date = F.exists(known, lambda x: x["name"].isin(*DATE_FIELDS) & (F.coalesce(x["doc"], F.lit("")) != "") & dated(x).isNull())
+    return values, bad_number, bad_date
+
+
+def header_metadata_of(fields: Column, schema: Column, patterns: list[str], lenient: bool = False) -> Column:
+    """As ``header_metadata``, for a schema that is a column."""
+    code = codes.DATA_ONLY
+    size = F.size(fields)
+
+    def text_of(i):
+        return F.get(fields, i)
+
+    def first_of(f, i):
+        number = f["name"].isin(*LONG_FIELDS) & as_long(text_of(i)).isNull()
+        return F.when(size <= i, F.lit(code["metadata_short"])).when(number, F.lit(code["metadata_number"]))
+
+    first = F.get(F.filter(F.transform(schema, first_of), lambda c: c.isNotNull()), F.lit(0))
+    values, bad_number, bad_date = metadata_values_of(schema, text_of, patterns, lenient)
+    error = (
+        F.when(first.isNotNull(), first)
+        .when(size > F.size(schema), F.lit(code["metadata_long"]))
+        .when(bad_number, F.lit(code["illegal_argument"]))
+        .when(bad_date, F.lit(code["date"]))
+    )
+    has_count = F.exists(schema, lambda f: F.lower(f["name"]) == "record_count")
+    return F.struct(*[v.alias(k) for k, v in values.items()], has_count.alias("has_count"), error.alias("code"))
+
+
 def attributes(metadata: Column, prefix: str) -> dict[str, Column]:
     """The eight text attributes ``<prefix>_…``; a missing value is the empty text."""
     return {f"{prefix}_{SUFFIXES[n]}": or_empty(metadata[n]) for n in FIELDS}

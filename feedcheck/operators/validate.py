@@ -47,48 +47,84 @@ def _typed(text: Column, f: FeedField, strict: bool, trimmed: bool) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast(f.type)) if f.type in ("float", "double") else text.try_cast(f.type)
 
 
+def value_name(i: int, f: FeedField) -> str | None:
+    """Name of the typed column of a field; none where the text itself is the value."""
+    if f.is_date:
+        return None if f.doc is None or _pattern_fails(f.doc) else f"__d{i}_{_pattern_id(f)}"
+    return None if f.type == "string" else f"__v{i}_{f.type}"
+
+
+def cell_name(i: int, f: FeedField) -> str:
+    """Name of a field's value as text: one for all fields of a position that are read and written alike."""
+    return f"__q{value_name(i, f) or f'__t{i}'}_{f.type}"
+
+
+def rules(f: FeedField) -> list[str]:
+    """The checks that a field takes part in."""
+    out = [] if f.nullable else ["missing"]
+    if not f.is_date:
+        return out if f.type == "string" else [*out, f"bad_{f.type}"]
+    if f.type != "string":
+        out.append("word")
+    if f.doc is None:
+        return [*out, "null_pointer"]
+    return [*out, "illegal_argument" if _pattern_fails(f.doc) else f"date{_pattern_id(f)}"]
+
+
+def picks(fields) -> dict[str, list[int]]:
+    """Bit masks of the positions that take part in each check."""
+    n, out = max(1, -(-len(fields) // MASK_BITS)), {}
+    for i, f in enumerate(fields):
+        for rule in rules(f):
+            out.setdefault(rule, [0] * n)[i // MASK_BITS] |= 1 << (i % MASK_BITS)
+    return out
+
+
+def _pattern_id(f: FeedField) -> str:
+    return hashlib.sha1(f.doc.encode()).hexdigest()[:8]
+
+
 class Checker:
-    """Checks of one or more schemas over the same ``fields`` array.
+    """Checks of one schema, or of any number of them, over the same ``fields`` array.
 
     Work is shared between schemas: position ``i`` is trimmed once, cast once per type
     and parsed once per date pattern that any schema needs there. The outcome of a
-    record is a few bit masks, one bit per position, which a schema then selects from
-    with constants. Generated code grows with the positions, not with the schemas.
+    record is a few bit masks, one bit per position. One schema selects from them with
+    constants. Of many, ``cells`` has the distinct (position, field) pairs without names,
+    and each row brings its own masks in the struct ``schema`` (see ``schemas.schema_table``).
+    Generated code grows with the positions and kinds of fields, not with the schemas.
     """
 
-    def __init__(self, schemas: list[FeedSchema], d: Dialect, strict: bool = True, lenient_dates: bool = False):
-        self.schemas, self.d, self.strict, self.lenient = schemas, d, strict, lenient_dates
-        self.width = max((len(s.fields) for s in schemas), default=0)
+    def __init__(self, schema: FeedSchema | None, d: Dialect, strict: bool = True, lenient_dates: bool = False, cells: list | None = None):
+        self.cells = list(enumerate(schema.fields)) if schema else list(cells or [])
+        self.schema, self.d, self.strict, self.lenient = schema, d, strict, lenient_dates
+        self.width = max((i + 1 for i, _ in self.cells), default=0)
         self.n_masks = max(1, -(-self.width // MASK_BITS))
+        self.picks = picks(schema.fields) if schema else {}
 
-    # -- columns ---------------------------------------------------------------
+    @property
+    def names(self) -> Column:
+        return name_array(self.schema) if self.schema else F.col("schema.names")
 
-    def value_name(self, i: int, f: FeedField) -> str | None:
-        """Name of the typed column of a field; none where the text itself is the value."""
-        if f.is_date:
-            if f.doc is None or _pattern_fails(f.doc):
-                return None
-            return f"__d{i}_{hashlib.sha1(f.doc.encode()).hexdigest()[:8]}"
-        return None if f.type == "string" else f"__v{i}_{f.type}"
+    # -- columns ---------------------------------------------------------------
 
     def prepare(self, df: DataFrame) -> DataFrame:
         """Add the text ``__t<i>`` of every position and the typed columns."""
         control = F.col("__control") if "__control" in df.columns else None
         texts = {f"__t{i}": field_at(F.col("fields"), i, self.d, control) for i in range(self.width)}
         typed = {}
-        for s in self.schemas:
-            for i, f in enumerate(s.fields):
-                name, text = self.value_name(i, f), F.col(f"__t{i}")
-                if name and f.is_date:
-                    dated = F.when(dates.has_date_text(text), text)
-                    typed[name] = dates.to_epoch_millis(dated, f.doc, self.lenient)
-                elif name:
-                    typed[name] = _typed(text, f, self.strict, self.d.trim)
+        for i, f in self.cells:
+            name, text = value_name(i, f), F.col(f"__t{i}")
+            if name and f.is_date:
+                dated = F.when(dates.has_date_text(text), text)
+                typed[name] = dates.to_epoch_millis(dated, f.doc, self.lenient)
+            elif name:
+                typed[name] = _typed(text, f, self.strict, self.d.trim)
         return df.withColumns(texts).withColumns(typed)
 
     def value(self, i: int, f: FeedField) -> Column:
         """Typed value of a field; an empty text is null, a date is epoch milliseconds."""
-        name, text = self.value_name(i, f), F.nullif(F.col(f"__t{i}"), F.lit(""))
+        name, text = value_name(i, f), F.nullif(F.col(f"__t{i}"), F.lit(""))
         if f.is_date and name and f.type == "string":
             return F.coalesce(F.col(name).cast("string"), text)
         if f.is_date and not name and f.type != "string":
@@ -102,43 +138,25 @@ class Checker:
         out: dict[str, dict[int, Column]] = {}
         for i in range(self.width):
             out.setdefault("empty", {})[i] = F.coalesce(F.col(f"__t{i}") == "", F.lit(True))
-        for s in self.schemas:
-            for i, f in enumerate(s.fields):
-                text, name = F.col(f"__t{i}"), self.value_name(i, f)
-                if f.is_date:
-                    out.setdefault("word", {})[i] = dates.is_null_word(text)
-                if name:
-                    bad = F.col(name).isNull() & (text != "")
-                    out.setdefault(self._bad_name(i, f), {})[i] = bad
-        return out
-
-    def _bad_name(self, i: int, f: FeedField) -> str:
-        return "date" + self.value_name(i, f).rsplit("_", 1)[1] if f.is_date else f"bad_{f.type}"
-
-    def _constants(self, k: int, pick) -> list[int]:
-        """Bit mask, per schema, of the positions it picks."""
-        out = []
-        for s in self.schemas:
-            part = list(enumerate(s.fields))[k * MASK_BITS : (k + 1) * MASK_BITS]
-            out.append(sum(1 << (i - k * MASK_BITS) for i, f in part if pick(i, f)))
+        for i, f in self.cells:
+            text, name = F.col(f"__t{i}"), value_name(i, f)
+            if f.is_date:
+                out.setdefault("word", {})[i] = dates.is_null_word(text)
+            if name:
+                bad = F.col(name).isNull() & (text != "")
+                out.setdefault(f"date{_pattern_id(f)}" if f.is_date else f"bad_{f.type}", {})[i] = bad
         return out
 
-    def _select(self, mask: Column, k: int, pick, group: str | None) -> Column | None:
-        """The bits of ``mask`` that the row's schema picks; none if no schema picks any."""
-        constants = self._constants(k, pick)
-        if not any(constants):
+    def _select(self, mask: Column, k: int, rule: str) -> Column | None:
+        """The bits of ``mask`` at the positions that the row's schema checks by ``rule``; none if no schema has any."""
+        if not any(i // MASK_BITS == k and rule in rules(f) for i, f in self.cells):
             return None
-        if group is None or len(set(constants)) == 1:
-            return mask.bitwiseAND(F.lit(constants[0]).cast("bigint"))
-        out = None
-        for g, m in zip(self.group_ids, constants):
-            hit, v = F.col(group) == g, F.lit(m).cast("bigint")
-            out = F.when(hit, v) if out is None else out.when(hit, v)
-        return mask.bitwiseAND(out.otherwise(F.lit(0).cast("bigint")))
-
-    group_ids: list[int] = ()
+        if self.schema:
+            return mask.bitwiseAND(F.lit(self.picks[rule][k]).cast("bigint"))
+        own = F.get(F.try_element_at(F.col("schema.picks"), F.lit(rule)), F.lit(k))
+        return mask.bitwiseAND(F.coalesce(own, F.lit(0).cast("bigint")))
 
-    def with_masks(self, df: DataFrame, group: str | None = None) -> DataFrame:
+    def with_masks(self, df: DataFrame) -> DataFrame:
         """Add ``missing_<k>``, ``invalid_<k>`` and ``stop`` (a position in STOPS, or null).
 
         Masks add up with ``bit_or`` in a plain hash aggregate: the state per file is a
@@ -162,26 +180,20 @@ class Checker:
         out, held, stops = {}, {}, {}
         for k in range(self.n_masks):
 
-            def use(name, pick, k=k):
-                return self._select(F.col(f"__{name}_{k}"), k, pick, group)
+            def use(name, rule=None, k=k):
+                return self._select(F.col(f"__{name}_{k}"), k, rule or name)
 
-            missing = use("empty", lambda i, f: not f.nullable)
-            wrong = [use(n, lambda i, f, t=n[4:]: f.type == t and not f.is_date) for n in raw if n.startswith("bad_")]
+            missing = use("empty", "missing")
+            wrong = [use(n) for n in raw if n.startswith("bad_")]
             if "word" in raw:
                 # The word null in a date field is left alone, and then is no number.
-                wrong.append(use("word", lambda i, f: f.is_date and f.type != "string"))
+                wrong.append(use("word"))
                 word = F.bitwise_not(F.col(f"__word_{k}"))
                 dated = F.bitwise_not(F.col(f"__empty_{k}")).bitwiseAND(word)
-                failed = union(
-                    use(n, lambda i, f, n=n: f.is_date and self.value_name(i, f) and self._bad_name(i, f) == n)
-                    for n in raw
-                    if n.startswith("date")
-                )
+                failed = union(use(n) for n in raw if n.startswith("date"))
                 causes = {
-                    "null_pointer": self._select(dated, k, lambda i, f: f.is_date and f.doc is None, group),
-                    "illegal_argument": self._select(
-                        dated, k, lambda i, f: f.is_date and f.doc is not None and _pattern_fails(f.doc), group
-                    ),
+                    "null_pointer": self._select(dated, k, "null_pointer"),
+                    "illegal_argument": self._select(dated, k, "illegal_argument"),
                     "date": None if failed is None else failed.bitwiseAND(word),
                 }
                 for cause, mask in causes.items():
@@ -196,14 +208,10 @@ class Checker:
         out["stop"] = F.coalesce(*first) if first else F.lit(None).cast("int")
         return df.withColumns(out)
 
-    def errors(self, allow_extra: bool = False, group: str | None = None) -> Column:
+    def errors(self, allow_extra: bool = False) -> Column:
         """``ARRAY<STRUCT<type,field>>`` of one record from its masks: missing fields,
         then invalid ones, then extras."""
-        names = name_array(self.schemas[0])
-        if group is not None and len(self.schemas) > 1:
-            names = F.when(F.col(group) == self.group_ids[0], names)
-            for g, s in list(zip(self.group_ids, self.schemas))[1:]:
-                names = names.when(F.col(group) == g, name_array(s))
+        names = self.names
 
         def as_errors(kind, found):
             return F.transform(found, lambda n: F.struct(F.lit(kind).alias("type"), n.alias("field")))
@@ -214,18 +222,16 @@ class Checker:
         ]
         if not allow_extra:
             parts.append(as_errors(EXTRA, extra_names(F.size(names), F.size("fields"))))
-        return F.when(self.has_error(allow_extra, group), F.concat(*parts))
+        return F.when(self.has_error(allow_extra), F.concat(*parts))
 
-    def has_error(self, allow_extra: bool = False, group: str | None = None) -> Column:
+    def has_error(self, allow_extra: bool = False) -> Column:
         """Whether a record has any error, without naming it."""
         out = F.lit(False)
         for k in range(self.n_masks):
             out = out | (F.col(f"missing_{k}").bitwiseOR(F.col(f"invalid_{k}")) != 0)
         if allow_extra:
             return out
-        width = F.lit(len(self.schemas[0].fields))
-        for g, s in zip(self.group_ids, self.schemas):
-            width = F.when(F.col(group) == g, F.lit(len(s.fields))).otherwise(width) if group else width
+        width = F.lit(self.width) if self.schema else F.size("schema.names")
         return out | (F.size("fields") > width)
 
 
@@ -272,7 +278,7 @@ def validate_records(
     df: DataFrame, schema: FeedSchema, d: Dialect, allow_extra: bool = False, strict: bool = True, lenient_dates: bool = False
 ) -> DataFrame:
     """Add ``errors`` and ``stop`` (the name of a hard stop) to rows that hold ``fields``."""
-    checker = Checker([schema], d, strict, lenient_dates)
+    checker = Checker(schema, d, strict, lenient_dates)
     names = F.array(*[F.lit(n) for n in STOPS])
     stop = F.when(F.col("fields").isNull(), F.lit(STOPS[0])).otherwise(F.get(names, F.col("stop")))
     out = checker.with_masks(checker.prepare(df))

@@ -327,6 +327,16 @@ ORACLE: dict[str, str] = {
       v AS (SELECT *, CASE WHEN k % 3 = 0 THEN '325206' WHEN k % 5 = 0 THEN '325208' ELSE '225204' END AS code FROM n)
       SELECT 'nation_' || k AS file_key, CASE WHEN code = '225204' THEN 'success' ELSE 'failure' END AS status, code, n AS actual_record_count,
              n + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS claimed_count, CASE WHEN k % 5 = 0 THEN 'c_custkey' ELSE '' END AS invalid_fields FROM v""",
+    "many_schemas": """WITH o AS (SELECT o_custkey AS c, o_orderkey AS k, o_orderkey % 4 = 0 AS bare,
+        o_orderkey || '|' || CASE WHEN o_custkey % 3 = 0 THEN CAST(CAST(o_orderkey AS DOUBLE) + 0.25 AS VARCHAR) ELSE o_orderkey || '.25' END || '|'
+          || epoch_ms(date_trunc('day', o_orderdate)) || '|' || CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE o_orderpriority END AS line FROM orders),
+      f AS (SELECT c, count(*) AS n, bool_or(bare) AND c % 5 = 0 AS no_note, min(line) AS first_line FROM o GROUP BY c),
+      v AS (SELECT *, CASE WHEN c % 13 = 0 THEN '325311' WHEN c % 11 = 0 THEN '325335' WHEN no_note OR c % 3 = 1 THEN '325308' ELSE '225304' END AS code FROM f)
+      SELECT 'c_' || c AS file_key, CASE WHEN code = '225304' THEN 'success' ELSE 'failure' END AS status, code,
+        CASE WHEN c % 13 <> 0 THEN n END AS actual_record_count,
+        CASE WHEN c % 13 <> 0 AND no_note THEN 'note_' || c ELSE '' END AS missing_fields,
+        CASE WHEN c % 13 <> 0 AND c % 3 = 1 THEN 'price_' || c ELSE '' END AS invalid_fields,
+        CASE WHEN code = '225304' THEN n END AS n_lines, CASE WHEN code = '225304' THEN first_line END AS first_line FROM v""",
     "routed_files": """WITH n AS (SELECT c_nationkey AS nation, count(*) AS n, c_nationkey % 6 AS kind FROM customer GROUP BY 1)
       SELECT nation, FALSE AS gone, CASE WHEN kind IN (0, 1, 5) THEN 'success' ELSE 'failure' END AS status, CASE WHEN kind IN (0, 1, 5) THEN '225304' ELSE '325305' END AS code,
              CASE kind WHEN 0 THEN n WHEN 1 THEN n WHEN 5 THEN 0 END AS actual_record_count, CASE WHEN kind IN (0, 1, 5) THEN 'success' ELSE 'failure' END AS route, n AS n_lines FROM n

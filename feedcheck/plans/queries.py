@@ -637,6 +637,37 @@ def mixed_dialect_verdicts(spark, sf):
     return run.verdicts.select("file_key", "status", "code", "actual_record_count", "claimed_count", *_joined("invalid_fields"))
 
 
+@query
+def many_schemas(spark, sf):
+    """One file of orders per customer, each with a schema of its own: names, types, date pattern and which fields
+    must be there go by the customer; every thirteenth schema is no schema."""
+    c, o = F.col("o_custkey"), feeds.table(spark, sf, "orders")
+    key, own = F.concat(F.lit("c_"), c.cast("string")), c.cast("string")
+    kind = F.when(c % 3 == 0, F.lit("double")).when(c % 3 == 1, F.lit("long")).otherwise(F.lit("string"))
+    form = F.when(c % 2 == 0, F.lit("yyyy-MM-dd")).otherwise(F.lit("dd/MM/yyyy"))
+
+    def named(name, spec):
+        return F.concat(F.lit(f'{{"name":"{name}_'), own, F.lit('","type":'), spec, F.lit("}"))
+
+    note = F.when(c % 5 == 0, F.lit('"string"')).otherwise(F.lit('["null","string"]'))
+    day = F.concat(F.lit('"long","logicalType":"date","doc":"'), form, F.lit('"'))
+    fields = F.concat_ws(",", named("order", F.lit('"long"')), named("price", F.concat(F.lit('"'), kind, F.lit('"'))), named("day", day), named("note", note))
+    text = F.concat(F.lit('{"type":"record","name":"own","fields":['), fields, F.when(c % 13 == 0, F.lit("")).otherwise(F.lit("]}")))
+    files = o.select("o_custkey").distinct().select(key.alias("file_key"), text.alias("table_schema"), text.alias("insert_table_schema"))
+    # Every eleventh customer's dates follow the other pattern.
+    usual = (c % 2 == 0) != (c % 11 == 0)
+    date = F.when(usual, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    remark = F.when(F.col("o_orderkey") % 4 == 0, F.lit("")).otherwise(F.col("o_orderpriority"))
+    line = F.concat_ws("|", F.col("o_orderkey").cast("string"), F.concat(F.col("o_orderkey").cast("string"), F.lit(".25")), date, remark)
+    src = ordered_lines(o.select(key.alias("file_key"), "o_orderkey", line.alias("line")), "file_key", "o_orderkey", "line")
+    plain = {"header_record_count": "0", "footer_record_count": "0", "record_count_location": "none", "add_file_and_record_id": "0"}
+    settings = {k: v for k, v in feeds.event_settings(**plain).items() if not k.endswith("table_schema")}
+    run = validate_files(src, files, "data_only", settings=settings, dialect=feeds.DIALECT)
+    lines = run.success_lines().groupBy("file_key").agg(F.count(F.lit(1)).alias("n_lines"), F.min("line").alias("first_line"))
+    shown = run.decided.select("file_key", "status", "code", "actual_record_count", *_joined("missing_fields", "invalid_fields"))
+    return shown.join(lines, "file_key", "left")
+
+
 @query
 def routed_files(spark, sf):
     """One landed file per nation: listed as it is, under another spelling, twice, under a name that is not there,

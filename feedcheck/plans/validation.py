@@ -13,60 +13,23 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import codes
 from ..functions.delimited import field_at, quote_field
 from ..functions.dialect import DIALECT_COLUMNS, Dialect, dialect, with_dialects
-from ..functions.schema import FeedSchema, SchemaMissing, SchemaUnparsable, schema_from_avro_json
 from ..functions.text import broken_patterns, regex_compiles
 from ..operators import metadata as md
 from ..operators import reconcile as rc
+from ..operators import schemas as sc
 from ..operators import validate as va
 from ..operators.audit import audit_rows
 from ..operators.config import SETTINGS, check_config, metadata_line_setting, with_all_settings
 from ..operators.framing import chosen_file_id, frame, number_lines, rows_text, with_record_id
-from ..session import materialise
+from ..session import broadcast_if_small, materialise
 from ..sources.lines import LineSource, scanned_key
 
-MAX_GROUPS = 1000
 # A stop's rank: the record at which it happens, then parse before processing.
 _STEP, _PROCESSING = 16, 8
-_SCHEMAS = ("table_schema", "insert_table_schema", "header_schema")
-
-
-@dataclass(frozen=True)
-class Group:
-    """Files that share their schema texts and so one set of column expressions."""
-
-    id: int
-    texts: tuple
-    read: FeedSchema | None = None
-    write: FeedSchema | None = None
-    header: FeedSchema | None = None
-    header_code: str | None = None
-    code: str | None = None
-
-
-def _group(i: int, texts: tuple, profile: str) -> Group:
-    code = codes.PROFILES[profile]
-    read = write = header = header_code = None
-    try:
-        read = schema_from_avro_json(texts[0])
-        if texts[1] is None:
-            return Group(i, texts, read=read, code=code["null_pointer"])
-        write = schema_from_avro_json(texts[1] or "{")
-    except SchemaMissing:
-        return Group(i, texts, code=code["schema_missing"])
-    except SchemaUnparsable:
-        return Group(i, texts, read=read, code=code["schema_unparsable"])
-    try:
-        header = schema_from_avro_json(texts[2])
-    except SchemaMissing:
-        header_code = code["null_pointer"]
-    except SchemaUnparsable:
-        header_code = code["schema_unparsable"]
-    return Group(i, texts, read, write, header, header_code)
 
 
 @dataclass(frozen=True)
@@ -98,43 +61,33 @@ class Validation:
     # ---- settings ------------------------------------------------------------
 
     @cached_property
-    def _varied(self) -> tuple[list[Group], list[str]]:
-        """Schema groups and count filters that do not compile. Both are configuration:
-        few, checked, and read on the driver only where they differ per file."""
-        in_files = [c for c in _SCHEMAS if c in self.files.columns]
-        if in_files:
-            found = self.files.select(*in_files).distinct().limit(MAX_GROUPS + 1).collect()
-            if len(found) > MAX_GROUPS:
-                raise ValueError(f"more than {MAX_GROUPS} distinct schemas")
-            rows = [{**self.settings, **r.asDict()} for r in found]
-        else:
-            rows = [self.settings]
-        texts = sorted({tuple(r.get(c) for c in _SCHEMAS) for r in rows}, key=repr)
-        if "record_count_filter" in self.files.columns:
-            bad = broken_patterns(self.files.select("record_count_filter"))
-        else:
-            fixed = self.settings.get("record_count_filter")
-            bad = [fixed] if fixed and not regex_compiles(self.files.sparkSession, fixed) else []
-        return [_group(i, t, self.profile) for i, t in enumerate(texts)], bad
+    def _group(self) -> sc.Group | None:
+        """The one set of schemas, where it is a setting of the run; none where each file has its own."""
+        if set(sc.SCHEMAS) & set(self.files.columns):
+            return None
+        return sc.parse_group(tuple(self.settings.get(c) for c in sc.SCHEMAS), self.profile)
 
-    @property
-    def groups(self) -> list[Group]:
-        return self._varied[0]
+    @cached_property
+    def schema_table(self) -> DataFrame:
+        """Schemas of the files, where each has its own: one row per set of schema texts."""
+        own = [c if c in self.files.columns else F.lit(self.settings.get(c)).cast("string").alias(c) for c in sc.SCHEMAS]
+        return sc.schema_table(self.files.select(*own), self.profile)
 
     @property
-    def _usable_groups(self) -> list[Group]:
-        return [g for g in self.groups if g.code is None]
-
-    def _by_group(self, make, kind: str) -> Column:
-        """The expression of the row's own group."""
-        groups = self._usable_groups
-        if len(groups) == 1:
-            return make(groups[0])
-        out = None
-        for g in groups:
-            hit = F.col("schema_group") == g.id
-            out = F.when(hit, make(g)) if out is None else out.when(hit, make(g))
-        return F.lit(None).cast(kind) if out is None else out
+    def _checks(self) -> bool:
+        """False where the run's one set of schemas is unusable, so that no record is checked."""
+        return self._group is None or self._group.code is None
+
+    @cached_property
+    def _bad_filters(self) -> list[str]:
+        """Count filters that do not compile."""
+        if "record_count_filter" in self.files.columns:
+            return broken_patterns(self.files.select("record_count_filter"))
+        fixed = self.settings.get("record_count_filter")
+        return [fixed] if fixed and not regex_compiles(self.files.sparkSession, fixed) else []
+
+    def _patterns(self, part: str) -> list[str]:
+        return sc.metadata_patterns(self.schema_table, part)
 
     @cached_property
     def checked_files(self) -> DataFrame:
@@ -153,18 +106,13 @@ class Validation:
             files = files.join(landed.select("file_key", F.lit(True).alias("landed")), "file_key", "left")
         absent = F.col("landed").isNull() if landed is not None else F.lit(False)
         files = with_all_settings(files.withColumns(known))
-        if len(self.groups) == 1:
-            g = self.groups[0]
-            files = files.withColumns({"schema_group": F.lit(g.id), "schema_code": F.lit(g.code).cast("string")})
+        if self._group:
+            files = files.withColumns({"schema_group": F.lit(0).cast("bigint"), "schema_code": F.lit(self._group.code).cast("string")})
         else:
-            st = T.StructType(
-                [T.StructField("__" + c, T.StringType()) for c in _SCHEMAS]
-                + [T.StructField("schema_group", T.IntegerType()), T.StructField("schema_code", T.StringType())]
-            )
-            table = self.files.sparkSession.createDataFrame([(*g.texts, g.id, g.code) for g in self.groups], st)
-            same = [F.col(c).eqNullSafe(F.col("__" + c)) for c in _SCHEMAS]
-            # At most MAX_GROUPS rows.
-            files = files.join(F.broadcast(table), same, "left").drop(*["__" + c for c in _SCHEMAS])
+            own = self.schema_table.withColumnsRenamed({c: "__" + c for c in sc.SCHEMAS})
+            same = [F.col(c).eqNullSafe(F.col("__" + c)) for c in sc.SCHEMAS]
+            files = files.join(broadcast_if_small(own), same, "left").drop(*["__" + c for c in sc.SCHEMAS])
+            files = files.withColumn("schema_code", F.col("schema.code"))
         files = check_config(files, self.profile)
         if self.profile == "data_only":
             files = metadata_line_setting(files)
@@ -196,6 +144,10 @@ class Validation:
     def _dialect_columns(self) -> list[str]:
         return ["dialect"] if self._own_dialects else []
 
+    @property
+    def _schema_columns(self) -> list[str]:
+        return [] if self._group else ["schema"]
+
     @property
     def _reads_sections(self) -> bool:
         """False when no file can need its header or footer text."""
@@ -214,35 +166,40 @@ class Validation:
     def framed(self) -> DataFrame:
         """Numbered lines of every file whose settings are usable, with their section."""
         usable = self.checked_files.filter(F.col("early_code").isNull())
-        return self._framed(usable.select("file_key", "schema_group", "header_n", "footer_n", "wants_header", "wants_footer", *self._dialect_columns))
+        return self._framed(usable.select("file_key", "schema_group", "header_n", "footer_n", "wants_header", "wants_footer", *self._dialect_columns, *self._schema_columns))
 
     @cached_property
     def _checker(self) -> va.Checker:
-        checker = va.Checker([g.read for g in self._usable_groups], self.dialect, self.strict, self.lenient_dates)
-        checker.group_ids = [g.id for g in self._usable_groups]
-        return checker
+        if self._group is None:
+            return va.Checker(None, self.dialect, self.strict, self.lenient_dates, sc.distinct_cells(self.schema_table))
+        schema = None if self._group.code else self._group.read
+        return va.Checker(schema, self.dialect, self.strict, self.lenient_dates)
 
     def _prepared(self, rows: DataFrame) -> DataFrame:
         return self._checker.prepare(va.with_fields(rows, self.dialect))
 
     def _masked(self, rows: DataFrame) -> DataFrame:
-        return self._checker.with_masks(self._prepared(rows), "schema_group")
+        return self._checker.with_masks(self._prepared(rows))
 
     def record_errors(self) -> DataFrame:
         """One row per error of each data record."""
         rows = self._masked(self.framed.filter(F.col("section") == "data"))
-        errors = self._checker.errors(self.allow_extra, "schema_group")
+        errors = self._checker.errors(self.allow_extra) if self._checks else F.lit(None).cast("array<struct<type:string,field:string>>")
         return va.record_errors(rows.withColumn("errors", errors), ["file_key", "line_no", "record_id"])
 
     def _metadata_stop(self) -> Column:
         """Stop of a valid manifest record whose known fields cannot be taken over."""
 
-        def stop(g: Group) -> Column:
-            _, number, date = md.metadata_values(g.read, lambda i: F.col(f"__t{i}"), self.lenient_dates)
-            return F.when(number, F.lit(va.STOPS.index("illegal_argument"))).when(date, F.lit(va.STOPS.index("date")))
-
-        bad = self._checker.has_error(self.allow_extra, "schema_group")
-        return F.when(~bad, self._by_group(stop, "int"))
+        checker = self._checker
+        if not self._checks:
+            return F.lit(None).cast("int")
+        if self._group:
+            _, number, date = md.metadata_values(self._group.read, lambda i: F.col(f"__t{i}"), self.lenient_dates)
+        else:
+            texts = F.array(*[F.col(f"__t{i}") for i in range(checker.width)])
+            _, number, date = md.metadata_values_of(F.col("schema.read"), lambda i: F.get(texts, i), self._patterns("read"), self.lenient_dates)
+        stop = F.when(number, F.lit(va.STOPS.index("illegal_argument"))).when(date, F.lit(va.STOPS.index("date")))
+        return F.when(~checker.has_error(self.allow_extra), stop)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -283,7 +240,6 @@ class Validation:
         text, settings, metadata line setting, hard stop or metadata line error at the
         earliest record, record count, schema errors; else the file passes."""
         code = codes.PROFILES[self.profile]
-        _, bad_filters = self._varied
         v = self.checked_files.join(self.summary, "file_key", "left")
         n = F.coalesce("n_lines", F.lit(0).cast("bigint"))
         v = v.withColumn("actual_count", n - F.col("header_n") - F.col("footer_n"))
@@ -292,16 +248,23 @@ class Validation:
         fields_type = ", ".join(f"{f}:{'bigint' if f in md.LONG_FIELDS else 'string'}" for f in md.FIELDS)
         kind = f"struct<{fields_type}, has_count:boolean, code:string>"
 
-        def header_of(g: Group) -> Column:
-            if g.header is None:
-                names = [F.lit(None).cast("bigint" if f in md.LONG_FIELDS else "string").alias(f) for f in md.FIELDS]
-                return F.struct(*names, F.lit(False).alias("has_count"), F.lit(g.header_code).alias("code"))
-            return md.header_metadata(F.col("meta_fields"), g.header, self.lenient_dates)
+        def header_of() -> Column:
+            names = [F.lit(None).cast("bigint" if f in md.LONG_FIELDS else "string").alias(f) for f in md.FIELDS]
+
+            def failed(why):
+                return F.struct(*names, F.lit(False).alias("has_count"), why.alias("code"))
+
+            if self._group is None:
+                found = md.header_metadata_of(F.col("meta_fields"), F.col("schema.header"), self._patterns("header"), self.lenient_dates)
+                return F.when(F.col("schema.header").isNull(), failed(F.col("schema.header_code"))).otherwise(found)
+            if self._group.header is None:
+                return failed(F.lit(self._group.header_code))
+            return md.header_metadata(F.col("meta_fields"), self._group.header, self.lenient_dates)
 
         hit = F.filter(F.col("header_rows"), lambda r: (r["line_no"] == F.col("metadata_line")) & r["fields"].isNotNull())
         trimmed = F.transform(F.get(hit, F.lit(0))["fields"], lambda x: F.trim(x) if self.dialect.trim else x)
         v = v.withColumn("meta_fields", trimmed)
-        found = self._by_group(header_of, kind)
+        found = header_of() if self.profile == "data_only" and self._reads_sections else F.lit(None).cast(kind)
         v = v.withColumn("metadata", F.when(F.col("meta_fields").isNotNull() & F.col("early_code").isNull(), found))
 
         # Hard stops.
@@ -313,10 +276,10 @@ class Validation:
         meta_first = meta_rank.isNotNull() & (F.col("stop_rank").isNull() | (meta_rank < F.col("stop_rank")))
         v = v.withColumn("hard_code", F.when(meta_first, F.col("metadata.code")).otherwise(stop_code))
 
-        v = self._with_claim(v, code, bad_filters)
+        v = self._with_claim(v, code, self._bad_filters)
         no_names = F.array().cast("array<string>")
         n_masks = self._checker.n_masks
-        v = v.withColumn("__names", F.coalesce(self._by_group(lambda g: va.name_array(g.read), "array<string>"), no_names))
+        v = v.withColumn("__names", F.coalesce(self._checker.names, no_names) if self._checks else no_names)
         v = v.withColumns(
             {
                 "missing_fields": va.mask_names(F.col("__names"), "missing", n_masks),
@@ -452,6 +415,9 @@ class Validation:
         files = self.decided.filter(F.col("status") == status).select("file_key")
         return number_lines(self.src.received(), files).select("file_key", "line_no", "line")
 
+    def _with_own_schemas(self, files: DataFrame) -> DataFrame:
+        return files if self._group else files.join(self.checked_files.select("file_key", "schema"), "file_key")
+
     def _passing(self) -> DataFrame:
         files = self.decided.filter(F.col("status") == "success")
         chosen = chosen_file_id(F.col("file_uuid_or_id"), F.col("file_uuid"), F.col("file_id"))
@@ -460,13 +426,18 @@ class Validation:
             F.when(F.col("add_file_and_record_id") == "1", F.lit(True)).otherwise(F.lit(False)).alias("adds_ids"),
             chosen.alias("chosen_id"), *self._dialect_columns,
         )
-        return self._prepared(self._framed(files).filter(F.col("section") == "data"))
+        return self._prepared(self._framed(self._with_own_schemas(files)).filter(F.col("section") == "data"))
 
-    def success_records(self, group: int = 0) -> DataFrame:
-        """Typed data records of passing files of one schema group."""
-        g = self.groups[group]
-        typed = [self._checker.value(i, f).alias(f.name) for i, f in enumerate(g.read.fields)]
-        rows = self._passing().filter(F.col("schema_group") == g.id)
+    def success_records(self, schema: str | None = None) -> DataFrame:
+        """Typed data records of passing files. Where files have schemas of their own, those of the files whose
+        ``table_schema`` is the text ``schema``."""
+        if self._group:
+            read, rows = self._group.read, self._passing()
+        else:
+            read = sc.schema_from_avro_json(schema)
+            groups = self.schema_table.filter(F.col("table_schema") == schema).select("schema_group").distinct()
+            rows = self._passing().join(broadcast_if_small(groups), "schema_group", "left_semi")
+        typed = [self._checker.value(i, f).alias(f.name) for i, f in enumerate(read.fields)]
         return rows.select("file_key", "line_no", "record_id", *typed)
 
     def success_lines(self) -> DataFrame:
@@ -474,53 +445,58 @@ class Validation:
         an absent one empty, then every field the write schema does not name."""
         w = self.writer or self.dialect
         rows = self._passing()
+        checker, group = self._checker, self._group
         # Each value is rendered once, whatever number of schemas place it in a line.
         shown: dict[str, Column] = {
             "__id": quote_field(F.col("chosen_id"), w),
             "__record_id": quote_field(F.col("record_id").cast("string"), w, numeric=True),
             "__null": quote_field(F.lit(None).cast("string"), w),
         }
-        place: dict[int, dict[str, str]] = {}
         texts: dict[str, Column] = {}
-        for g in self._usable_groups:
-            for i, f in enumerate(g.read.fields):
-                name = f"__q{self._checker.value_name(i, f) or f'__t{i}'}_{f.type}"
-                texts[f"{name}_text"] = self._checker.value(i, f).cast("string")
-                shown[name] = quote_field(F.col(f"{name}_text"), w, numeric=f.type != "string")
-                place.setdefault(g.id, {})[f.name] = name
-        rows = rows.withColumns(texts)
-        rows = rows.withColumns(shown)
-
-        def line_of(g: Group) -> Column:
-            def line(values: dict[str, str]) -> Column:
-                names = [values.get(n, "__null") for n in g.write.names]
-                names += [values[n] for n in values if n not in g.write.names]
-                text = F.concat_ws(w.sep, *[F.col(n) for n in names])
-                if self.allow_extra:
-                    more = F.slice(F.col("fields"), len(g.read.fields) + 1, F.greatest(F.size("fields"), F.lit(1)))
-                    tail = F.transform(more, lambda x: F.concat(F.lit(w.sep), quote_field(F.trim(x) if self.dialect.trim else x, w)))
-                    text = F.concat(text, F.array_join(tail, ""))
-                return F.concat(text, F.lit(w.sep)) if w.trailing_delimiter else text
-
-            ids = {"file_id": "__id", "record_id": "__record_id"}
-            return F.when(F.col("adds_ids"), line({**ids, **place[g.id]})).otherwise(line(place[g.id]))
-
-        return rows.select("file_key", "record_id", self._by_group(line_of, "string").alias("line"))
+        at: dict[int, list[str]] = {}
+        for i, f in checker.cells:
+            name = va.cell_name(i, f)
+            texts[f"{name}_text"] = checker.value(i, f).cast("string")
+            shown[name] = quote_field(F.col(f"{name}_text"), w, numeric=f.type != "string")
+            at.setdefault(i, []).append(name)
+        rows = rows.withColumns(texts).withColumns(shown)
+        fixed = {sc.NULL_PLACE: "__null", sc.FILE_ID_PLACE: "__id", sc.RECORD_ID_PLACE: "__record_id"}
+
+        def line(ids: bool) -> Column:
+            if group is None:
+                return sc.line_by_places(F.col("__values"), F.col("schema.id_places" if ids else "schema.places"), F.col("__id"), F.col("__record_id"), F.col("__null"), w.sep)
+            names = [fixed[p] if p < 0 else at[p][0] for p in sc.places(group.read, group.write, ids)]
+            return F.concat_ws(w.sep, *[F.col(n) for n in names])
+
+        if group is None:
+            # The value at a position, by the kind that the row's schema has there.
+            cells = {i: F.get("schema.cells", F.lit(i)) for i in at}
+            kinds = [F.coalesce(*[F.when(cells[i] == n, F.col(n)) for n in dict.fromkeys(at[i])]) for i in sorted(at)]
+            rows = rows.withColumn("__values", F.array(*kinds).cast("array<string>"))
+        elif group.code:
+            return rows.select("file_key", "record_id", F.lit(None).cast("string").alias("line"))
+        text = F.when(F.col("adds_ids"), line(True)).otherwise(line(False))
+        if self.allow_extra:
+            n_names = F.size(checker.names)
+            more = F.filter("fields", lambda _, i: i >= n_names)
+            tail = F.transform(more, lambda x: F.concat(F.lit(w.sep), quote_field(F.trim(x) if self.dialect.trim else x, w)))
+            text = F.concat(text, F.array_join(tail, ""))
+        text = F.concat(text, F.lit(w.sep)) if w.trailing_delimiter else text
+        return rows.select("file_key", "record_id", text.alias("line"))
 
     def manifest_rows(self) -> DataFrame:
         """One row per record of each passing manifest, with the manifest's attributes."""
         attrs = self.decided.filter(F.col("status") == "success")
         carried = ["file_key", "file_name", "file_uuid", "conf_id", "datafile_extension"]
         files = attrs.select(*carried, "schema_group", "header_n", "footer_n", *self._dialect_columns)
-        rows = self._framed(files).filter(F.col("section") == "data")
+        rows = self._framed(self._with_own_schemas(files)).filter(F.col("section") == "data")
         rows = va.with_fields(rows, self.dialect)
-        kind = ", ".join(f"{f}:{'bigint' if f in md.LONG_FIELDS else 'string'}" for f in md.FIELDS)
-
-        def meta(g: Group) -> Column:
-            values, _, _ = md.metadata_values(g.read, lambda i: field_at(F.col("fields"), i, self.dialect), self.lenient_dates)
-            return F.struct(*[c.alias(n) for n, c in values.items()])
-
-        rows = rows.withColumn("metadata", self._by_group(meta, f"struct<{kind}>"))
+        if self._group:
+            values, _, _ = md.metadata_values(self._group.read, lambda i: field_at(F.col("fields"), i, self.dialect), self.lenient_dates)
+        else:
+            texts = F.array(*[field_at(F.col("fields"), i, self.dialect) for i in range(self._checker.width)])
+            values, _, _ = md.metadata_values_of(F.col("schema.read"), lambda i: F.get(texts, i), self._patterns("read"), self.lenient_dates)
+        rows = rows.withColumn("metadata", F.struct(*[c.alias(n) for n, c in values.items()]))
         return md.manifest_rows(rows, ["file_key", "record_id", *carried[1:]])
 
     def audit(self, min_level: str = "DEBUG") -> DataFrame:

@@ -34,6 +34,6 @@ def header_schema(spark: SparkSession, path: str, d: Dialect) -> FeedSchema:
 
 def typed_records(lines: DataFrame, schema: FeedSchema, d: Dialect, keep: list[str], line: str = "line", strict: bool = True) -> DataFrame:
     """Typed columns of delimited lines; text that does not fit a type is null."""
-    checker = Checker([schema], d, strict)
+    checker = Checker(schema, d, strict)
     rows = checker.prepare(with_fields(lines, d, line))
     return rows.select(*keep, *[checker.value(i, f).alias(f.name) for i, f in enumerate(schema.fields)])
