@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -42,28 +42,9 @@ def or_empty(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
 
-def regex_compiles(spark: SparkSession, pattern: str) -> bool:
-    """Whether Spark accepts the pattern; folded on the driver, no job runs."""
-    try:
-        spark.sql("SELECT '' RLIKE :p", args={"p": pattern}).collect()
-        return True
-    except Exception:
-        return False
-
-
-def broken_patterns(patterns: DataFrame, whole: bool = False) -> list[str]:
-    """Patterns of a one-column frame that Spark does not accept, sorted; with ``whole``,
-    not as a pattern for a whole text, as an open ``\\Q`` or comment would be.
-
-    One distributed pass tries them all. Only if it fails are they tried one by one,
-    read a partition at a time; what stays on the driver is the list of broken ones.
-    """
-    name = patterns.columns[0]
-    distinct = patterns.filter(F.col(name).isNotNull()).distinct()
-    hit = matches(F.lit(""), F.col(name)) if whole else F.rlike(F.lit(""), F.col(name))
-    try:
-        distinct.agg(F.count(F.when(hit, 1))).collect()
-        return []
-    except Exception:
-        spark = patterns.sparkSession
-        return sorted(r[0] for r in distinct.toLocalIterator() if not regex_compiles(spark, f"\\A(?:{r[0]})\\z" if whole else r[0]))
+def compiles(pattern: Column, whole: bool = False) -> Column:
+    """Whether a text is a pattern that Spark's ``rlike`` takes; null for null. With ``whole``, as a pattern for a
+    whole text, which an open ``\\Q`` or comment is not. Every row tries its own, in the task that holds it."""
+    text = F.concat(F.lit("\\A(?:"), pattern, F.lit(")\\z")) if whole else pattern
+    tried = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("compile"), text)
+    return F.when(pattern.isNotNull(), tried.isNotNull())

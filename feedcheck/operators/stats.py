@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -47,19 +47,33 @@ def slow_operations(timings: DataFrame, limit_ms: int = MAX_OPERATION_MS, listin
     return timings.filter(F.col("duration_ms") > limit)
 
 
+def first_rows(df: DataFrame, order: list[Column], n: int) -> DataFrame:
+    """The first ``n`` rows in an order, without a task that holds them all.
+
+    A sort ranges the rows over partitions, where each has its place. One row per
+    partition, its size, says how many rows come before it.
+    """
+    place = F.monotonically_increasing_id()
+    rows = materialise(df.orderBy(*order).withColumns({"__part": F.shiftright(place, 33), "__place": place.bitwiseAND(F.lit((1 << 33) - 1))}), "ordered")
+    sizes = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
+    # As many rows as the sort has partitions.
+    before = F.coalesce(F.sum("__size").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.withColumn("__before", before).filter(F.col("__before") < n).drop("__size")
+    return rows.join(F.broadcast(starts), "__part").filter(F.col("__before") + F.col("__place") < n).drop("__part", "__place", "__before")
+
+
 def retain(timings: DataFrame, now: Column, max_age_ms: int = MAX_AGE_MS, max_entries: int | None = None) -> DataFrame:
     """Latest value per file and operation, of the files created since the cut-off; with
     ``max_entries`` only that many files, the newest first.
 
     A file's creation is its first timing. The latest value is an aggregate, combined
-    before the shuffle. The entry limit is a top-k that ends in one task, so it is
-    for limits that one task can hold.
+    before the shuffle. The entry limit may be of any size: see :func:`first_rows`.
     """
     cutoff = F.unix_millis(now) - max_age_ms
     files = timings.groupBy("directory", "filename").agg(F.min("created_at").alias("first_at"))
     files = files.filter(F.unix_millis("first_at") >= cutoff)
     if max_entries is not None:
-        files = files.orderBy(F.col("first_at").desc(), "directory", "filename").limit(max_entries)
+        files = first_rows(files, [F.col("first_at").desc(), F.col("directory"), F.col("filename")], max_entries)
     latest = timings.groupBy("directory", "filename", "operation").agg(
         F.max(F.struct("created_at", "duration_ms")).alias("last")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
-from ..functions.text import broken_patterns, matches
+from ..functions.text import compiles, matches
 from ..session import broadcast_if_small, materialise
 
 KEYS = ["directory", "localhost"]
@@ -25,25 +25,23 @@ def _is_claimed(name: Column, regexes: Column) -> Column:
     return F.when(apart, F.exists(regexes, lambda r: matches(name, r))).otherwise(matches(name, joined))
 
 
-def _has_broken(rollup: DataFrame) -> Column | None:
-    broken = broken_patterns(rollup.select(F.explode("regexes").alias("regex")), whole=True)
-    return F.arrays_overlap("regexes", F.array(*[F.lit(p) for p in broken])) if broken else None
+def _broken_keys(rollup: DataFrame) -> DataFrame:
+    """Directories with an expression that does not compile."""
+    each = rollup.select(*KEYS, F.explode("regexes").alias("regex"))
+    return each.filter(~compiles(F.col("regex"), whole=True)).select(*KEYS).distinct()
 
 
 def broken_directories(rollup: DataFrame) -> DataFrame:
     """Rows of directories with an expression that does not compile: which of their files
     are claimed cannot be told."""
-    broken = _has_broken(rollup)
-    return rollup.limit(0) if broken is None else rollup.filter(broken)
+    return rollup.join(_broken_keys(rollup), KEYS, "left_semi")
 
 
 def _with_regexes(listing: DataFrame, rollup: DataFrame) -> DataFrame:
     """Only directories that have an expression, and whose expressions all compile: one
-    without any flags nothing. The rollup is written, as it is read three times."""
+    without any flags nothing. The rollup is written, as it is read several times."""
     known = materialise(rollup.filter(F.size("regexes") > 0), "rollup")
-    broken = _has_broken(known)
-    if broken is not None:
-        known = known.filter(~broken)
+    known = materialise(known.join(_broken_keys(known), KEYS, "left_anti"), "compiled")
     real = listing.filter(~F.col("file_name").isin(".", ".."))
     return real.join(broadcast_if_small(known), KEYS)
 

@@ -271,6 +271,13 @@ ORACLE: dict[str, str] = {
       SELECT 1 AS cycle, page_id, modified_ms FROM p WHERE modified_ms <= 20000 AND modified_ms < (SELECT top FROM held)
       UNION ALL SELECT 2, page_id, modified_ms FROM p WHERE modified_ms >= (SELECT top FROM held)
         AND (modified_ms < (SELECT top FROM t) OR (SELECT top FROM t) = (SELECT top FROM held))""",
+    "listing_cycles": f"""WITH {_PAGES},
+      p AS (SELECT page_id, page_id // 5 * 1000 AS modified_ms, size, max(page_id // 5 * 1000) OVER () AS top FROM pg WHERE file_name <> '' AND file_name NOT LIKE '.%'),
+      held AS (SELECT max(modified_ms) AS first FROM p WHERE modified_ms <= 20000), big AS (SELECT *, max(modified_ms) OVER () AS top_big FROM p WHERE size >= 3000)
+      SELECT 1 AS cycle, 1 AS version, page_id, modified_ms FROM p, held WHERE modified_ms < first
+      UNION ALL SELECT 2, 2, page_id, modified_ms FROM p, held WHERE modified_ms >= first AND modified_ms < top
+      UNION ALL SELECT 3, 3, page_id, modified_ms FROM p WHERE modified_ms = top
+      UNION ALL SELECT 4, 4, page_id, modified_ms FROM big WHERE modified_ms < top_big""",
     "listing_attributes": f"""WITH {_PAGES}
       SELECT CASE WHEN page_id % 4 = 0 THEN './' ELSE relative || '/' END AS path, file_name AS filename,
              '/landing/' || CASE WHEN page_id % 4 = 0 THEN '' ELSE relative || '/' END AS absolute_path, CAST(size AS VARCHAR) AS file_size,

@@ -20,6 +20,7 @@ from ..sources import feed as fd
 from ..sources import listing as ls
 from ..sources import sinks
 from ..sources.lines import ordered_lines, scan_lines
+from ..sources.state import ListingStore, begin_cycle
 from ..streaming.ingest import paired_arrivals as pair_arrivals
 from ..streaming.ingest import stream_lines, stream_operation_stats, validate_stream
 from . import feeds
@@ -387,6 +388,23 @@ def new_files(spark, sf):
     return out.select("cycle", "page_id", "modified_ms")
 
 
+@query
+def listing_cycles(spark, sf):
+    """Four cycles of a listing whose state is stored: some pages, all pages, all again, and all under another
+    filter, which starts anew. A cycle that is not committed is handed out again."""
+    pages = feeds.page_listing(spark, sf).withColumn("modified_ms", F.floor(F.col("page_id") / 5) * 1000)
+    pages = pages.withColumn("modified", F.timestamp_millis("modified_ms"))
+    store, now = ListingStore(spark, new_folder(spark, "state")), F.timestamp_millis(F.lit(1 << 40))
+    out = None
+    for n, (seen, least) in enumerate([(pages.filter("modified_ms <= 20000"), 0), (pages, 0), (pages, 0), (pages, 3000)], start=1):
+        begin_cycle(seen, store, "/in", now, min_size=least)
+        cycle = begin_cycle(seen, store, "/in", now, min_size=least)
+        version = cycle.commit()
+        rows = cycle.files.select(F.lit(n).alias("cycle"), F.lit(version).alias("version"), "page_id", "modified_ms")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @query
 def listing_attributes(spark, sf):
     pages = feeds.page_listing(spark, sf)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .. import codes
 from ..functions.delimited import field_at, quote_field
 from ..functions.dialect import DIALECT_COLUMNS, Dialect, dialect, with_dialects
-from ..functions.text import broken_patterns, regex_compiles
+from ..functions.text import compiles
 from ..operators import metadata as md
 from ..operators import reconcile as rc
 from ..operators import schemas as sc
@@ -78,14 +78,6 @@ class Validation:
         """False where the run's one set of schemas is unusable, so that no record is checked."""
         return self._group is None or self._group.code is None
 
-    @cached_property
-    def _bad_filters(self) -> list[str]:
-        """Count filters that do not compile."""
-        if "record_count_filter" in self.files.columns:
-            return broken_patterns(self.files.select("record_count_filter"))
-        fixed = self.settings.get("record_count_filter")
-        return [fixed] if fixed and not regex_compiles(self.files.sparkSession, fixed) else []
-
     def _patterns(self, part: str) -> list[str]:
         return sc.metadata_patterns(self.schema_table, part)
 
@@ -276,7 +268,7 @@ class Validation:
         meta_first = meta_rank.isNotNull() & (F.col("stop_rank").isNull() | (meta_rank < F.col("stop_rank")))
         v = v.withColumn("hard_code", F.when(meta_first, F.col("metadata.code")).otherwise(stop_code))
 
-        v = self._with_claim(v, code, self._bad_filters)
+        v = self._with_claim(v, code)
         no_names = F.array().cast("array<string>")
         n_masks = self._checker.n_masks
         v = v.withColumn("__names", F.coalesce(self._checker.names, no_names) if self._checks else no_names)
@@ -339,7 +331,7 @@ class Validation:
         )
         return listed.unionByName(unlisted, allowMissingColumns=True)
 
-    def _with_claim(self, v: DataFrame, code: dict, bad_filters: list[str]) -> DataFrame:
+    def _with_claim(self, v: DataFrame, code: dict) -> DataFrame:
         """Add ``claimed_text, claimed_count, count_status, count_code``."""
         null = F.lit(None).cast("string")
         actual = F.col("actual_count")
@@ -362,14 +354,15 @@ class Validation:
             .when(location.isin("footer", "header_metadata_and_footer"), rows_text(F.col("footer_rows"), sep))
             .when(location == "filename", F.col("file_name"))
         )
-        bad = F.col("record_count_filter").isin(*bad_filters) if bad_filters else F.lit(False)
+        v = v.withColumn("__bad_filter", ~compiles(F.col("record_count_filter")))
+        bad = F.coalesce("__bad_filter", F.lit(False))
         pattern = F.when(bad, F.lit("")).otherwise(F.col("record_count_filter"))
         v = v.withColumns({"__text": text, "__pattern": pattern})
         state, count = rc.claim_status(F.col("__text"), F.col("__pattern"))
         _, match = rc.claimed_text(F.col("__text"), F.col("__pattern"))
         v = v.withColumns({"__state": F.when(from_text, state), "__count": F.when(from_text, count)})
         failed = (
-            F.when(from_text & F.coalesce(bad, F.lit(False)), F.lit(code["illegal_argument"]))
+            F.when(from_text & bad, F.lit(code["illegal_argument"]))
             .when(F.col("__state") == "no_text", F.lit(code["null_pointer"]))
             .when(F.col("__state") == "not_found", F.lit(code["filter_failed"]))
             .when(F.col("__state") == "unparsed", F.lit(code["count_text"]))

@@ -6,10 +6,12 @@ from datetime import datetime
 import pytest
 from feedcheck.functions import dates
 from feedcheck.functions.schema import SchemaMissing, SchemaUnparsable, schema_from_avro_json
+from feedcheck.functions.text import compiles
 from feedcheck.operators import audit, crypt, metadata, partition, reconcile, sheets, stats, unclaimed
 from feedcheck.sources import conf as cn
 from feedcheck.sources import listing as ls
 from feedcheck.sources import sinks
+from feedcheck.sources.state import ListingStore, StateConflict, begin_cycle
 from pyspark.sql import functions as F
 
 from .feeds import avro
@@ -169,6 +171,60 @@ def test_incremental_listing(spark):
     assert names(out) == [] and state.listed == 5
 
 
+def test_stored_state(spark, folder):
+    def df(*rows):
+        rows = [(n, "", 10, t, datetime(2024, 1, 1)) for n, t in rows]
+        return spark.createDataFrame(rows, "file_name string, relative string, size long, modified_ms long, modified timestamp")
+
+    def names(cycle):
+        return sorted(r.file_name for r in cycle.files.collect())
+
+    now, store = F.lit("2024-02-01").cast("timestamp"), ListingStore(spark, f"{folder}/state")
+    rows = [("a", 1), ("b", 2)]
+    one, other = (begin_cycle(df(*rows), store, "/d", now, name_re="[ab]") for _ in range(2))
+    assert names(one) == names(other) == ["a"]
+    assert one.commit() == 1
+    with pytest.raises(StateConflict):
+        other.commit()
+    again = begin_cycle(df(*rows), store, "/d", now, name_re="[ab]")
+    assert names(again) == ["b"]
+    # Both have read version 1, and the second comes between the first one's look and its rename.
+    late = ListingStore(spark, f"{folder}/state")
+    late._versions = lambda: [1]
+    assert again.commit() == 2
+    with pytest.raises(StateConflict):
+        late.commit(again.key, 1, again.state)
+    assert names(begin_cycle(df(*rows), store, "/d", now, name_re="[ab]")) == []
+    assert names(begin_cycle(df(*rows), store, "/d", now, name_re=".*")) == ["a"]
+    assert names(begin_cycle(df(*rows), store, "/e", now, name_re="[ab]")) == ["a"]
+    assert store.reset() == 3
+    assert names(begin_cycle(df(*rows), store, "/d", now, name_re="[ab]")) == ["a"]
+    assert names(begin_cycle(df(), store, "/d", now)) == []
+
+
+def test_versions_are_pruned(spark, folder, monkeypatch):
+    monkeypatch.setattr("feedcheck.sources.state.KEPT", 3)
+    store = ListingStore(spark, f"{folder}/state")
+    for k in range(6):
+        assert store.commit("x", k, ls.ListingState(k, k)) == k + 1
+    assert store.read("x") == (6, ls.ListingState(5, 5)) and store._versions() == [3, 4, 5, 6]
+
+
+def test_first_rows(spark):
+    rows = [(k % 3, k) for k in range(1000)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(5)
+    for n in (0, 1, 333, 334, 999, 1000, 5000):
+        got = sorted((r.a, r.b) for r in stats.first_rows(df, [F.col("a").desc(), F.col("b")], n).collect())
+        assert got == sorted(sorted(rows, key=lambda r: (-r[0], r[1]))[:n])
+    assert stats.first_rows(df.limit(0), [F.col("a")], 5).count() == 0
+
+
+def test_patterns_compile(spark):
+    given = ["a.*", "((", "\\Qopen", "(?x) a # note", "", "[a", "(?<n>x)\\k<n>", None]
+    rows = spark.createDataFrame([(p,) for p in given], "p string").select("p", compiles(F.col("p")).alias("part"), compiles(F.col("p"), whole=True).alias("whole"))
+    assert [(r.part, r.whole) for r in rows.collect()] == [(True, True), (False, False), (True, False), (True, False), (True, True), (False, False), (True, True), (None, None)]
+
+
 def test_sheets(spark):
     schema = "file string, sheet int, row int, col int, type string, str string, num double, ts timestamp"
     day = datetime(1999, 11, 5)
