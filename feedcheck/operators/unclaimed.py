@@ -16,7 +16,7 @@ REPORT = [
 ]
 
 
-def _is_claimed(name: Column, regexes: Column) -> Column:
+def is_claimed(name: Column, regexes: Column) -> Column:
     """Full match of any expression. They are joined into one, which Spark compiles once
     per run of rows of a directory; expressions that refer to their own groups or set
     flags cannot be joined and are tried one by one."""
@@ -37,11 +37,15 @@ def broken_directories(rollup: DataFrame) -> DataFrame:
     return rollup.join(_broken_keys(rollup), KEYS, "left_semi")
 
 
-def _with_regexes(listing: DataFrame, rollup: DataFrame) -> DataFrame:
+def judged_directories(rollup: DataFrame) -> DataFrame:
     """Only directories that have an expression, and whose expressions all compile: one
     without any flags nothing. The rollup is written, as it is read several times."""
     known = materialise(rollup.filter(F.size("regexes") > 0), "rollup")
-    known = materialise(known.join(_broken_keys(known), KEYS, "left_anti"), "compiled")
+    return materialise(known.join(_broken_keys(known), KEYS, "left_anti"), "compiled")
+
+
+def _with_regexes(listing: DataFrame, rollup: DataFrame) -> DataFrame:
+    known = judged_directories(rollup)
     real = listing.filter(~F.col("file_name").isin(".", ".."))
     return real.join(broadcast_if_small(known), KEYS)
 
@@ -52,7 +56,7 @@ def unclaimed_files(listing: DataFrame, rollup: DataFrame) -> DataFrame:
     ``listing`` has ``directory, localhost, file_name``; ``rollup`` has one row per
     directory and host with ``regexes``.
     """
-    return _with_regexes(listing, rollup).filter(~_is_claimed(F.col("file_name"), F.col("regexes")))
+    return _with_regexes(listing, rollup).filter(~is_claimed(F.col("file_name"), F.col("regexes")))
 
 
 def claimed_files(listing: DataFrame, rollup: DataFrame) -> DataFrame:
@@ -61,11 +65,12 @@ def claimed_files(listing: DataFrame, rollup: DataFrame) -> DataFrame:
     return _with_regexes(listing, rollup).withColumn("file_regex", F.explode(hits))
 
 
-def unclaimed_report(listing: DataFrame, rollup: DataFrame, reached: DataFrame | None = None, node: str = "0") -> DataFrame:
+def unclaimed_report(listing: DataFrame, rollup: DataFrame, reached: DataFrame | None = None, node: str = "0", find=None) -> DataFrame:
     """Report rows with ``log_type_id``; a host that could not be listed, and a directory
     with an expression that does not compile, give one row whose file name is the word
-    null. ``reached`` has the directories and hosts that were listed."""
-    found = unclaimed_files(listing, rollup).withColumn("log_type_id", F.lit(codes.UNCLAIMED_LISTED))
+    null. ``reached`` has the directories and hosts that were listed; ``find`` may be
+    ``patterns.unclaimed_by_index``, for many expressions in one directory."""
+    found = (find or unclaimed_files)(listing, rollup).withColumn("log_type_id", F.lit(codes.UNCLAIMED_LISTED))
     out = found.withColumn("file_uuid", F.concat(F.lit(node + "-"), F.uuid())).select(*REPORT, "log_type_id")
 
     def one_row(rows: DataFrame, code: str) -> DataFrame:

@@ -259,6 +259,13 @@ ORACLE: dict[str, str] = {
              '231001' AS log_type_id FROM miss JOIN roll ON roll.directory = miss.directory
       UNION ALL
       SELECT 'h2', 'null', support_email_list, quarantine_directory, project, directory, port, username, private_key_path, '331004' FROM roll""",
+    "unclaimed_many": """WITH f AS (
+      SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '/in/open' ELSE '/in/orders' END AS directory, c_custkey AS k,
+             'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '_' || strftime(o_orderdate, '%Y%m%d') || '_' || o_orderkey || '.csv' AS file_name,
+             month(o_orderdate) = 1 AS january FROM orders LEFT JOIN customer ON c_custkey = o_custkey)
+      SELECT o_orderkey, directory, file_name FROM f
+      WHERE CASE WHEN directory = '/in/open' THEN coalesce(k % 8 <> 0, true)
+            ELSE NOT january AND (k IS NULL OR k % 4 = 3 OR (k % 4 = 2 AND o_orderkey % 2 = 1)) END""",
     "conf_lookup": """WITH c AS (SELECT c_custkey, c_nationkey + c_custkey % 2 * 20 AS conf_id FROM customer)
       SELECT c_custkey, conf_id, n_name, n_regionkey, CASE WHEN n_nationkey IS NULL THEN '323008' END AS conf_error
       FROM c LEFT JOIN nation ON n_nationkey = conf_id""",

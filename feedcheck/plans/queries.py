@@ -13,7 +13,7 @@ from ..functions.dialect import dialect, with_dialects
 from ..functions.schema import schema_from_avro_json
 from ..operators import audit as au
 from ..operators import config as cf
-from ..operators import crypt, framing, metadata, partition, reconcile, sheets, stats, unclaimed, validate
+from ..operators import crypt, framing, metadata, partition, patterns, reconcile, sheets, stats, unclaimed, validate
 from ..session import broadcast_if_small, new_folder
 from ..sources import conf as cn
 from ..sources import feed as fd
@@ -355,6 +355,33 @@ def unclaimed_report(spark, sf):
     return out.drop("file_uuid")
 
 
+@query
+def unclaimed_many(spark, sf):
+    """Orders as files of two directories, with an expression for most customers: a third of them names the customer
+    outright, a third among alternatives, a third after leading zeros and for even orders only; one has no text."""
+    key = F.col("c_custkey").cast("string")
+    name = F.concat(F.lit("Customer#"), F.lpad(key, 9, "0"))
+    regex = (
+        F.when(F.col("c_custkey") % 4 == 0, F.concat(name, F.lit("_.*\\.csv")))
+        .when(F.col("c_custkey") % 4 == 1, F.concat(F.lit("(?:kunde-"), key, F.lit("|"), name, F.lit(")_[0-9]{8}_\\d+\\.(csv|txt)")))
+        .when(F.col("c_custkey") % 4 == 2, F.concat(F.lit(".*#0*"), key, F.lit("_.*[02468]\\.csv")))
+    )
+    rules = feeds.table(spark, sf, "customer").select("c_custkey", regex.alias("file_regex")).filter("file_regex is not null")
+    any_january = spark.range(1).select(F.lit("/in/orders").alias("directory"), F.lit("[^_]+_[0-9]{4}01[0-9]{2}_.+").alias("file_regex"))
+    conf = rules.select(F.lit("/in/orders").alias("directory"), "file_regex").unionByName(any_january)
+    conf = conf.unionByName(rules.filter("c_custkey % 8 = 0").select(F.lit("/in/open").alias("directory"), "file_regex"))
+    fixed = {"hostname": "h1", "port": "22", "username": "u", "private_key_path": "/k", "quarantine_directory": "/q", "support_email_list": "a@b", "project": "p"}
+    rollup = cn.explode_hosts(cn.directory_rollup(conf.withColumns({c: F.lit(v) for c, v in fixed.items()})))
+    owner = F.lpad(F.col("o_custkey").cast("string"), 9, "0")
+    files = feeds.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.lit("/in/open")).otherwise(F.lit("/in/orders")).alias("directory"),
+        F.lit("h1").alias("localhost"),
+        F.concat(F.lit("Customer#"), owner, F.lit("_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file_name"),
+    )
+    return patterns.unclaimed_by_index(files, rollup).select("o_orderkey", "directory", "file_name")
+
+
 @query
 def conf_lookup(spark, sf):
     """Customers with their nation's configuration row, missing for some."""
