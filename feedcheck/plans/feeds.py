@@ -224,3 +224,24 @@ def event_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("created_at"),
         "event_id",
     )
+
+
+UNTYPED_PATTERNS = [("date", "yyyy-MM-dd"), ("date", "dd/MM/yyyy")]
+
+
+def untyped_order_feed(spark: SparkSession, sf_dir: str) -> LineSource:
+    """Orders as one file per month that names its columns but not their types. The month decides whether keys pass
+    32 bits, prices have decimals or a word among them, dates follow one pattern or two, and notes are missing."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    key, m = F.col("o_orderkey"), F.year("o_orderdate") * 12 + F.month("o_orderdate")
+    number = (key + F.when(m % 4 == 0, F.lit(3_000_000_000)).otherwise(F.lit(0))).cast("string")
+    price = F.concat(key.cast("string"), F.when(m % 3 == 0, F.lit("")).otherwise(F.lit(".25")))
+    price = F.when((m % 6 == 1) & (key % 7 == 0), F.lit("none")).otherwise(price)
+    iso, plain = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "dd/MM/yyyy")
+    day = F.when((m % 2 == 0) != ((m % 7 == 0) & (key % 3 == 0)), iso).otherwise(plain)
+    mark = F.when((m % 5 == 0) & (key % 4 == 0), F.lit("yes")).when(key % 2 == 0, F.lit("true")).otherwise(F.lit("FALSE"))
+    note = F.when((m % 3 == 1) | (m % 3 == 2) & (key % 5 == 0), F.lit("")).otherwise(F.col("o_orderpriority"))
+    file_key = F.concat(F.lit("orders_"), F.date_format("o_orderdate", "yyyyMM"))
+    lines = o.select(file_key.alias("file_key"), key.cast("bigint").alias("ord"), F.concat_ws("|", number, price, day, mark, note).alias("line"))
+    names = lines.select("file_key").distinct().select("file_key", F.lit(-1).cast("bigint").alias("ord"), F.lit("key|price|day|mark|note").alias("line"))
+    return ordered_lines(lines.unionByName(names), "file_key", "ord", "line", blanks=False)

@@ -341,6 +341,23 @@ ORACLE: dict[str, str] = {
       v AS (SELECT *, CASE WHEN k % 3 = 0 THEN '325206' WHEN k % 5 = 0 THEN '325208' ELSE '225204' END AS code FROM n)
       SELECT 'nation_' || k AS file_key, CASE WHEN code = '225204' THEN 'success' ELSE 'failure' END AS status, code, n AS actual_record_count,
              n + CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END AS claimed_count, CASE WHEN k % 5 = 0 THEN 'c_custkey' ELSE '' END AS invalid_fields FROM v""",
+    "inferred_schema": """WITH o AS (
+      SELECT 'orders_' || strftime(o_orderdate, '%Y%m') AS file_key, o_orderkey AS key, year(o_orderdate) * 12 + month(o_orderdate) AS m, o_orderpriority FROM orders),
+      c AS (
+        SELECT file_key, 0 AS position, 'key' AS field_name, CAST(key + CASE WHEN m % 4 = 0 THEN 3000000000 ELSE 0 END AS VARCHAR) AS v, false AS iso FROM o
+        UNION ALL SELECT file_key, 1, 'price', CASE WHEN m % 6 = 1 AND key % 7 = 0 THEN 'none' WHEN m % 3 = 0 THEN CAST(key AS VARCHAR) ELSE key || '.25' END, false FROM o
+        UNION ALL SELECT file_key, 2, 'day', 'd', (m % 2 = 0) <> (m % 7 = 0 AND key % 3 = 0) FROM o
+        UNION ALL SELECT file_key, 3, 'mark', CASE WHEN m % 5 = 0 AND key % 4 = 0 THEN 'yes' ELSE 'true' END, false FROM o
+        UNION ALL SELECT file_key, 4, 'note', CASE WHEN m % 3 = 0 OR (m % 3 = 2 AND key % 5 <> 0) THEN o_orderpriority END, false FROM o),
+      g AS (SELECT file_key, position, field_name, count(v) AS n_values, count(*) AS n,
+              CASE WHEN position = 2 AND bool_and(iso) THEN 'yyyy-MM-dd' WHEN position = 2 AND NOT bool_or(iso) THEN 'dd/MM/yyyy' END AS pattern,
+              bool_and(TRY_CAST(v AS INTEGER) IS NOT NULL AND v NOT LIKE '%.%') AS i, bool_and(TRY_CAST(v AS BIGINT) IS NOT NULL AND v NOT LIKE '%.%') AS l,
+              bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL) AS d, bool_and(v = 'true') AS b FROM c GROUP BY file_key, position, field_name)
+      SELECT file_key, CAST(position AS INTEGER) AS position, field_name, pattern, n_values, n_values < n AS nullable, CASE WHEN pattern IS NOT NULL THEN 'date' END AS logical,
+             CASE WHEN n_values = 0 THEN 'string' WHEN i THEN 'int' WHEN l THEN 'long' WHEN d THEN 'double' WHEN b THEN 'boolean'
+                  WHEN pattern IS NOT NULL THEN 'long' ELSE 'string' END AS type FROM g""",
+    "inferred_verdicts": """SELECT 'orders_' || strftime(o_orderdate, '%Y%m') AS file_key, 'success' AS status, '225304' AS code, count(*) AS actual_record_count,
+             '' AS missing_fields, '' AS invalid_fields, count(*) AS n_lines FROM orders GROUP BY 1""",
     "many_schemas": """WITH o AS (SELECT o_custkey AS c, o_orderkey AS k, o_orderkey % 4 = 0 AS bare,
         o_orderkey || '|' || CASE WHEN o_custkey % 3 = 0 THEN CAST(CAST(o_orderkey AS DOUBLE) + 0.25 AS VARCHAR) ELSE o_orderkey || '.25' END || '|'
           || epoch_ms(date_trunc('day', o_orderdate)) || '|' || CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE o_orderpriority END AS line FROM orders),

@@ -13,7 +13,7 @@ from ..functions.dialect import dialect, with_dialects
 from ..functions.schema import schema_from_avro_json
 from ..operators import audit as au
 from ..operators import config as cf
-from ..operators import crypt, framing, metadata, partition, patterns, reconcile, sheets, stats, unclaimed, validate
+from ..operators import crypt, framing, infer, metadata, partition, patterns, reconcile, sheets, stats, unclaimed, validate
 from ..session import broadcast_if_small, new_folder
 from ..sources import conf as cn
 from ..sources import feed as fd
@@ -713,6 +713,25 @@ def many_schemas(spark, sf):
     return shown.join(lines, "file_key", "left")
 
 
+@query
+def inferred_schema(spark, sf):
+    """Columns of the monthly order files, typed from their values."""
+    return infer.infer_schema(feeds.untyped_order_feed(spark, sf), feeds.DIALECT, feeds.UNTYPED_PATTERNS)
+
+
+@query
+def inferred_verdicts(spark, sf):
+    """The monthly order files validated by the schemas inferred from them, two fields written."""
+    src = feeds.untyped_order_feed(spark, sf)
+    files = infer.schema_texts(infer.infer_schema(src, feeds.DIALECT, feeds.UNTYPED_PATTERNS))
+    target = feeds.avro_schema("t", ("key", "string"), ("day", "string"))
+    plain = {"header_record_count": "1", "footer_record_count": "0", "record_count_location": "none", "add_file_and_record_id": "0"}
+    settings = {k: v for k, v in feeds.event_settings(**plain).items() if not k.endswith("table_schema")}
+    run = validate_files(src, files, "data_only", settings=settings | {"insert_table_schema": target}, dialect=feeds.DIALECT)
+    lines = run.success_lines().groupBy("file_key").agg(F.count(F.lit(1)).alias("n_lines"))
+    return run.decided.select("file_key", "status", "code", "actual_record_count", *_joined("missing_fields", "invalid_fields")).join(lines, "file_key", "left")
+
+
 @query
 def routed_files(spark, sf):
     """One landed file per nation: listed as it is, under another spelling, twice, under a name that is not there,
