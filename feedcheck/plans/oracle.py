@@ -311,6 +311,12 @@ ORACLE: dict[str, str] = {
       r AS (SELECT tm.*, row_number() OVER (PARTITION BY directory, filename, operation ORDER BY created_at DESC, duration_ms DESC) AS k FROM tm)
       SELECT r.directory, r.filename, operation, duration_ms, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at
       FROM r JOIN f ON f.directory = r.directory AND f.filename = r.filename WHERE k = 1""",
+    "streamed_retention": f"""WITH {_TIMINGS}, f AS (
+      SELECT directory, filename, min(created_at) AS first_at FROM tm GROUP BY directory, filename
+      HAVING min(created_at) >= (SELECT date_trunc('milliseconds', max(created_at)) - INTERVAL 1 HOUR - INTERVAL 20 DAY FROM tm)),
+      r AS (SELECT tm.*, row_number() OVER (PARTITION BY directory, filename, operation ORDER BY created_at DESC, duration_ms DESC) AS k FROM tm)
+      SELECT r.directory, r.filename, operation, duration_ms, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, strftime(first_at, '%Y-%m-%d %H:%M:%S') AS first_at
+      FROM r JOIN f ON f.directory = r.directory AND f.filename = r.filename WHERE k = 1""",
     "cells_to_lines": """WITH p AS (
       SELECT p_partkey, p_brand, replace(p_name, ' ', '|') AS nm, p_size, p_type,
              strftime(make_timestamp((1600000000 + p_partkey * 3600) * 1000000), '%Y%m%d%H%M%S') AS dt FROM part WHERE p_brand <> 'Brand#3')

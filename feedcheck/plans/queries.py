@@ -23,6 +23,7 @@ from ..sources.lines import ordered_lines, scan_lines
 from ..sources.state import ListingStore, begin_cycle
 from ..streaming.ingest import paired_arrivals as pair_arrivals
 from ..streaming.ingest import stream_lines, stream_operation_stats, validate_stream
+from ..streaming.retention import retained, stream_retain, write_retained
 from . import feeds
 from .validation import Validation, validate_files
 
@@ -932,3 +933,17 @@ def windowed_timings(spark, sf):
     return back.select(
         F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "operation", "n", "min_ms", "max_ms", F.round("mean_ms", 6).alias("mean_ms")
     )
+
+
+@query
+def streamed_retention(spark, sf):
+    """Timings that arrive in three batches by time; files whose first timing is more than 20 days behind the
+    watermark have left."""
+    timings, folder = feeds.event_timings(spark, sf).drop("event_id"), new_folder(spark, "retention")
+    third = F.least(F.floor((F.dayofmonth("created_at") - 1) / 10), F.lit(2))
+    for n in range(3):
+        timings.filter(third == n).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(timings.schema).parquet(f"{folder}/in")
+        write_retained(stream_retain(stream, 20 * 86_400_000, "1 hour"), f"{folder}/out", availableNow=True).awaitTermination()
+    out = retained(spark, f"{folder}/out")
+    return out.select("directory", "filename", "operation", "duration_ms", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in ("created_at", "first_at")])
