@@ -389,6 +389,9 @@ ORACLE: dict[str, str] = {
     "named_feed": "SELECT c_custkey, c_name, c_acctbal, 'int,string,double' AS types FROM customer",
     "landed_files": """SELECT 'nation_' || c_nationkey AS file_key, CAST(sum(length(CAST(c_custkey AS VARCHAR)) + length(c_name) + 2) AS BIGINT) AS bytes
       FROM customer GROUP BY 1""",
+    "walked_files": """SELECT CASE c_nationkey % 3 WHEN 0 THEN 'seen' ELSE '.kept/_old' END AS place, 'nation_' || c_nationkey AS file_key,
+             CAST(sum(length(CAST(c_custkey AS VARCHAR)) + length(c_name) + 2) AS BIGINT) AS bytes
+      FROM customer WHERE c_nationkey % 3 <> 2 GROUP BY 1, 2""",
     "conf_rows": f"""WITH {_PAGES}, {_CONF}
       SELECT directory, file_regex, username, 'ops@x.org,' || team AS support_email_list FROM conf WHERE project = 'odd'""",
     "extracted_metadata": """SELECT o_orderkey, 'f' || o_orderkey AS file_name, CAST(NULL AS BIGINT) AS sequence_number, CAST(NULL AS BIGINT) AS file_size,

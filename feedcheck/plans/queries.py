@@ -21,6 +21,7 @@ from ..sources import listing as ls
 from ..sources import sinks
 from ..sources.lines import ordered_lines, scan_lines
 from ..sources.state import ListingStore, begin_cycle
+from ..sources.walk import walked_files as walk_files
 from ..streaming.ingest import paired_arrivals as pair_arrivals
 from ..streaming.ingest import stream_lines, stream_operation_stats, validate_stream
 from ..streaming.retention import retained, stream_retain, write_retained
@@ -826,6 +827,21 @@ def landed_files(spark, sf):
     return found.groupBy(F.regexp_extract("folder", "file_key=(.*)\\z", 1).alias("file_key")).agg(F.sum("size").alias("bytes"))
 
 
+@query
+def walked_files(spark, sf):
+    """Customers written by nation into a plain folder, a hidden one and one that is not entered, and listed level by
+    level: bytes per nation."""
+    folder = new_folder(spark, "walked")
+    c = feeds.table(spark, sf, "customer")
+    key = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
+    lines = c.select("c_nationkey", key.alias("file_key"), F.concat_ws("|", F.col("c_custkey").cast("string"), "c_name").alias("line"))
+    for n, place in enumerate(("seen", ".kept/_old", ".skipped")):
+        sinks.write_lines(lines.filter(F.col("c_nationkey") % 3 == n).drop("c_nationkey"), f"{folder}/{place}")
+    found = walk_files(spark, folder, enter="(?!\\.skipped).*").filter(F.col("file_name").rlike("\\A(?:part-.*\\.txt)\\z"))
+    parts = F.split("relative", "/file_key=")
+    return found.groupBy(parts[0].alias("place"), parts[1].alias("file_key")).agg(F.sum("size").alias("bytes"))
+
+
 @query
 def conf_rows(spark, sf):
     """The configuration table read with its project predicate pushed down."""
