@@ -72,45 +72,111 @@ def parse_strict(col: Column, pattern: str) -> Column:
 
 # Larger parts lead beyond the years that a timestamp holds: months, days, and the clock's seconds.
 _LARGEST = {"month": 1_000_000, "day": 50_000_000, "second": 1_000_000_000_000}
-_NUMERIC = {"y": "year", "M": "month", "d": "day", "H": "hour", "m": "minute", "s": "second", "S": "milli"}
+_NUMERIC = {"y": "year", "M": "month", "d": "day", "D": "day", "H": "hour", "k": "hour", "h": "hour", "K": "hour", "m": "minute", "s": "second", "S": "milli"}
+_WORDS = {"a": "half", "E": "weekday", "z": "zone", "Z": "zone", "X": "zone"}
 
+# English names, of which the first three letters tell them apart.
+_MONTHS = "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sep(?:tember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+_MONTH_ORDER = "janfebmaraprmayjunjulaugsepoctnovdec"
+_WEEKDAYS = "mon(?:day)?|tue(?:sday)?|wed(?:nesday)?|thu(?:rsday)?|fri(?:day)?|sat(?:urday)?|sun(?:day)?"
+_NAMED_ZONE = "(?:UTC|GMT)(?:[+-][0-9]{1,2}:[0-9]{2})?|[+-][0-9]{4}"
+_ISO_ZONE = {1: "Z|[+-][0-9]{2}", 2: "Z|[+-][0-9]{4}", 3: "Z|[+-][0-9]{2}:[0-9]{2}"}
 
-def parse_lenient(col: Column, pattern: str) -> Column:
-    """Parse with roll-over: month 13 is January of the next year, day 32 the first of
-    the next month, and text after the last field is ignored.
 
-    Works for patterns of plain number fields; others use the strict parser.
-    """
-    runs = _runs(pattern)
-    letters = [t[0] for t, literal in runs if not literal]
-    plain = all(c in _NUMERIC for c in letters) and len(set(letters)) == len(letters)
-    if not plain or any(t[0] == "M" and len(t) > 2 for t, literal in runs if not literal) or "y" not in letters:
-        return parse_strict(col, pattern)
-    regex, groups = "\\A[ \\t]*", []
+def _lenient_regex(runs: list[tuple[str, bool]]) -> tuple[str, dict[str, str]] | None:
+    """Regular expression of a text under a pattern, and the pattern's run for each part, in the order of
+    groups; none if the pattern has letters or combinations that are read strictly."""
+    regex, found = "\\A[ \\t]*", {}
     for i, (text, literal) in enumerate(runs):
         if literal:
             regex += re.escape(text)
             continue
-        abuts = i + 1 < len(runs) and not runs[i + 1][1]
-        regex += f"([0-9]{{{len(text)}}})" if abuts else "([0-9]+)"
-        groups.append(text)
+        letter, n = text[0], len(text)
+        part = _NUMERIC.get(letter) or _WORDS.get(letter)
+        if part is None or part in found or (letter == "X" and n > 3):
+            return None
+        found[part] = text
+        if letter == "M" and n > 2:
+            regex += f"((?i:{_MONTHS}))"
+        elif letter == "a":
+            regex += "((?i:am|pm))"
+        elif letter == "E":
+            regex += f"((?i:{_WEEKDAYS}))"
+        elif part == "zone":
+            regex += f"((?i:{_ISO_ZONE[n] if letter == 'X' else _NAMED_ZONE}))"
+        else:
+            abuts = i + 1 < len(runs) and not runs[i + 1][1] and runs[i + 1][0][0] in _NUMERIC
+            regex += f"([0-9]{{{n}}})" if abuts and not (runs[i + 1][0][0] == "M" and len(runs[i + 1][0]) > 2) else "([0-9]+)"
+    if "year" not in found or ("month" in found and found.get("day", "d")[0] == "D"):
+        return None
+    return regex, found
+
+
+def _offset(zone: Column) -> Column:
+    """Seconds east of Greenwich; null where hours pass 23 or minutes 59."""
+    digits = F.regexp_replace(zone, "[^0-9]", "")
+    digits = F.lpad(F.when(F.length(digits) == 2, F.concat(digits, F.lit("00"))).otherwise(digits), 4, "0")
+    hours, minutes = F.substring(digits, 1, 2).cast("int"), F.substring(digits, 3, 2).cast("int")
+    return F.when((hours < 24) & (minutes < 60), F.when(F.contains(zone, F.lit("-")), -1).otherwise(1) * (hours * 3600 + minutes * 60))
+
+
+def _hour(value: Column, letter: str, half: Column | None) -> Column:
+    """Hours since midnight: clocks that start at 1 have no 0, and 12-hour ones go by the half of the day."""
+    if letter in "hk":
+        top = 12 if letter == "h" else 24
+        value = F.when(value == top, F.lit(0)).otherwise(value)
+    if letter in "hK" and half is not None:
+        value = value + F.when(F.lower(half) == "pm", F.lit(12)).otherwise(F.lit(0))
+    return value
+
+
+def parse_lenient(col: Column, pattern: str) -> Column:
+    """Parse with roll-over: month 13 is January of the next year, day 32 the first of
+    the next month, hour 25 one o'clock of the next day; text after the last field is ignored.
+
+    Takes number fields, English names of months (short or long, in any case), 12-hour and 24-hour clocks, days of the
+    year and zones as offsets, ``UTC`` or ``GMT``. A weekday is only checked to be one. Patterns with other
+    letters, with a part twice or without a year use the strict parser.
+    """
+    known = _lenient_regex(_runs(pattern))
+    if known is None:
+        return parse_strict(col, pattern)
+    regex, found = known
+    # One run of the expression: all parts in one text, null where it does not match.
+    joined = F.regexp_replace(F.regexp_substr(col, F.lit(regex)), F.lit(regex), F.lit("\x01".join(f"${n}" for n in range(1, len(found) + 1))))
+    # Bound to a name, so that Spark does not run it again for every part.
+    return F.get(F.transform(F.array(F.split(joined, "\x01")), lambda texts: _rolled(texts, found)), F.lit(0))
+
+
+def _rolled(texts: Column, found: dict[str, str]) -> Column:
+    """Timestamp of the texts of a pattern's parts."""
     part = {}
-    for n, text in enumerate(groups, start=1):
-        name = _NUMERIC[text[0]]
-        value = F.regexp_extract(col, regex, n).try_cast("bigint")
-        value = F.when(value < _LARGEST.get(name, _LARGEST["second"]), value)
-        part[name] = value + F.lit(2000) if text == "yy" else value
+    for n, (name, text) in enumerate(found.items()):
+        value = F.get(texts, F.lit(n))
+        if text[0] in _WORDS:
+            part[name] = value
+        elif text[0] == "M" and len(text) > 2:
+            part[name] = ((F.position(F.lower(F.left(value, F.lit(3))), F.lit(_MONTH_ORDER)) + 2) / 3).cast("bigint")
+        else:
+            number = value.try_cast("bigint")
+            number = F.when(number < _LARGEST.get(name, _LARGEST["second"]), number)
+            part[name] = number + F.lit(2000) if text == "yy" else number
     zero = F.lit(0)
     start = F.when(part["year"].between(1, 9999), F.make_date(F.when(part["year"].between(1, 9999), part["year"]).cast("int"), F.lit(1), F.lit(1)))
     # Calendar parts move the date, clock parts the time of day, both without a zone; the
     # zone comes last, so a change of clocks in between does not shift the result.
     day = F.date_add(F.add_months(start, (part.get("month", F.lit(1)) - 1).cast("int")), (part.get("day", F.lit(1)) - 1).cast("int"))
-    seconds = part.get("hour", zero) * 3600 + part.get("minute", zero) * 60 + part.get("second", zero)
+    hour = _hour(part["hour"], found["hour"][0], part.get("half")) if "hour" in part else zero
+    seconds = hour * 3600 + part.get("minute", zero) * 60 + part.get("second", zero)
     seconds = F.when(seconds < _LARGEST["second"], seconds)
+    milli = part.get("milli", zero)
+    if "zone" in part:
+        days = F.date_diff(day, F.lit("1970-01-01").cast("date")).cast("bigint")
+        return F.timestamp_millis((days * 86_400 + seconds - _offset(part["zone"])) * 1000 + milli)
     stamp = day.cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds.cast("decimal(18,6)"))
     if "milli" in part:
-        stamp = stamp + F.make_dt_interval(zero, zero, zero, (part["milli"] / F.lit(1000)).cast("decimal(18,6)"))
-    return F.when(col.rlike(regex), stamp.cast("timestamp"))
+        stamp = stamp + F.make_dt_interval(zero, zero, zero, (milli / F.lit(1000)).cast("decimal(18,6)"))
+    return stamp.cast("timestamp")
 
 
 def parse_date(col: Column, pattern: str, lenient: bool = False) -> Column:

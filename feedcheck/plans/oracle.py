@@ -234,6 +234,13 @@ ORACLE: dict[str, str] = {
                + to_days(CAST(substr(f5, 7, 2) AS INTEGER) - 1) + to_hours(CAST(substr(f5, 9, 2) AS INTEGER))
                + to_minutes(CAST(substr(f5, 11, 2) AS INTEGER)) + to_seconds(CAST(substr(f5, 13, 2) AS INTEGER)), '%Y%m%d%H%M%S') AS rolled
       FROM dat""",
+    "lenient_text_dates": """WITH t AS (SELECT o_orderkey AS k, CAST(o_orderdate AS TIMESTAMP) AS d FROM orders)
+      SELECT k AS o_orderkey, (day(d) + CASE WHEN k % 5 = 0 THEN 31 ELSE 0 END) || '-' || CASE WHEN k % 11 = 0 THEN 'XXX' WHEN k % 2 = 0 THEN upper(strftime(d, '%b')) ELSE strftime(d, '%B') END
+               || '-' || year(d) || ' ' || lpad(CAST(k % 14 AS VARCHAR), 2, '0') || ':' || lpad(CAST(k % 90 AS VARCHAR), 2, '0') || CASE WHEN k % 4 < 2 THEN ' am ' ELSE ' PM ' END
+               || CASE k % 3 WHEN 0 THEN '+01:00' WHEN 1 THEN 'Z' ELSE '-05:30' END AS source_text,
+             CASE WHEN k % 11 <> 0 THEN epoch_ms(date_trunc('day', d)) + 60000 * (CASE WHEN k % 5 = 0 THEN 31 * 1440 ELSE 0 END
+               + 60 * ((CASE WHEN k % 14 = 12 THEN 0 ELSE k % 14 END) + CASE WHEN k % 4 < 2 THEN 0 ELSE 12 END) + k % 90
+               - CASE k % 3 WHEN 0 THEN 60 WHEN 1 THEN 0 ELSE -330 END) END AS epoch_ms FROM t""",
     "manifest_dates": """WITH t AS (
       SELECT o_orderkey, o_orderdate, o_orderkey % 10 = 0 AS bad FROM orders)
       SELECT o_orderkey, CASE WHEN bad THEN '[31-XXX-20],[00:00:00]' ELSE '[' || strftime(o_orderdate, '%d-%b-%y') || '],[21:07:56]' END AS source_text,

@@ -276,6 +276,20 @@ def lenient_dates(spark, sf):
     return df.select("event_id", F.date_format(dates.parse_lenient(F.col("f5"), "yyyyMMddHHmmss"), "yyyyMMddHHmmss").alias("rolled"))
 
 
+@query
+def lenient_text_dates(spark, sf):
+    """Order dates with names of months, a 12-hour clock and a zone, read with roll-over: days up to 62, hours up to
+    13, minutes up to 89; some names are none."""
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("timestamp")
+    number = F.dayofmonth(day) + F.when(k % 5 == 0, 31).otherwise(0)
+    month = F.when(k % 11 == 0, F.lit("XXX")).when(k % 2 == 0, F.upper(F.date_format(day, "MMM"))).otherwise(F.date_format(day, "MMMM"))
+    clock = F.concat(F.lpad((k % 14).cast("string"), 2, "0"), F.lit(":"), F.lpad((k % 90).cast("string"), 2, "0"), F.when(k % 4 < 2, F.lit(" am")).otherwise(F.lit(" PM")))
+    zone = F.when(k % 3 == 0, F.lit("+01:00")).when(k % 3 == 1, F.lit("Z")).otherwise(F.lit("-05:30"))
+    text = F.concat_ws(" ", F.concat_ws("-", number.cast("string"), month, F.year(day).cast("string")), clock, zone)
+    o = feeds.table(spark, sf, "orders").select("o_orderkey", text.alias("source_text"))
+    return o.withColumn("epoch_ms", dates.to_epoch_millis(F.col("source_text"), "dd-MMM-yyyy hh:mm a XXX", lenient=True))
+
+
 @query
 def manifest_dates(spark, sf):
     """Order dates written in a bracketed pattern and brought to one form."""
