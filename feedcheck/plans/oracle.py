@@ -399,6 +399,11 @@ ORACLE: dict[str, str] = {
     "walked_files": """SELECT CASE c_nationkey % 3 WHEN 0 THEN 'seen' ELSE '.kept/_old' END AS place, 'nation_' || c_nationkey AS file_key,
              CAST(sum(length(CAST(c_custkey AS VARCHAR)) + length(c_name) + 2) AS BIGINT) AS bytes
       FROM customer WHERE c_nationkey % 3 <> 2 GROUP BY 1, 2""",
+    "content_blocks": """WITH t AS (SELECT doc_id AS k, coalesce(text, '') AS x, strlen(coalesce(text, '')) AS b FROM documents),
+      n AS (SELECT *, greatest((b + 255) // 256, 1) AS n FROM t),
+      lost AS (SELECT k FROM n WHERE k % 17 = 0 AND (k % 11 <> 0 OR n > 1))
+      SELECT k AS doc_id, n AS n_blocks, b AS n_bytes, CASE WHEN n = 1 THEN md5(x) END AS text_md5 FROM n
+      WHERE k % 10 <> 0 AND k % 11 <> 0 AND k % 13 <> 0 AND k % 17 <> 0 AND k % 19 <> 0 AND k - 1 NOT IN (SELECT k FROM lost)""",
     "conf_rows": f"""WITH {_PAGES}, {_CONF}
       SELECT directory, file_regex, username, 'ops@x.org,' || team AS support_email_list FROM conf WHERE project = 'odd'""",
     "extracted_metadata": """SELECT o_orderkey, 'f' || o_orderkey AS file_name, CAST(NULL AS BIGINT) AS sequence_number, CAST(NULL AS BIGINT) AS file_size,

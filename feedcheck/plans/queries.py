@@ -13,7 +13,7 @@ from ..functions.dialect import dialect, with_dialects
 from ..functions.schema import schema_from_avro_json
 from ..operators import audit as au
 from ..operators import config as cf
-from ..operators import crypt, framing, infer, metadata, partition, patterns, reconcile, sheets, stats, unclaimed, validate
+from ..operators import blocks, crypt, framing, infer, metadata, partition, patterns, reconcile, sheets, stats, unclaimed, validate
 from ..session import broadcast_if_small, new_folder
 from ..sources import conf as cn
 from ..sources import feed as fd
@@ -808,6 +808,26 @@ def typed_values(spark, sf):
     return lenient.drop("line").join(strict, ["o_orderkey", "kind"])
 
 
+@query
+def content_blocks(spark, sf):
+    """Document texts sealed in blocks of 256 bytes, and opened after some were damaged: blocks moved, the last block
+    lost, a block of another text put in, opened with another passphrase, or without one."""
+    d, k = feeds.table(spark, sf, "documents").select("doc_id", "text", "lang"), F.col("doc_id")
+    keys = d.select(k.alias("file_id"), F.concat(F.lit("pass "), F.coalesce("lang", F.lit("none"))).alias("passphrase"))
+    cut = blocks.cut_blocks(d.withColumn("body", F.col("text").cast("binary")), "doc_id", "body", 256)
+    sealed = blocks.encrypt_blocks(cut, keys, iterations=1000)
+    n = F.col("file_id").cast("bigint")
+    sealed = sealed.filter(~((n % 11 == 0) & F.col("is_last")))
+    moved = F.when((n % 10 == 0) & (F.col("block_no") < 2), 1 - F.col("block_no")).otherwise(F.col("block_no"))
+    owner = F.when(n % 17 == 0, (n + 1).cast("string")).otherwise(F.col("file_id"))
+    sealed = sealed.withColumns({"block_no": moved, "file_id": owner})
+    other = F.when(F.col("file_id") % 13 == 0, F.lit("other")).when(F.col("file_id") % 19 == 0, F.lit("")).otherwise(F.col("passphrase"))
+    opened = blocks.decrypt_blocks(sealed, keys.withColumn("passphrase", other))
+    whole = blocks.whole_files(opened).filter("whole").select(F.col("file_id").cast("bigint").alias("doc_id"), "n_blocks", "n_bytes")
+    short = opened.filter("is_last and block_no = 0").select(F.col("file_id").cast("bigint").alias("doc_id"), F.md5("content").alias("text_md5"))
+    return whole.join(short, "doc_id", "left")
+
+
 @query
 def passphrase_spellings(spark, sf):
     """Documents encrypted with a passphrase in one spelling of its accent and decrypted with the other."""

@@ -32,6 +32,17 @@ def _mounted(path: str) -> str | None:
     return None if "://" in path else path
 
 
+def open_bytes(path: str):
+    """A file opened for reading with seeks, where it is mounted or in a store that Arrow reads."""
+    own = _mounted(path)
+    if own is not None:
+        return open(own, "rb")
+    from pyarrow import fs
+
+    store, inner = fs.FileSystem.from_uri(path)
+    return store.open_input_file(inner)
+
+
 def _entry(name: str, info: os.stat_result | None, error: str | None) -> tuple:
     """``file_name, kind, size, modified_us, error`` of a name in a folder."""
     if info is None:
