@@ -415,6 +415,13 @@ ORACLE: dict[str, str] = {
       CASE c_custkey % 6 WHEN 2 THEN '325323' WHEN 3 THEN '325323' WHEN 4 THEN '325334' END AS metadata_setting_code FROM customer""",
     "audit_events": f"""WITH {_EV}
       SELECT CAST(dom % 3 AS VARCHAR) AS conf_id, 'node-' || substr(file_key, 8, 8) AS file_uuid, file_key AS file_name, code AS log_type_id FROM verdict""",
+    "debug_audit": f"""WITH {_EV}, {_MANIFEST},
+      e AS (SELECT file_key, dom, rid, concat_ws('; ', CASE WHEN no_time THEN 'MISSING_FIELD event_time' END, CASE WHEN bad_user THEN 'INVALID_FIELD user_id' END,
+              CASE WHEN has_extra THEN 'EXTRA_FIELD unknown_field_index_5' END) AS why FROM dat WHERE bad_user OR no_time OR has_extra),
+      r AS (SELECT *, row_number() OVER (PARTITION BY file_key ORDER BY o_orderkey) AS rid FROM m)
+      SELECT CAST(dom % 3 AS VARCHAR) AS conf_id, 'node-' || substr(file_key, 8, 8) AS file_uuid, file_key AS file_name, '325313' AS log_type_id,
+             'record ' || rid || ' is invalid: ' || why AS log_message FROM e
+      UNION ALL SELECT '7', ym, file_key, '125000', 'record ' || rid || ': field customer is not known, its value is ' || o_custkey FROM r""",
     "streamed_files": f"""WITH {_EV}
       SELECT substr(file_key, 8, 8) AS day, count(*) AS n_records, count(*) AS n_routed FROM dat GROUP BY 1""",
     "paired_arrivals": """WITH e AS (SELECT o_orderkey AS k, o_orderkey % 100 AS claimed_count FROM orders WHERE o_orderkey % 11 <> 0),

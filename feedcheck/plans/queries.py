@@ -917,6 +917,13 @@ def audit_events(spark, sf):
     return _feed(spark, sf).audit("INFO").select("conf_id", "file_uuid", "file_name", "log_type_id")
 
 
+@query
+def debug_audit(spark, sf):
+    """Audit rows of single records of the daily files and the manifests, without id and time."""
+    rows = _feed(spark, sf).record_audit().unionByName(_manifests(spark, sf).record_audit())
+    return rows.select("conf_id", "file_uuid", "file_name", "log_type_id", "log_message")
+
+
 # ---- streams -----------------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ from ..operators import metadata as md
 from ..operators import reconcile as rc
 from ..operators import schemas as sc
 from ..operators import validate as va
-from ..operators.audit import audit_rows
+from ..operators.audit import at_least, audit_event, audit_rows
 from ..operators.config import SETTINGS, check_config, metadata_line_setting, with_all_settings
 from ..operators.framing import chosen_file_id, frame, number_lines, rows_text, with_record_id
 from ..session import broadcast_if_small, materialise
@@ -492,9 +492,35 @@ class Validation:
         rows = rows.withColumn("metadata", F.struct(*[c.alias(n) for n, c in values.items()]))
         return md.manifest_rows(rows, ["file_key", "record_id", *carried[1:]])
 
-    def audit(self, min_level: str = "DEBUG") -> DataFrame:
-        """Audit rows of this run."""
-        return audit_rows(self.decided, self.profile, min_level)
+    def audit(self, min_level: str = "DEBUG", records: bool = False) -> DataFrame:
+        """Audit rows of this run; with ``records`` also those of single records."""
+        files = audit_rows(self.decided, self.profile, min_level)
+        return files.unionByName(at_least(self.record_audit(), min_level)) if records else files
+
+    def record_audit(self) -> DataFrame:
+        """Audit rows of single records: one for each that does not fit its schema, with all of its errors, and for
+        manifests one at debug level for each field of a valid record whose name is none of the known ones.
+
+        Malformed records have no fields and no row here; neither have files that were not read.
+        """
+        code = codes.PROFILES[self.profile]
+        read = F.lit(bool(self._checks))
+        errors = self._checker.errors(self.allow_extra) if self._checks else F.lit(None).cast("array<struct<type:string,field:string>>")
+        rows = self._masked(self.framed.filter((F.col("section") == "data") & read)).withColumn("errors", errors)
+        names = self.decided.select("file_key", "conf_id", "file_uuid", "file_name")
+        why = F.array_join(F.transform("errors", lambda e: F.concat_ws(" ", e["type"], e["field"])), "; ")
+        text = F.concat(F.lit("record "), F.col("record_id").cast("string"), F.lit(" is invalid: "), why)
+        invalid = F.col("fields").isNotNull() & (F.coalesce(F.size("errors"), F.lit(0)) > 0)
+        bad = F.when(invalid, F.struct(F.lit(code["record"]).alias("code"), text.alias("msg")))
+        events = F.array_compact(F.array(bad))
+        if self.profile == "manifest" and self._checks:
+            values = F.array(*[F.col(f"__t{i}") for i in range(self._checker.width)])
+            fields = F.filter(F.transform(self._checker.names, lambda n, i: F.struct(n.alias("name"), F.get(values, i).alias("value"))), lambda f: ~F.lower(f["name"]).isin(*md.FIELDS))
+            message = "record %s: field %s is not known, its value is %s"
+            unknown = F.transform(fields, lambda f: F.struct(F.lit(code["unknown_field"]).alias("code"), F.format_string(message, F.col("record_id"), f["name"], f["value"]).alias("msg")))
+            events = F.when(F.col("fields").isNotNull() & ~invalid, unknown).otherwise(events)
+        each = rows.select("file_key", F.explode(events).alias("event")).join(broadcast_if_small(names), "file_key")
+        return audit_event(each, F.col("event.code"), F.col("event.msg"))
 
 
 def validate_files(src: LineSource, files: DataFrame, profile: str = "data_only", **options) -> Validation:
