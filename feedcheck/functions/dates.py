@@ -65,9 +65,26 @@ def to_spark_pattern(pattern: str) -> str:
     return "".join(out)
 
 
+# Parts of patterns that Spark parses, so that a text of another shape needs no try to learn of a wrong one.
+_PARSED = {"y", "yy", "yyy", "yyyy", "M", "MM", "d", "dd", "H", "HH", "h", "hh", "k", "kk", "K", "KK", "m", "mm", "s", "ss", "SSS"}
+_PARSED_WORDS = {"MMM", "MMMM", "a"}
+
+
+def _shape(pattern: str) -> str | None:
+    """Expression that every text under the pattern matches, and few others; none for rare letters."""
+    out = ""
+    for text, literal in _runs(pattern):
+        if not literal and text not in _PARSED | _PARSED_WORDS:
+            return None
+        out += re.sub(r"([^\w\s])", r"\\\1", text) if literal else "[+-]?[0-9]+" if text in _PARSED else ".*"
+    return f"(?ius)\\A{out}\\z"
+
+
 def parse_strict(col: Column, pattern: str) -> Column:
-    """Timestamp under the session time zone, or null."""
-    return F.try_to_timestamp(col, F.lit(to_spark_pattern(pattern)))
+    """Timestamp under the session time zone, or null. Texts of another shape are not tried: a parse that fails
+    costs many times a look, as it throws."""
+    tried, shape = F.try_to_timestamp(col, F.lit(to_spark_pattern(pattern))), _shape(pattern)
+    return F.when(col.rlike(shape), tried) if shape else tried
 
 
 # Larger parts lead beyond the years that a timestamp holds: months, days, and the clock's seconds.

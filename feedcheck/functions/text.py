@@ -19,16 +19,20 @@ def has_control(line: Column) -> Column:
     return line.rlike("[\\x00-\\x1f\\x7f]")
 
 
+# What a text must look like to be a whole number of 64 bits. A cast that fails costs many times a look, as it throws.
+_WHOLE = r"\A[\x00-\x20\x7f]*+[+-]?0*[0-9]{1,19}[\x00-\x20\x7f]*+\z"
+
+
 def as_long(text: Column, trimmed: bool = False) -> Column:
     """The text as a 64-bit integer, or null: a sign and digits, no points or exponents.
     The cast alone would also skip blanks around the digits."""
-    value = text.try_cast("bigint")
-    return value if trimmed else F.when(text == trim_text(text), value)
+    fits = text.rlike(_WHOLE)
+    return F.when(fits if trimmed else fits & (text == trim_text(text)), text.try_cast("bigint"))
 
 
 def as_int(text: Column, trimmed: bool = False) -> Column:
-    value = text.try_cast("int")
-    return value if trimmed else F.when(text == trim_text(text), value)
+    value = as_long(text, trimmed)
+    return F.when(value.between(-(1 << 31), (1 << 31) - 1), value.cast("int"))
 
 
 def matches(text: Column, pattern) -> Column:

@@ -15,6 +15,7 @@ from ..functions.delimited import split_line, split_line_by
 from ..functions.dialect import Dialect, with_dialects
 from ..functions.schema import FeedField
 from ..functions.text import as_int, as_long, trim_text
+from ..session import materialise
 from ..sources.lines import LineSource
 from .framing import number_lines
 from .validate import _typed
@@ -82,9 +83,10 @@ def infer_schema(src: LineSource, d: Dialect, patterns: list[tuple[str, str]] =
 
 
 def schema_texts(inferred: DataFrame, name: str = "inferred") -> DataFrame:
-    """``file_key, table_schema``: the inferred columns of each file as the schema text that ``validate_files`` takes."""
+    """``file_key, table_schema``: the inferred columns of each file as the schema text that ``validate_files`` takes.
+    Written out, as a validation reads it several times and each would infer again."""
     kind = F.when(F.col("nullable"), F.array(F.lit("null"), F.col("type"))).otherwise(F.array("type"))
     field = F.struct("position", F.struct(F.col("field_name").alias("name"), kind.alias("type"), F.col("pattern").alias("doc"), F.col("logical").alias("logicalType")).alias("f"))
     fields = F.transform(F.array_sort(F.collect_list(F.when(F.col("field_name").isNotNull(), field))), lambda x: x["f"])
     text = F.to_json(F.struct(F.lit("record").alias("type"), F.lit(name).alias("name"), fields.alias("fields")))
-    return inferred.groupBy("file_key").agg(text.alias("table_schema"))
+    return materialise(inferred.groupBy("file_key").agg(text.alias("table_schema")), "inferred")

@@ -5,9 +5,12 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
+from feedcheck.functions.dates import parse_strict
 from feedcheck.functions.dialect import dialect
 from feedcheck.functions.schema import schema_from_avro_json
+from feedcheck.functions.text import as_int, as_long
 from feedcheck.operators.infer import infer_schema, schema_texts
 from feedcheck.sources.lines import ordered_lines, scan_lines
 
@@ -99,3 +102,20 @@ def test_scanned_splits_and_nothing(spark, folder):
     assert infer_schema(type(empty)(empty.rows.limit(0), empty.chunks.limit(0), partitioned=True), FORM).count() == 0
     with pytest.raises(ValueError):
         infer_schema(empty, FORM, [("date", "yyyy")] * 41)
+
+
+def test_values_are_looked_at_before_they_are_cast(spark):
+    """A cast or a parse that fails throws, which costs many times a look; results are those of the bare cast."""
+    texts = ["", "+", "-1", "+1", " 1", "1\x7f", "1.0", "2147483648", "-2147483648", "9223372036854775808", "0" * 30 + "5", "1" * 40, "\u0662", "word", "2020-01-02", "2020-1-2", "+12020-01-02", "-2020-01-02", "2020-13-02", "2020-01-02\n", None]
+    d, s = spark.createDataFrame([(x,) for x in texts], "s string"), F.col("s")
+    pairs = [(as_long(s, True), s.try_cast("bigint")), (as_int(s, True), s.try_cast("int")), *[(parse_strict(s, p).cast("string"), F.try_to_timestamp(s, F.lit(p)).cast("string")) for p in ("yyyy-MM-dd", "y-M-d")]]
+    for one, bare in pairs:
+        assert "RLIKE" in str(one).upper()
+        assert d.filter(~one.eqNullSafe(bare)).count() == 0
+
+
+def test_schemas_are_inferred_once(spark):
+    """A validation reads the texts several times, so they are a written table."""
+    src = ordered_lines(spark.createDataFrame([("f", 1, "k"), ("f", 2, "7")], "file_key string, n long, line string"), "file_key", "n", "line")
+    texts = schema_texts(infer_schema(src, dialect(sep="|"), PATTERNS))
+    assert texts.inputFiles() and "Window" not in texts._jdf.queryExecution().toString()
