@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from feedcheck.operators.stats import retain
-from feedcheck.streaming.retention import retained, stream_retain, write_retained
+from feedcheck.streaming.retention import KEYS, retained, stream_retain, write_retained
 
 SCHEMA = "directory string, filename string, operation string, duration_ms int, created_at timestamp"
 START = datetime(2024, 5, 1)
@@ -42,3 +42,24 @@ def test_stream_keeps_what_the_batch_keeps(spark, folder):
     # A late row is dropped; a file that left begins anew.
     got = _run(spark, folder, [("/d", "a", "READ", 8, _at(80)), ("/d", "c", "READ", 9, _at(30))], 5)
     assert [r for r in got if r[1] in "ac"] == [("/d", "a", "READ", 8, _at(80)), ("/d", "c", "READ", 3, _at(20))]
+
+
+def test_files_share_a_call(spark, folder):
+    """One call merges all files of a bucket; a call for every file would take minutes for these."""
+    def rows(n, plus):
+        return spark.range(n).select(
+            F.lit("/d").alias("directory"), F.concat(F.lit("f"), F.col("id") % (n // 2)).alias("filename"), F.when(F.col("id") % 3 > 0, F.lit("READ")).alias("operation"),
+            F.col("id").cast("int").alias("duration_ms"), (F.lit(_at(plus)) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("id") % 50)).alias("created_at"),
+        )
+
+    seen = None
+    for plus in (0, 1):
+        batch = rows(40_000, plus)
+        batch.write.mode("append").parquet(f"{folder}/in")
+        seen = batch if seen is None else seen.union(batch)
+        stream = stream_retain(spark.readStream.schema(SCHEMA).parquet(f"{folder}/in"), 60 * 60_000, "5 minutes", buckets=3)
+        assert "bucket" in stream._jdf.queryExecution().toString()
+        write_retained(stream, f"{folder}/out", availableNow=True).awaitTermination()
+    got = retained(spark, f"{folder}/out").select(*KEYS, "operation", "duration_ms", "created_at")
+    want = retain(seen, F.lit(_at(2)), 60 * 60_000).select(got.columns)
+    assert got.count() == want.count() >= 30_000 and got.exceptAll(want).count() == 0
