@@ -1,9 +1,11 @@
 """Many expressions in one directory: an index of what their matches must contain.
 
-Every match of ``a.*_0371_[0-9]+`` contains ``_0371_``, so only names that hold a piece of three letters of it need the
-expression. An expression is filed under the rarest such piece, a name fetches the expressions under its own pieces,
-and these alone run. Expressions without a text of three letters that every match contains form a rest list, which is
-tried on the names that are still unclaimed. Results are those of ``unclaimed_files``.
+Every match of ``a.*_0371_[0-9]+`` contains ``_0371_``, so only names that hold this text need the expression. Texts are
+cut into pieces of the largest of a few sizes that they hold: names with a piece are among those with a part of it, and
+pieces of three letters alone would soon be common to many of thousands of expressions. An expression is filed under the
+rarest such piece, a name fetches the expressions under its own pieces, and these alone run. Expressions without a text
+of three letters that every match contains form a rest list, which is tried on the names that are still unclaimed.
+Results are those of ``unclaimed_files``.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from ..session import broadcast_if_small, materialise
 from .unclaimed import KEYS, is_claimed, judged_directories
 
 GRAM = 3
+SIZES = (GRAM, 4, 5, 6, 8, 12, 16, 24, 32)
+_SLOTS = 1 << 19  # words of 64 bits that tell which pieces are filed
 _DEEPEST = 40  # groups within groups beyond this are not looked into
 _REPEAT = re.compile(r"(?:[?*+]|\{(\d+)(?:,\d*)?\})[?+]?")
 # Escapes that stand for no letter as it is, with what belongs to them.
@@ -160,22 +164,23 @@ def _covers(regexes: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(covers_of)
 
 
-def grams(text: Column) -> Column:
-    """Distinct pieces of three letters of a text; none if it is shorter."""
-    starts = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - (GRAM - 1))).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(GRAM))))
+def grams(text: Column, size: Column) -> Column:
+    """Distinct pieces of a text, which has at least this many letters."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size)))
 
 
 def pattern_index(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The index ``set_id, gram, regex`` of sets of expressions (``set_id, regexes``), and the rest list
     ``set_id, rest``: one row per set that has expressions without such a piece."""
-    each = sets.select("set_id", F.explode(F.array_distinct("regexes")).alias("regex"))
+    each = sets.select("set_id", F.explode("regexes").alias("regex")).distinct()
     # Texts are read once each, by the tasks that hold them.
     read = each.select("regex").distinct().withColumn("covers", _covers("regex"))
     read = read.withColumn("covers", F.filter("covers", lambda c: (F.size(c) > 0) & F.forall(c, lambda t: F.length(t) >= GRAM)))
     known = materialise(each.join(read, "regex"), "covers")
     texts = known.select("set_id", "regex", F.posexplode("covers").alias("cover", "texts"))
-    pieces = texts.select("set_id", "regex", "cover", F.posexplode("texts").alias("place", "text")).withColumn("gram", F.explode(grams(F.col("text"))))
+    pieces = texts.select("set_id", "regex", "cover", F.posexplode("texts").alias("place", "text"))
+    size = F.coalesce(*[F.when(F.length("text") >= s, F.lit(s)) for s in reversed(SIZES)])
+    pieces = pieces.withColumn("gram", F.explode(grams(F.col("text"), size)))
     # How many expressions of the set could be filed under the piece.
     common = pieces.select("set_id", "regex", "gram").distinct().groupBy("set_id", "gram").agg(F.count(F.lit(1)).alias("n"))
     rarest = pieces.join(common, ["set_id", "gram"]).groupBy("set_id", "regex", "cover", "place").agg(F.min(F.struct("n", "gram")).alias("r"))
@@ -186,10 +191,26 @@ def pattern_index(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     return index, materialise(rest, "rest")
 
 
+def _may_be_filed(own: DataFrame, index: DataFrame) -> DataFrame:
+    """Rows whose ``set_id, gram`` may be in the index: all that are, and a few more. The look is at a table of bits of
+    a fixed size, so that an index of any size meets only these in a shuffle."""
+    h = F.xxhash64("set_id", "gram")
+    slot, bit = F.pmod(F.shiftrightunsigned(h, 6), F.lit(_SLOTS)), F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(F.lit(63)).cast("int"))
+    bits = index.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits"))
+    return own.withColumn("slot", slot).join(F.broadcast(bits), "slot").filter(F.col("bits").bitwiseAND(bit) != 0).drop("slot", "bits")
+
+
 def candidates(placed: DataFrame, index: DataFrame) -> DataFrame:
-    """``set_id, file_name, regex``: the expressions that a name has to try, the rest list apart."""
-    own = placed.select("set_id", "file_name", F.explode(grams(F.col("file_name"))).alias("gram"))
-    return own.join(broadcast_if_small(index), ["set_id", "gram"]).select("set_id", "file_name", "regex")
+    """``set_id, file_name, regex``: the expressions that a name has to try, the rest list apart. A name has pieces of
+    the sizes that its set's index knows."""
+    sizes = index.select("set_id", F.length("gram").alias("size")).distinct()
+    # Names are shuffled, so that a few large files of them do not make a few long tasks.
+    own = placed.select("set_id", "file_name").distinct().join(broadcast_if_small(sizes), "set_id").filter(F.length("file_name") >= F.col("size"))
+    own = own.select("set_id", "file_name", "size", F.explode(F.sequence(F.lit(1), F.length("file_name") - F.col("size") + 1)).alias("start"))
+    own = own.select("set_id", "file_name", F.substring("file_name", F.col("start"), F.col("size")).alias("gram"))
+    near = broadcast_if_small(index)
+    own = _may_be_filed(own, index) if near is index else own
+    return own.join(near, ["set_id", "gram"]).select("set_id", "file_name", "regex")
 
 
 def _placed(listing: DataFrame, rollup: DataFrame) -> tuple[DataFrame, DataFrame]:

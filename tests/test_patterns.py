@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from feedcheck.operators.patterns import candidates, covers_of, pattern_index, unclaimed_by_index
+from feedcheck.operators.patterns import _may_be_filed, candidates, covers_of, pattern_index, unclaimed_by_index
 from feedcheck.operators.unclaimed import unclaimed_files, unclaimed_report
 
 PARTS = ["abc", "xyz1", "_0371_", "b", "\\.", "\\d+", "[a-c]{2}", "[^_]*", "(abc|b_1)", "(?:xyz1|ab)?", "(?:q)*", "(b+c|cab)", "a{0,2}", "(abc){2}", "\\Qa.b\\E", "\\Qabc\\E?", ".*", "\\x41bc", "ab+", "(?=a)", "(?:a(b|c)abc)+"]
@@ -83,3 +83,19 @@ def test_few_expressions_are_tried(spark):
     assert tried.count() < 100 * 40
     own = F.concat(F.substring("file_name", 1, 11), F.lit("[0-9]+\\.csv"))
     assert tried.filter(F.col("regex") == own).count() == 100
+
+
+def test_long_pieces_tell_numbers_apart(spark):
+    """Numbers share their pieces of three digits with many others, but not their longer ones."""
+    sets = spark.createDataFrame([(1, [f".*#0*{i}_.*" for i in range(10_000, 14_000)])], "set_id long, regexes array<string>")
+    index, rest = pattern_index(sets)
+    names = spark.createDataFrame([(1, f"c#0000{i}_{i + 7}_x.csv") for i in range(10_000, 14_000, 40)], "set_id long, file_name string")
+    tried = candidates(names, index)
+    assert tried.count() <= 3 * 100 and rest.count() == 0
+    own = F.concat(F.lit(".*#0*"), F.substring("file_name", 7, 5), F.lit("_.*"))
+    assert tried.filter(F.col("regex") == own).count() == 100
+    # The look before a shuffle loses none that is filed, and leaves out nearly all others.
+    grams = spark.range(0, 40_000).select(F.lit(1).cast("long").alias("set_id"), F.concat(F.col("id").cast("string"), F.lit("_")).alias("gram"))
+    passed = _may_be_filed(grams, index)
+    assert passed.join(index, ["set_id", "gram"], "left_semi").count() == grams.join(index, ["set_id", "gram"], "left_semi").count() == 4000
+    assert passed.count() < 4400
