@@ -49,7 +49,7 @@ def parse_group(texts: tuple, profile: str) -> Group:
         read = schema_from_avro_json(texts[0])
         if texts[1] is None:
             return Group(texts, read=read, code=code["null_pointer"])
-        write = schema_from_avro_json(texts[1] or "{")
+        write = read if texts[1] == texts[0] else schema_from_avro_json(texts[1] or "{")
     except SchemaMissing:
         return Group(texts, code=code["schema_missing"])
     except SchemaUnparsable:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +81,12 @@ def picks(fields) -> dict[str, list[int]]:
 
 
 def _pattern_id(f: FeedField) -> str:
-    return hashlib.sha1(f.doc.encode()).hexdigest()[:8]
+    return _short_digest(f.doc)
+
+
+@lru_cache(4096)
+def _short_digest(pattern: str) -> str:
+    return hashlib.sha1(pattern.encode()).hexdigest()[:8]
 
 
 class Checker:
@@ -235,6 +240,7 @@ class Checker:
         return out | (F.size("fields") > width)
 
 
+@lru_cache(4096)
 def _pattern_fails(pattern: str) -> bool:
     try:
         dates.to_spark_pattern(pattern)

@@ -3,7 +3,7 @@
 import random
 
 from feedcheck.functions.dialect import dialect
-from feedcheck.operators.schemas import distinct_cells, places
+from feedcheck.operators.schemas import distinct_cells, parse_group, places
 from feedcheck.functions.schema import FeedField, FeedSchema
 from feedcheck.plans.feeds import avro_schema
 from feedcheck.plans.validation import validate_files
@@ -83,3 +83,11 @@ def test_places_of_a_line():
     write = FeedSchema("w", (FeedField("c"), FeedField("gone"), FeedField("file_id")))
     assert places(read, write, ids=False) == [2, -1, 1, 0]
     assert places(read, write, ids=True) == [2, -1, 1, -3, 0]
+
+
+def test_equal_texts_are_parsed_once():
+    text = avro_schema("r", ("a", "long"))
+    group = parse_group((text, text, None), "data_only")
+    assert group.read is group.write and group.code is None
+    assert parse_group(("", "", None), "data_only").code == parse_group((None, None, None), "data_only").code
+    assert parse_group(("{", "{", None), "data_only").code == parse_group(("{", text, None), "data_only").code is not None
