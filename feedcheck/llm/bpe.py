@@ -16,6 +16,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -32,8 +33,9 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 #: White space that touches white space.
 _TWO_SPACES = re.compile(r"\s\s")
 #: A stop or comma that touches another mark, so that the two may form one word; and the same or one after white space.
-_MARKS = re.compile(r"[.,](?:(?=[^\w\s]|_)|(?<=[^\w\s].)|(?<=_.))")
-_SPACED_MARKS = re.compile(r"[.,](?:(?=[^\w\s]|_)|(?<=\W.)|(?<=_.))")
+#: The four separators are white space to Python and marks to tokenizer files.
+_MARKS = re.compile(r"[.,](?:(?=[^\w\s]|[_\x1c-\x1f])|(?<=[^\w\s].)|(?<=[_\x1c-\x1f].))")
+_SPACED_MARKS = re.compile(r"[.,](?:(?=[^\w\s]|[_\x1c-\x1f])|(?<=\W.)|(?<=_.))")
 
 
 def byte_letters() -> list[str]:
@@ -43,6 +45,42 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
 
 
+#: Planes of characters; those above hold none that is a letter, number or mark with an order.
+_PLANES = 0x40000
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), "<u4")
+
+
+@cache
+def odd_code_points() -> tuple[frozenset[str], re.Pattern, dict[int, str]]:
+    """Code points that the Unicode tables of the ``tokenizers`` library treat otherwise than those of Python or of
+    the ``regex`` module, by class, lower case or normal form; a quick pattern, which each of them fits; and for those
+    of another class a code point of the class that the library has them in."""
+    from tokenizers import Regex, normalizers
+
+    every = np.delete(np.arange(_PLANES, dtype="<u4"), slice(0xD800, 0xE000)).tobytes().decode("utf-32-le")
+    letters, numbers = (_codes(normalizers.Replace(Regex(rf"[^\p{{{k}}}]+"), "").normalize_str(every)) for k in "LN")
+    differ = [np.setxor1d(ours, _codes(regex.sub(rf"[^\p{{{k}}}]+", "", every))) for k, ours in (("L", letters), ("N", numbers))]
+    words = np.setdiff1d(_codes(re.sub(r"[\W_]+", "", every)), np.concatenate([letters, numbers]))
+    classed = np.unique(np.concatenate([*differ, words]))
+    stand_ins = {c: "\u4e00" if a else "\u0660" if n else "\uffff" for c, a, n in zip(classed.tolist(), np.isin(classed, letters), np.isin(classed, numbers))}
+    lower, nfc = normalizers.Lowercase().normalize_str, normalizers.NFC().normalize_str
+    odd = set(map(chr, stand_ins))
+    for i in range(0, len(every), 4096):
+        piece = every[i : i + 4096]
+        if lower(piece) != piece.lower():
+            odd.update(c for c in piece if lower(c) != c.lower())
+    # Marks between marks of two classes show their own class; parts show whether they are joined.
+    probes = [(c, f"a\u0316{c}\u0301b\u0301{c}\u0316") for c in regex.findall(r"\p{M}", every)]
+    parts = ["".join(chr(int(x, 16)) for x in d.split()) for d in map(unicodedata.decomposition, every) if d and d[0] != "<"]
+    for which, probe in chain(probes, zip(parts, parts)):
+        if nfc(probe) != unicodedata.normalize("NFC", probe):
+            odd.update(which)
+    return frozenset(odd), re.compile("[" + "".join(re.escape(c) for c in sorted(odd) if c <= "\uffff") + "\U00010000-\U0010ffff]"), stand_ins
+
+
 class Transducer:
     """Streaming encoder of one word of byte letters under a merge list."""
 
@@ -168,7 +206,8 @@ class Codec:
     drops it, else before each space and around each line break, as long as no white space
     touches other white space; and around stops and commas that touch no other mark. The ids
     of recent units are remembered. Words are encoded by the transducer, or with ``library``
-    by the model of the ``tokenizers`` library.
+    by the model of the ``tokenizers`` library. A text that holds a code point on which Unicode
+    tables differ is normalised by the library's normalisers and cut by its classes.
     """
 
     def __init__(self, path: str, library: bool = False):
@@ -197,6 +236,7 @@ class Codec:
             raise ValueError("unknown pre-tokenizer")
         self.drops = bool(split)
         self.pattern = regex.compile(split["pattern"]["Regex"] if split else BYTE_LEVEL_PATTERN)
+        self.odd, self.maybe_odd, self.stand_ins = odd_code_points()
         self.letters = byte_letters()
         self.table = {b: x for b, x in enumerate(self.letters)}
         self.vocab = model["vocab"] | self.added
@@ -209,8 +249,16 @@ class Codec:
         self.by_library = library
         self.units = Memo(self._unit, limit=700_000, longest=48)
 
+    def _is_odd(self, text: str) -> bool:
+        return not text.isascii() and self.maybe_odd.search(text) is not None and not self.odd.isdisjoint(text)
+
+    def _words(self, text: str) -> list[str]:
+        if not self._is_odd(text):
+            return self.pattern.findall(text)
+        return [text[m.start() : m.end()] for m in self.pattern.finditer(text.translate(self.stand_ins))]
+
     def _unit(self, unit: str) -> bytes:
-        words = self.pattern.findall(unit)
+        words = self._words(unit)
         if words != [unit]:
             return b"".join(map(self.units.__getitem__, words))
         letters = unit if unit.isascii() and unit.isprintable() and " " not in unit else unit.encode().decode("latin-1").translate(self.table)
@@ -221,8 +269,11 @@ class Codec:
         return np.array(ids, self.dtype).tobytes()
 
     def normalise(self, text: str) -> str:
+        odd = bool(self.normalizers) and self._is_odd(text)
         for n in self.normalizers:
-            if n["type"] == "NFC":
+            if odd and n["type"] != "Replace":
+                text = self._by_library(n["type"], text)
+            elif n["type"] == "NFC":
                 text = text if text.isascii() else unicodedata.normalize("NFC", text)
             elif n["type"] == "Lowercase":
                 text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
@@ -230,15 +281,22 @@ class Codec:
                 text = text if self.drops else regex.sub(r"\s+", " ", text)
         return text
 
+    @staticmethod
+    def _by_library(kind: str, text: str) -> str:
+        from tokenizers import normalizers
+
+        return getattr(normalizers, kind)().normalize_str(text)
+
     def _plain(self, text: str) -> bytes:
         """Ids of a text without added tokens; it falls into units that cannot affect each other."""
         text = self.normalise(text)
+        odd = self._is_odd(text)
         if self.drops:
-            if not _MARKS.search(text):
+            if not odd and not _MARKS.search(text):
                 text = text.replace(".", " . ").replace(",", " , ")
             return b"".join(map(self.units.__getitem__, text.replace("\n", " ").split(" ")))
-        if _TWO_SPACES.search(text) or "\0" in text:
-            return b"".join(map(self.units.__getitem__, self.pattern.findall(text)))
+        if odd or _TWO_SPACES.search(text) or "\0" in text:
+            return b"".join(map(self.units.__getitem__, self._words(text)))
         if not _SPACED_MARKS.search(text):
             text = text.replace(".", "\0.\0").replace(",", "\0,\0")
         return b"".join(map(self.units.__getitem__, text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")))

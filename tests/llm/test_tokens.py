@@ -35,6 +35,35 @@ def test_codecs_equal_the_library(made, file):
     same()
 
 
+def around(c):
+    return f":{c}", f"a{c}b 1{c} .{c},{c} x", f"a.{c}b,{c}", f"{c}'s{c}.\n {c}, a\u0316{c}\u0301e\u0301{c}\u0316", f"A{c} É{c}\U00011935{c}  {c}<|endoftext|>{c}"
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_code_points_of_late_unicode_versions_and_separators(made, file):
+    lib, own, memo = made[file]
+    late = ["\U00018d80", "\U0003d000", "\u0558", "\U000187ff", "\U00012550", "\u1c89", "\ua7cb", "\ua7ce", "\u07fd", "\u0898", "\U0001e4ec", "\U00011930"]
+    for c in [*late, *map(chr, range(0x1C, 0x20)), *(chr(c) for c in range(0xA0, 0x110000, 997) if not 0xD800 <= c < 0xE000)]:
+        for text in around(c):
+            want = lib.encode(text, add_special_tokens=False).ids
+            assert own.encode(text).tolist() == want == memo.encode(text).tolist(), ascii(text)
+
+
+@pytest.mark.parametrize("file", FILES)
+def test_code_points_on_which_unicode_tables_differ(made, file):
+    lib, own, memo = made[file]
+    for text in (t for c in sorted(bpe.odd_code_points()[0])[::40] for t in around(c)):
+        want = lib.encode(text, add_special_tokens=False).ids
+        assert own.encode(text).tolist() == want == memo.encode(text).tolist(), ascii(text)
+
+
+def test_texts_without_such_code_points_need_no_library(made, monkeypatch):
+    own = made["word_bpe_49k.json"][1]
+    monkeypatch.setattr(own, "_by_library", None)
+    assert [own.normalise(t) for t in ("ÉA\u0301 x", "\U0001f600 Ü", "日本 Σ")] == ["éá x", "\U0001f600 ü", "日本 σ"]
+    assert not any(map(own._is_odd, ("ÉA\u0301 x", "\U0001f600 Ü", "日本 Σ", "")))
+
+
 def test_long_words_are_emitted_before_they_end(made):
     own = made["word_bpe_49k.json"][1].transducer
     for word in ("ab" * 4000, "a" * 5000, "thandingerest" * 300):
