@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedcheck.llm.common import Memo, record_batches, small_batches
+from feedcheck.llm.common import record_batches, small_batches
 from feedcheck.llm.graph import components
 from feedcheck.session import materialise
 
@@ -31,16 +31,13 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
-_hash_of = Memo(xxhash.xxh3_64_intdigest, limit=500_000)
-
-
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles of five words; a shorter text is one
     shingle, an empty one has none."""
     words = words_of(text)
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hash_of.__getitem__, words), np.uint64, len(words))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     n = max(1, len(words) - WORDS + 1)
     mixed = np.full(n, min(len(words), WORDS), np.uint64)
     for i in range(min(len(words), WORDS)):

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -87,6 +88,26 @@ def test_signature_estimates_similarity():
     assert (alone[:, 0] == minhash.signatures([x, x[:5]])[:, 0]).all()
 
 
+def test_words_leave_nothing_in_a_worker():
+    def read(texts):
+        for text in texts:
+            minhash.shingle_set(text)
+            suffixes.anchors(text.encode().split(), 51)
+
+    def texts(start):
+        return (" ".join(f"word{start + 1000 * i + j}" for j in range(1000)) for i in range(60))
+
+    read(texts(10**6))
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        read(texts(2 * 10**6))
+        held = tracemalloc.get_traced_memory()[0] - before
+    finally:
+        tracemalloc.stop()
+    assert held < 1 << 20
+
+
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(7, 300), (300, 5), (1, 160)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
